@@ -1,0 +1 @@
+"""Intentionally empty: every input of this analysis is a finished table, so no streaming job is in scope."""
