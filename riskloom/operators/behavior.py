@@ -107,10 +107,10 @@ def velocity_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK,
     return result if heavy is None else result.unionByName(_velocity_bucketed(heavy, bucket_seconds))
 
 
-def behavior_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK,
-                      bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+def behavior_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_seconds: int = BUCKET_SECONDS,
+                      rows: int | None = None) -> DataFrame:
     """The payment with its customer history, recent velocity, novelty and change flags."""
-    light, heavy = split_heavy(df, ["customer_id"], max_rows)
+    light, heavy = split_heavy(df, ["customer_id"], max_rows, rows)
     table = _novelty(_velocity_direct(_customer_history(light, None)), None)
     if heavy is not None:
         chunks = chunk_rows(heavy, ["customer_id"], EVENT_ORDER, max_rows)

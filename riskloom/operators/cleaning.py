@@ -77,7 +77,8 @@ def dictionary(text: Column) -> Column:
     """A JSON or Python-literal dictionary as ``map<string,string>``; NULL when it is neither."""
     literals = text
     for python, json in [("True", "true"), ("False", "false"), ("None", "null")]:
-        literals = F.regexp_replace(literals, rf"(?<=[:,\[]\s?){python}\b", json)
+        bare_word = F.regexp_replace(literals, rf"(?<=[:,\[]\s?){python}\b", json)
+        literals = F.when(F.contains(text, F.lit(python)), bare_word).otherwise(literals)
     return F.from_json(literals, "map<string,string>")
 
 

@@ -31,10 +31,11 @@ def _card_history(df: DataFrame, chunk: str | None) -> DataFrame:
     }, chunk)
 
 
-def network_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
+def network_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, rows: int | None = None) -> DataFrame:
     """Earlier use of the device and the card, and the flags built on it. Two exchanges: device, card."""
-    table = per_entity(df, ["device_fingerprint"], EVENT_ORDER, _device_history, max_rows)
-    table = per_entity(table, ["card_number"], EVENT_ORDER, _card_history, max_rows)
+    rows = df.count() if rows is None else rows
+    table = per_entity(df, ["device_fingerprint"], EVENT_ORDER, _device_history, max_rows, rows)
+    table = per_entity(table, ["card_number"], EVENT_ORDER, _card_history, max_rows, rows)
     known_device = F.col("prior_device_transactions") > 0
     return table.withColumns({
         "device_customer_sequence": F.col("_links_customer") + 1,

@@ -36,14 +36,15 @@ def attach(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(renamed, condition, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def split_heavy(df: DataFrame, keys: list[str], max_rows: int = MAX_ROWS_PER_TASK
+def split_heavy(df: DataFrame, keys: list[str], max_rows: int = MAX_ROWS_PER_TASK, rows: int | None = None
                 ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of ordinary entities, and the rows of entities above ``max_rows`` (None when there are none).
 
-    A table that fits the limit as a whole needs no look at its keys. The list of heavy keys has at
+    A table that fits the limit as a whole needs no look at its keys; callers that know an upper
+    bound of its rows pass it and save the count. The list of heavy keys has at
     most ``rows / max_rows`` entries; it is checkpointed so both sides of the split see the same list.
     """
-    if df.count() <= max_rows:
+    if (df.count() if rows is None else rows) <= max_rows:
         return df, None
     heavy = (
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
@@ -70,9 +71,9 @@ def chunk_rows(df: DataFrame, keys: list[str], order: list[str], max_rows: int =
 
 def per_entity(df: DataFrame, keys: list[str], order: list[str],
                build: Callable[[DataFrame, str | None], DataFrame],
-               max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
+               max_rows: int = MAX_ROWS_PER_TASK, rows: int | None = None) -> DataFrame:
     """Apply ``build(rows, chunk)`` to ordinary entities with ``chunk=None`` and to heavy ones in chunks."""
-    light, heavy = split_heavy(df, keys, max_rows)
+    light, heavy = split_heavy(df, keys, max_rows, rows)
     result = build(light, None)
     if heavy is None:
         return result

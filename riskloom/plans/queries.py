@@ -58,7 +58,9 @@ def behavior(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def network(spark: SparkSession, folder: str) -> DataFrame:
-    return N.network_features(behavior(spark, folder))
+    payments = X.tx(spark, folder)
+    rows = payments.count()
+    return N.network_features(B.behavior_features(payments, rows=rows), rows=rows)
 
 
 def network_only(spark: SparkSession, folder: str) -> DataFrame:
@@ -87,8 +89,16 @@ def scored_sample(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFram
     return scored.filter(~in_test), scored.filter(in_test)
 
 
+def stored(df: DataFrame, table: str, partition_by: list[str] | None = None) -> DataFrame:
+    """A stage table: written once where several steps read it, so its windows run once."""
+    root = S.scratch_folder(df.sparkSession)
+    S.write_stage(df, root, "modeling", table, partition_by)
+    return S.read_stage(df.sparkSession, root, "modeling", table)
+
+
 def feature_sample(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     sample = M.hash_sample(light_base(spark, folder), R.SAMPLE_BUCKETS)
+    sample = stored(sample.select("data_split", R.DAY, *R.NUMERIC_FEATURES), "drift_sample", ["data_split"])
     return split(sample, "validation"), split(sample, "test")
 
 
@@ -166,15 +176,13 @@ def tx_ids(spark: SparkSession, folder: str) -> DataFrame:
 # --- models ------------------------------------------------------------------------------------
 
 def train_sample(spark: SparkSession, folder: str) -> DataFrame:
-    return split(light_base(spark, folder), "train")
+    return stored(split(light_base(spark, folder), "train").select(*M.NUMERIC_FEATURES), "train")
 
 
 def stored_base(spark: SparkSession, folder: str) -> DataFrame:
-    """The model table written once, so that iterative training does not recompute its windows."""
+    """The model table, stored because training reads it again and again."""
     columns = ["transaction_key", "transaction_ts", "transaction_date", "data_split", "is_fraud", *M.MODEL_FEATURES]
-    root = S.scratch_folder(spark)
-    S.write_stage(light_base(spark, folder).select(*columns), root, "modeling", "model_base", ["data_split"])
-    return S.read_stage(spark, root, "modeling", "model_base")
+    return stored(light_base(spark, folder).select(*columns), "model_base", ["data_split"])
 
 
 def _metrics(scored: DataFrame, threshold: float) -> DataFrame:
@@ -235,7 +243,8 @@ def tree_contributions(spark: SparkSession, folder: str) -> DataFrame:
 # --- explanations ------------------------------------------------------------------------------
 
 def contributions(spark: SparkSession, folder: str) -> DataFrame:
-    table = light_base(spark, folder)
+    columns = ["transaction_key", "data_split", *COEFFICIENTS]
+    table = stored(light_base(spark, folder).select(*columns), "explained", ["data_split"])
     scores = X.tx_scored(spark, folder).select("transaction_key", "fraud_probability")
     test = split(table, "test").join(scores, "transaction_key")
     return E.linear_contributions(
@@ -292,17 +301,37 @@ def monitoring_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- decisions ---------------------------------------------------------------------------------
 
+RULE_INPUTS = [
+    "transaction_key", "transaction_ts", "amount", "is_fraud", "distance_from_home", "card_present",
+    "transaction_hour", "amount_vs_customer_average", "calculated_txn_count_1h", "calculated_amount_24h",
+    "new_merchant_for_customer_flag",
+]
+NETWORK_RULE_INPUTS = [
+    "new_customer_on_existing_device_flag", "new_card_on_existing_device_flag",
+    "device_shared_by_multiple_customers_flag",
+]
+
+
+def _by_period(features: DataFrame, columns: list[str]) -> DataFrame:
+    period = M.chrono_split(X.VALIDATION_START, X.TEST_START)
+    return stored(features.select(*columns).withColumn("data_split", period), "rule_inputs", ["data_split"])
+
+
 def thresholds(spark: SparkSession, folder: str) -> DataFrame:
-    return M.rule_thresholds(split(light_base(spark, folder), "train"))
+    train = split(light_base(spark, folder), "train").select(*M.RULE_COLUMNS)
+    return M.rule_thresholds(stored(train, "train"))
 
 
 def rule_score(spark: SparkSession, folder: str) -> DataFrame:
-    test = behavior(spark, folder).filter(F.col("transaction_ts") >= M.timestamp(X.TEST_START))
-    return D.rule_score(test, thresholds(spark, folder)).select("transaction_key", "behavioral_rule_score")
+    table = _by_period(behavior(spark, folder), RULE_INPUTS)
+    limits = M.rule_thresholds(split(table, "train"))
+    return D.rule_score(split(table, "test"), limits).select("transaction_key", "behavioral_rule_score")
 
 
 def rule_decisions(spark: SparkSession, folder: str) -> DataFrame:
-    return D.rule_decisions(network(spark, folder), X.tx_scored(spark, folder), thresholds(spark, folder), X.TEST_START)
+    table = _by_period(network(spark, folder), RULE_INPUTS + NETWORK_RULE_INPUTS)
+    limits = M.rule_thresholds(split(table, "train"))
+    return D.rule_decisions(split(table, "test"), X.tx_scored(spark, folder), limits, X.TEST_START)
 
 
 # --- cases -------------------------------------------------------------------------------------
