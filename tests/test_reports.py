@@ -72,13 +72,12 @@ def test_numeric_psi_against_numpy(spark):
 
 def test_numeric_psi_edge_cases(spark):
     same = monitoring.numeric_psi(*psi_frames(spark, [1.0, 2.0, 3.0, 4.0], [1.0, 2.0, 3.0, 4.0]), ["x"]).first()
-    # Eleven rows put every decile on a row, so only the two values remain as edges.
-    two_values = monitoring.numeric_psi(*psi_frames(spark, [0.0] * 7 + [1.0] * 4, [1.0, 1.0]), ["x"]).first()
-    between = psi_frames(spark, [0.0, 1.0, 0.0], [1.0, 1.0])
+    constant = monitoring.numeric_psi(*psi_frames(spark, [2.0] * 5, [1.0, 3.0]), ["x"]).first()
     empty = monitoring.numeric_psi(*psi_frames(spark, [1.0, 2.0, 3.0], [None, None]), ["x"]).first()
-    assert same["psi"] == 0.0 and two_values["psi"] == 0.0
-    assert monitoring.numeric_psi(*between, ["x"]).first()["psi"] == pytest.approx(
-        numpy_psi([0.0, 1.0, 0.0], [1.0, 1.0]), abs=1e-8)
+    assert same["psi"] == 0.0 and constant["psi"] == 0.0
+    for reference in ([0.0, 1.0, 0.0], [0.0] * 7 + [1.0] * 4, [0.0] * 19 + [1.0]):
+        got = monitoring.numeric_psi(*psi_frames(spark, reference, [1.0, 1.0, 0.0]), ["x"]).first()["psi"]
+        assert got == pytest.approx(numpy_psi(reference, [1.0, 1.0, 0.0]), abs=1e-8)
     assert empty["psi"] is None and empty["status"] == "Unavailable"
 
 
