@@ -12,6 +12,10 @@ EVENT_ORDER = ["transaction_ts", "transaction_key"]
 HOUR = 3_600
 HOURS = {"1h": HOUR, "24h": 24 * HOUR}
 BUCKET_SECONDS = 60
+HISTORY_INPUTS = [
+    "transaction_key", "customer_id", "transaction_ts", "amount", "merchant", "device_fingerprint", "ip_address",
+    "transaction_hour",
+]
 
 
 def _customer_history(df: DataFrame, chunk: str | None) -> DataFrame:
@@ -65,11 +69,10 @@ def _velocity_bucketed(df: DataFrame, bucket_seconds: int) -> DataFrame:
     for suffix, seconds in HOURS.items():
         span, steps = seconds * 1_000_000, seconds // bucket_seconds
         between = Window.partitionBy("customer_id").orderBy("_bucket").rangeBetween(-(steps - 1), -1)
-        middle = buckets.select(
+        # Payments without a time are peers of each other only; their one bucket has nothing before it.
+        middle = buckets.filter(F.col("_bucket").isNotNull()).select(
             "customer_id", "_bucket",
-            F.coalesce(F.sum("_bn").over(between), F.lit(0)).alias("_mn"),
-            F.coalesce(F.sum("_bs").over(between), F.lit(0.0)).alias("_ms"),
-        )
+            F.sum("_bn").over(between).alias("_mn"), F.sum("_bs").over(between).alias("_ms"))
         real = instants.select(*keys, "_bucket", F.col("_at").alias("_pos"), F.lit(True).alias("_real"), "_n", "_s")
         oldest = instants.filter(F.col("_at").isNotNull()).select(
             *keys, (F.col("_bucket") + steps).alias("_bucket"), (F.col("_at") + span).alias("_pos"),
@@ -86,8 +89,8 @@ def _velocity_bucketed(df: DataFrame, bucket_seconds: int) -> DataFrame:
         }).filter("_real").select(*keys, "_bucket", "_hn", "_hs", "_tn", "_ts")
         parts = attach(ends, middle, ["customer_id", "_bucket"]).select(
             *keys,
-            (F.col("_hn") + F.col("_mn") + F.col("_tn")).alias(f"_count_{suffix}"),
-            (F.col("_hs") + F.col("_ms") + F.col("_ts")).alias(f"_sum_{suffix}"),
+            (F.col("_hn") + F.coalesce("_mn", F.lit(0)) + F.col("_tn")).alias(f"_count_{suffix}"),
+            (F.col("_hs") + F.coalesce("_ms", F.lit(0.0)) + F.col("_ts")).alias(f"_sum_{suffix}"),
         )
         result = attach(result, parts, keys)
     return result.select(
@@ -107,9 +110,12 @@ def velocity_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK,
     return result if heavy is None else result.unionByName(_velocity_bucketed(heavy, bucket_seconds))
 
 
-def behavior_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_seconds: int = BUCKET_SECONDS,
-                      rows: int | None = None) -> DataFrame:
-    """The payment with its customer history, recent velocity, novelty and change flags."""
+def with_history(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_seconds: int = BUCKET_SECONDS,
+                 rows: int | None = None) -> DataFrame:
+    """Add the history features next to the columns of ``df``.
+
+    For consumers that read a few of the columns: the others are pruned before the windows.
+    """
     light, heavy = split_heavy(df, ["customer_id"], max_rows, rows)
     table = _novelty(_velocity_direct(_customer_history(light, None)), None)
     if heavy is not None:
@@ -117,7 +123,7 @@ def behavior_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_s
         chunked = _novelty(_customer_history(chunks, CHUNK), CHUNK).drop(CHUNK)
         table = table.unionByName(_velocity_bucketed(chunked, bucket_seconds))
     average, deviation = F.col("customer_avg_amount_prior"), F.col("customer_std_amount_prior")
-    table = table.withColumns({
+    return table.withColumns({
         "minutes_since_previous_transaction":
             C.minutes_between(F.col("transaction_ts"), F.col("previous_customer_transaction_ts")),
         "amount_vs_customer_average": F.col("amount") / F.nullif(average, F.lit(0.0)),
@@ -128,8 +134,18 @@ def behavior_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_s
         "device_changed_from_previous_flag":
             C.flag(F.col("previous_device_fingerprint") != F.col("device_fingerprint")),
         "overnight_transaction_flag": C.flag(C.is_overnight(F.col("transaction_hour"))),
-    })
-    return table.drop("_seen_device", "_seen_ip", "_seen_merchant")
+    }).drop("_seen_device", "_seen_ip", "_seen_merchant")
+
+
+def behavior_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_seconds: int = BUCKET_SECONDS,
+                      rows: int | None = None) -> DataFrame:
+    """The full feature table: the payment with its history, velocity, novelty and change flags.
+
+    Windows exchange and sort only the columns they need. The wide row moves once, for the join on
+    its unique key, where nothing can be heavy.
+    """
+    history = with_history(df.select(*HISTORY_INPUTS), max_rows, bucket_seconds, rows)
+    return df.join(history.drop(*HISTORY_INPUTS[1:]), "transaction_key", "left")
 
 
 def risk_flags(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:

@@ -9,6 +9,7 @@ from riskloom.functions import columns as C
 from riskloom.operators.modeling import MODEL_FEATURES
 
 QUEUE_SIZE = 100
+MAX_BROADCAST_CASES = 10_000
 QUEUE_COLUMNS = ["transaction_key", "fraud_probability", "is_fraud"]
 CASE_NETWORK_COLUMNS = [
     "prior_customers_on_device", "prior_cards_on_device", "prior_devices_on_card", "prior_merchants_on_device",
@@ -20,6 +21,11 @@ CASE_IDENTIFIERS = [
 ]
 
 
+def in_every_task(cases: DataFrame, limit: int = MAX_BROADCAST_CASES) -> DataFrame:
+    """Broadcast a case list after checking its size; a longer list stays distributed."""
+    return F.broadcast(cases) if cases.limit(limit + 1).count() <= limit else cases
+
+
 def _queue(scored: DataFrame, limit: int) -> DataFrame:
     return scored.select(*QUEUE_COLUMNS).orderBy(F.desc("fraud_probability"), "transaction_key").limit(limit)
 
@@ -51,8 +57,8 @@ def case_decisions(scored: DataFrame, threshold: float = C.DECISION_THRESHOLD) -
 
 
 def case_lookup(base: DataFrame, network: DataFrame, cases: DataFrame) -> DataFrame:
-    """Model row and network row of every case. Cases are a queue, so their size is the queue's limit."""
-    keys = F.broadcast(cases.select("transaction_key"))
+    """Model row and network row of every case."""
+    keys = in_every_task(cases.select("transaction_key"))
     model = base.select("transaction_key", *MODEL_FEATURES, "is_fraud").join(keys, "transaction_key", "left_semi")
     links = network.select("transaction_key", *CASE_IDENTIFIERS, *CASE_NETWORK_COLUMNS).join(
         keys, "transaction_key", "left_semi")
@@ -67,14 +73,14 @@ def _first_per_case(df: DataFrame, order: list[Column], limit: int) -> DataFrame
 def customer_history(facts: DataFrame, cases: DataFrame, limit: int = 20) -> DataFrame:
     """Each case customer's latest payments up to the time of the case, the case included.
 
-    The case list is small and read by every task next to the facts; a task keeps at most ``limit``
-    rows per case before anything is exchanged, however long the customer's history is.
+    A case list of checked size is read by every task next to the facts; a task keeps at most
+    ``limit`` rows per case before anything is exchanged, however long the customer's history is.
     """
-    about = cases.join(facts.select("transaction_key", "customer_id", "transaction_ts"), "transaction_key").select(
+    about = in_every_task(cases).join(facts.select("transaction_key", "customer_id", "transaction_ts"), "transaction_key").select(
         F.col("transaction_key").alias("case_key"), F.col("customer_id").alias("case_customer"),
         F.col("transaction_ts").alias("case_ts"))
     earlier = facts.join(
-        F.broadcast(about),
+        in_every_task(about),
         (F.col("customer_id") == F.col("case_customer")) & (F.col("transaction_ts") <= F.col("case_ts")))
     rows = earlier.select(
         "case_key", F.col("transaction_ts").alias("timestamp"), "transaction_key", "amount", "currency", "merchant",
@@ -83,9 +89,9 @@ def customer_history(facts: DataFrame, cases: DataFrame, limit: int = 20) -> Dat
 
 
 def _linked(edges: DataFrame, facts: DataFrame, cases: DataFrame, linked: str, limit: int) -> DataFrame:
-    about = cases.join(facts.select("transaction_key", "device_fingerprint"), "transaction_key").select(
+    about = in_every_task(cases).join(facts.select("transaction_key", "device_fingerprint"), "transaction_key").select(
         F.col("transaction_key").alias("case_key"), "device_fingerprint")
-    rows = edges.join(F.broadcast(about), "device_fingerprint").drop("device_fingerprint")
+    rows = edges.join(in_every_task(about), "device_fingerprint").drop("device_fingerprint")
     return _first_per_case(rows, [F.desc("fraud_transactions"), F.desc("transactions"), F.asc_nulls_last(linked)], limit)
 
 

@@ -10,6 +10,11 @@ from riskloom.operators.behavior import EVENT_ORDER
 from riskloom.operators.skew import MAX_ROWS_PER_TASK, per_entity, running
 
 
+LINK_INPUTS = [
+    "transaction_key", "transaction_ts", "device_fingerprint", "customer_id", "card_number", "merchant",
+]
+
+
 def _device_history(df: DataFrame, chunk: str | None) -> DataFrame:
     # The device window comes first: its exchange also serves the finer (device, x) windows.
     df = running(df, ["device_fingerprint"], EVENT_ORDER, {"prior_device_transactions": ("count", None)}, chunk)
@@ -31,10 +36,11 @@ def _card_history(df: DataFrame, chunk: str | None) -> DataFrame:
     }, chunk)
 
 
-def network_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, rows: int | None = None) -> DataFrame:
-    """Earlier use of the device and the card, and the flags built on it. Two exchanges: device, card."""
+def network_history(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, rows: int | None = None) -> DataFrame:
+    """The network features alone, one row per ``transaction_key``; two exchanges of six columns: device, card."""
     rows = df.count() if rows is None else rows
-    table = per_entity(df, ["device_fingerprint"], EVENT_ORDER, _device_history, max_rows, rows)
+    table = per_entity(
+        df.select(*LINK_INPUTS), ["device_fingerprint"], EVENT_ORDER, _device_history, max_rows, rows)
     table = per_entity(table, ["card_number"], EVENT_ORDER, _card_history, max_rows, rows)
     known_device = F.col("prior_device_transactions") > 0
     return table.withColumns({
@@ -46,7 +52,19 @@ def network_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, rows: int
         "device_shared_by_multiple_customers_flag": C.flag(F.col("prior_customers_on_device") >= 2),
         "device_shared_by_multiple_cards_flag": C.flag(F.col("prior_cards_on_device") >= 2),
         "card_used_across_multiple_devices_flag": C.flag(F.col("prior_devices_on_card") >= 2),
-    }).drop("_links_customer", "_links_card", "_links_merchant")
+    }).drop("_links_customer", "_links_card", "_links_merchant", *LINK_INPUTS[1:])
+
+
+def network_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, rows: int | None = None,
+                     payments: DataFrame | None = None) -> DataFrame:
+    """Rows with their earlier device and card use, and the flags built on it.
+
+    ``payments`` is the table the links are read from, where ``df`` is derived from it and costly
+    to compute twice. Behaviour features arrive laid out by ``transaction_key``, so joining them
+    here moves only the narrow side.
+    """
+    history = network_history(df if payments is None else payments, max_rows, rows)
+    return df.join(history, "transaction_key", "left")
 
 
 def _edges(df: DataFrame, linked: str, counted: str, counted_as: str) -> DataFrame:

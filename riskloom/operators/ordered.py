@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from riskloom.operators.skew import MAX_ROWS_PER_TASK, attach
 
-MAX_RANGES = 4096
+MAX_RANGES = 1024
 
 
 def running_totals(df: DataFrame, groups: list[str], value: str, measures: list[str], rows: int,

@@ -22,6 +22,8 @@ from riskloom.session import ensure_checkpoint_dir
 # Rows of one entity that one task may order; well inside what a sort spills comfortably.
 MAX_ROWS_PER_TASK = 5_000_000
 CHUNK = "_chunk"
+# A key list up to this size is read by every task; a longer one is joined by shuffle.
+BROADCAST_KEYS = 100_000
 
 
 def match(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
@@ -52,8 +54,11 @@ def split_heavy(df: DataFrame, keys: list[str], max_rows: int = MAX_ROWS_PER_TAS
     )
     ensure_checkpoint_dir(df.sparkSession)
     heavy = heavy.checkpoint()
-    if heavy.isEmpty():
+    found = heavy.count()
+    if found == 0:
         return df, None
+    if found <= BROADCAST_KEYS:
+        heavy = F.broadcast(heavy)
     condition = match(df, heavy, keys)
     return df.join(heavy, condition, "left_anti"), df.join(heavy, condition, "left_semi")
 

@@ -54,22 +54,31 @@ def round_doubles(df: DataFrame, places: int = 6) -> DataFrame:
 
 
 def behavior(spark: SparkSession, folder: str) -> DataFrame:
-    return B.behavior_features(X.tx(spark, folder))
+    """Payments with history, for queries that read a few of the columns."""
+    return B.with_history(X.tx(spark, folder))
 
 
 def network(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with network features."""
     payments = X.tx(spark, folder)
     rows = payments.count()
-    return N.network_features(B.behavior_features(payments, rows=rows), rows=rows)
+    return N.network_features(B.with_history(payments, rows=rows), rows=rows, payments=payments)
+
+
+def feature_table(spark: SparkSession, folder: str) -> DataFrame:
+    """All columns of all features: the wide rows move once."""
+    payments = X.tx(spark, folder)
+    rows = payments.count()
+    return N.network_features(B.behavior_features(payments, rows=rows), rows=rows, payments=payments)
 
 
 def network_only(spark: SparkSession, folder: str) -> DataFrame:
-    """Network features on the bare payments: nothing in them needs the customer history."""
-    return N.network_features(X.tx(spark, folder))
+    """Network features with the label: nothing in them needs the customer history."""
+    return N.network_features(X.tx(spark, folder).select(*N.LINK_INPUTS, "is_fraud"))
 
 
 def base(spark: SparkSession, folder: str) -> DataFrame:
-    return M.model_base(network(spark, folder), X.VALIDATION_START, X.TEST_START)
+    return M.model_base(feature_table(spark, folder), X.VALIDATION_START, X.TEST_START)
 
 
 def light_base(spark: SparkSession, folder: str) -> DataFrame:
@@ -423,7 +432,7 @@ QUERIES: dict[str, Query] = {
     "velocity_features": _on(X.tx, lambda t: round_doubles(B.velocity_features(t).select(
         "transaction_key", "calculated_txn_count_1h", "calculated_amount_1h", "calculated_txn_count_24h",
         "calculated_amount_24h"))),
-    "behavior_features": _on(behavior, round_doubles),
+    "behavior_features": _on(X.tx, lambda t: round_doubles(B.behavior_features(t))),
     "risk_flags": _on(X.tx, lambda t: B.risk_flags(t).select(*_flag_columns())),
     "behavior_summary": _on(behavior, P.behavior_summary),
     "behavior_signals": _on(behavior, P.behavior_signals),
@@ -431,7 +440,7 @@ QUERIES: dict[str, Query] = {
     "velocity_check": _on(behavior, P.velocity_check),
     "velocity_audit": _on(behavior, P.velocity_audit),
     # network
-    "network_features": _on(network, round_doubles),
+    "network_features": _on(feature_table, round_doubles),
     "network_summary": _on(network_only, P.network_summary),
     "network_signals": _on(network_only, P.network_signals),
     "device_summary": _on(X.tx, N.device_summary),

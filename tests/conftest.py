@@ -1,3 +1,4 @@
+import math
 import sys
 from pathlib import Path
 
@@ -31,3 +32,21 @@ def rows_of(df, keys=None):
 
     columns = sorted(keys or df.columns)
     return sorted((tuple(cell(r[c]) for c in columns) for r in df.select(*columns).collect()), key=repr)
+
+
+def same_rows(left, right, keys=None):
+    """Equal rows in any order; doubles may differ in their last digits, as sums are added in another order."""
+    columns = sorted(keys or left.columns)
+    text = [c for c in columns if dict(left.dtypes)[c] != "double"]
+
+    def ordered(df):
+        return sorted(df.select(*columns).collect(), key=lambda r: (
+            repr([r[c] for c in text]), [(r[c] is None, r[c] or 0.0) for c in columns if c not in text]))
+
+    a, b = ordered(left), ordered(right)
+    assert len(a) == len(b)
+    for x, y in zip(a, b):
+        for c in columns:
+            close = isinstance(x[c], float) and isinstance(y[c], float) and math.isclose(x[c], y[c], rel_tol=1e-9, abs_tol=1e-8)
+            assert x[c] == y[c] or close, (c, x, y)
+    return True

@@ -2,7 +2,7 @@
 
 import datetime as dt
 
-from conftest import rows_of
+from conftest import same_rows
 from pyspark.sql import functions as F
 
 from riskloom.operators import behavior, network
@@ -21,14 +21,14 @@ def test_later_rows_never_change_earlier_features(spark, folder):
     early = tx.filter(F.col("transaction_ts") < cut)
     columns = ["transaction_key", *FEATURES, "prior_customers_on_device", "prior_devices_on_card"]
     everything = network.network_features(behavior.behavior_features(tx)).filter(F.col("transaction_ts") < cut)
-    assert rows_of(everything, columns) == rows_of(network.network_features(behavior.behavior_features(early)), columns)
+    assert same_rows(everything, network.network_features(behavior.behavior_features(early)), columns)
 
 
 def test_row_order_does_not_matter(spark, folder):
     tx = X.tx(spark, folder)
     columns = ["transaction_key", *FEATURES]
-    assert rows_of(behavior.behavior_features(tx), columns) == rows_of(
-        behavior.behavior_features(tx.orderBy(F.md5("transaction_key")).repartition(5)), columns)
+    shuffled = tx.orderBy(F.md5("transaction_key")).repartition(5)
+    assert same_rows(behavior.behavior_features(tx), behavior.behavior_features(shuffled), columns)
 
 
 def test_first_row_has_no_history(spark, folder):
@@ -75,4 +75,4 @@ def test_running_distinct_is_exact(spark, folder):
             F.count_distinct("b.customer_id").alias("prior_customers_on_device"),
             F.count_distinct("b.card_number").alias("prior_cards_on_device"),
             F.count("b.transaction_key").alias("prior_device_transactions"))
-    assert rows_of(got, brute.columns) == rows_of(brute)
+    assert same_rows(got, brute, brute.columns)

@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import rows_of
+from conftest import same_rows
 from pyspark.sql import functions as F
 
 from riskloom.operators import behavior, decisions, duplicates, metrics, network, ordered
@@ -63,27 +63,27 @@ def test_running_kinds(payments):
     direct = running(payments, keys, order, spec)
     chunked = running(chunk_rows(payments, keys, order, 60), keys, order, spec, CHUNK)
     columns = ["transaction_key", *spec]
-    assert rows_of(direct, columns) == rows_of(chunked, columns)
+    assert same_rows(direct, chunked, columns)
 
 
 @pytest.mark.parametrize("limit", [40, 300])
 def test_behavior_features(payments, limit):
-    assert rows_of(behavior.behavior_features(payments)) == rows_of(behavior.behavior_features(payments, limit))
+    assert same_rows(behavior.behavior_features(payments), behavior.behavior_features(payments, limit))
 
 
 def test_velocity_features(payments):
     names = ["transaction_key", "calculated_txn_count_1h", "calculated_amount_1h", "calculated_txn_count_24h",
              "calculated_amount_24h"]
-    assert rows_of(behavior.velocity_features(payments), names) == rows_of(
-        behavior.velocity_features(payments, 40, bucket_seconds=600), names)
+    assert same_rows(behavior.velocity_features(payments),
+                     behavior.velocity_features(payments, 40, bucket_seconds=600), names)
 
 
 def test_network_features(payments):
-    assert rows_of(network.network_features(payments)) == rows_of(network.network_features(payments, 100))
+    assert same_rows(network.network_features(payments), network.network_features(payments, 100))
 
 
 def test_risk_flags(payments):
-    assert rows_of(behavior.risk_flags(payments)) == rows_of(behavior.risk_flags(payments, 40))
+    assert same_rows(behavior.risk_flags(payments), behavior.risk_flags(payments, 40))
 
 
 def test_unique_keys_with_a_large_group_of_copies(spark, folder):
@@ -91,7 +91,7 @@ def test_unique_keys_with_a_large_group_of_copies(spark, folder):
     copies = reused.limit(1).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(400)))).drop("copy")
     table = reused.unionByName(copies)
     direct, chunked = duplicates.unique_keys(table), duplicates.unique_keys(table, 50)
-    assert rows_of(direct) == rows_of(chunked)
+    assert same_rows(direct, chunked)
     assert chunked.select("transaction_key").distinct().count() == table.count()
 
 
@@ -99,16 +99,16 @@ def test_running_totals_in_ranges(spark, folder):
     counts = X.tx(spark, folder).groupBy("channel", "amount").agg(F.count("*").alias("n"))
     one = ordered.running_totals(counts, ["channel"], "amount", ["n"], 10)
     many = ordered.running_totals(counts, ["channel"], "amount", ["n"], 1000, max_rows=50)
-    assert rows_of(one) == rows_of(many)
+    assert same_rows(one, many)
 
 
 def test_quantiles_and_areas_in_ranges(spark, folder):
     tx, scored = X.tx(spark, folder), X.tx_scored(spark, folder)
     columns, points = ["amount", "distance_from_home", "transaction_hour"], [0.0, 0.05, 0.3, 0.5, 0.95, 1.0]
-    assert rows_of(ordered.exact_quantiles(tx, columns, points)) == rows_of(
-        ordered.exact_quantiles(tx, columns, points, max_rows=200))
+    assert same_rows(ordered.exact_quantiles(tx, columns, points),
+                     ordered.exact_quantiles(tx, columns, points, max_rows=200))
     for area in (metrics.roc_auc, metrics.pr_auc):
-        assert rows_of(area(scored)) == rows_of(area(scored, max_rows=20))
+        assert same_rows(area(scored), area(scored, max_rows=20))
 
 
 def test_exact_quantiles_are_the_interpolated_ones(spark, folder):
@@ -124,4 +124,4 @@ def test_daily_top_is_the_plain_rank(spark, folder):
     scored = X.tx_scored(spark, folder)
     window = Window.partitionBy("transaction_date").orderBy(F.desc("fraud_probability"), "transaction_key")
     plain = scored.withColumn("risk_rank", F.row_number().over(window)).filter("risk_rank <= 7")
-    assert rows_of(decisions.daily_top(scored, 7)) == rows_of(plain)
+    assert same_rows(decisions.daily_top(scored, 7), plain)
