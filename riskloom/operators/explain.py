@@ -49,6 +49,12 @@ def friendly_name(feature: Column) -> Column:
     return F.coalesce(F.element_at(names, feature), feature)
 
 
+def feature_means(reference: DataFrame, columns: list[str]) -> dict[str, float]:
+    """Fitted centre of each feature: one aggregated row."""
+    row = reference.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    return {c: float(row[c]) if row[c] is not None else 0.0 for c in columns}
+
+
 def linear_contributions(rows: DataFrame, coefficients: dict[str, float], reference: DataFrame,
                          intercept: float = 0.0, keep: list[str] | None = None) -> DataFrame:
     """Contributions of a linear score, exact: coefficient times distance from the reference mean.
@@ -57,17 +63,15 @@ def linear_contributions(rows: DataFrame, coefficients: dict[str, float], refere
     give the score. A missing input sits at the mean and contributes nothing.
     """
     kept = keep or ["transaction_key"]
-    means = reference.agg(F.struct(*[F.avg(c).alias(c) for c in coefficients]).alias("means")).scalar()
-    entries, base = [], F.lit(float(intercept))
+    means = feature_means(reference, list(coefficients))
+    entries = []
     for name, weight in coefficients.items():
-        mean = F.col("_means").getField(name)
-        value = F.col(name).cast("double")
+        mean, value = F.lit(means[name]), F.col(name).cast("double")
         entries.append(F.struct(
             F.lit(name).alias("feature"), value.alias("value"),
             (F.lit(float(weight)) * (F.coalesce(value, mean) - mean)).alias("contribution")))
-        base = base + F.lit(float(weight)) * mean
-    return rows.withColumn("_means", means).select(
-        *kept, F.array(*entries).alias("contributions"), base.alias("base_value"))
+    base = intercept + sum(weight * means[name] for name, weight in coefficients.items())
+    return rows.select(*kept, F.array(*entries).alias("contributions"), F.lit(float(base)).alias("base_value"))
 
 
 def long_contributions(contributions: DataFrame) -> DataFrame:

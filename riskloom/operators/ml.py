@@ -26,6 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Training settings.
 RARE_LEVEL_ROWS = 100
+# Categorical model inputs have closed domains; a column beyond this is an identifier, not a category.
+MAX_LEVELS = 10_000
 INFREQUENT = "__infrequent__"
 LOGISTIC_ITERATIONS = 300
 INVERSE_PENALTY = 1.0
@@ -97,7 +99,12 @@ class Preprocessing:
     @staticmethod
     def fit(train: DataFrame) -> Preprocessing:
         numeric = {r["feature"]: (r["median"], r["mean"], r["scale"]) for r in numeric_preprocessing(train).collect()}
-        table = categorical_levels(train).groupBy("feature").agg(
+        domains = categorical_levels(train)
+        sizes = domains.groupBy("feature").agg(F.count(F.lit(1)).alias("levels")).collect()
+        too_wide = [r["feature"] for r in sizes if r["levels"] > MAX_LEVELS]
+        if too_wide:
+            raise ValueError(f"not categorical, more than {MAX_LEVELS} levels: {too_wide}")
+        table = domains.groupBy("feature").agg(
             F.sort_array(F.collect_list(F.when(F.col("level") != INFREQUENT, F.col("category")))).alias("frequent"),
             F.sort_array(F.collect_list(F.when(F.col("level") == INFREQUENT, F.col("category")))).alias("rare"),
             F.max_by("category", F.struct("transactions", "category")).alias("mode"))

@@ -195,6 +195,7 @@ def stored_base(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _metrics(scored: DataFrame, threshold: float) -> DataFrame:
+    scored = stored(scored.select("is_fraud", "fraud_probability"), "scored")
     return Q.confusion_metrics(scored, threshold).withColumns({
         "roc_auc": Q.roc_auc(scored).scalar(), "pr_auc": Q.pr_auc(scored).scalar()})
 
