@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as C
-from riskloom.operators.ordered import running_totals
+from riskloom.operators.ordered import running_totals, settled
 from riskloom.operators.skew import MAX_ROWS_PER_TASK
 
 # The threshold grids, with the floating-point steps that comparisons must agree on.
@@ -93,7 +93,8 @@ def _ranked_scores(scored: DataFrame, max_rows: int) -> DataFrame:
     """Distinct scores, highest first, with their labels and the labels above them."""
     distinct = scored.groupBy((-F.col(SCORE)).alias("rank_by")).agg(
         F.count_if(F.col(LABEL) == 1).alias("pos"), F.count_if(F.col(LABEL) == 0).alias("neg"))
-    return running_totals(distinct, [], "rank_by", ["pos", "neg"], scored.count(), max_rows)
+    rows = scored.count()
+    return running_totals(settled(distinct, rows, max_rows), [], "rank_by", ["pos", "neg"], rows, max_rows)
 
 
 def roc_auc(scored: DataFrame, max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import columns as C
 from riskloom.operators.metrics import confusion_counts, confusion_metrics
-from riskloom.operators.ordered import MAX_ROWS_PER_TASK, exact_quantiles, long_values
+from riskloom.operators.ordered import MAX_ROWS_PER_TASK, exact_quantiles
 
 # Monitored features, PSI constants, alert levels and texts.
 NUMERIC_FEATURES = [
@@ -62,10 +62,29 @@ def _share(part: Column, whole: Column) -> Column:
 
 
 def psi_edges(reference: DataFrame, features: list[str], bins: int = PSI_BINS,
-              max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
-    """Distinct quantile edges of every feature, at most ``bins + 1`` values each."""
+              max_rows: int = MAX_ROWS_PER_TASK) -> dict[str, list[float]]:
+    """Distinct quantile edges of every feature, fitted once: at most ``bins + 1`` numbers each."""
     quantiles = exact_quantiles(reference, features, [float(p) for p in np.linspace(0, 1, bins + 1)], max_rows)
-    return quantiles.groupBy("feature").agg(F.array_sort(F.collect_set("value")).alias("edges"))
+    edges: dict[str, set[float]] = {f: set() for f in features}
+    for row in quantiles.collect():
+        edges[row["feature"]].add(row["value"])
+    return {f: sorted(values) for f, values in edges.items()}
+
+
+def _histograms(df: DataFrame, edges: dict[str, list[float]], keep: list[str]) -> DataFrame:
+    """Rows per bin of every feature, as one map per group; one scan, at most ``bins`` entries per map."""
+    entries = []
+    for feature, cuts in edges.items():
+        x = F.col(feature).cast("double")
+        # Inner edges only, the outer ones are open; without two edges to divide there is one bin.
+        inner = [(x >= F.lit(e)).cast("int") for e in cuts[1:-1]]
+        index = F.when(x.isNotNull(), sum(inner, F.lit(0)))
+        entries.append(F.struct(F.lit(feature).alias("feature"), index.alias("bin"), x.alias("value")))
+    counts = df.select(*keep, F.inline(F.array(*entries))).groupBy(*keep, "feature", "bin").agg(
+        F.count("value").alias("n"), F.sum("value").alias("total"))
+    return counts.groupBy(*keep, "feature").agg(
+        F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n")))).alias("bins"),
+        F.sum("n").alias("known"), F.sum("total").alias("total"))
 
 
 def numeric_psi(reference: DataFrame, current: DataFrame, features: list[str] = NUMERIC_FEATURES,
@@ -75,34 +94,23 @@ def numeric_psi(reference: DataFrame, current: DataFrame, features: list[str] =
     The outer edges are open. Fewer than three distinct edges give 0, an empty side gives NULL.
     """
     edges = psi_edges(reference, features, bins, max_rows)
-    both = long_values(reference, features).withColumn(DAY, F.lit(None).cast("date")).unionByName(
-        long_values(current, features, [DAY]))
-    # One row of at most eleven edges per monitored feature.
-    placed = both.join(F.broadcast(edges), "feature", "left")
-    inner = F.when(F.size("edges") >= 3, F.slice("edges", 2, F.size("edges") - 2)).otherwise(
-        F.array().cast("array<double>"))
-    bin_index = F.when(F.col("value").isNotNull(), F.size(F.filter(inner, lambda e: e <= F.col("value"))))
-    counts = placed.groupBy(DAY, "feature", bin_index.alias("bin")).agg(
-        F.count("value").alias("n"), F.sum("value").alias("total"), F.first("edges").alias("edges"))
-    # At most ``bins`` entries per feature and day.
-    histograms = counts.groupBy(DAY, "feature").agg(
-        F.map_from_entries(F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "n")))).alias("bins"),
-        F.sum("n").alias("known"), F.sum("total").alias("total"),
-        F.size(F.first("edges")).alias("edge_count"))
-    base = histograms.filter(F.col(DAY).isNull()).select(
+    base = _histograms(reference, edges, []).select(
         "feature", F.col("bins").alias("ref_bins"), F.col("known").alias("ref_known"), F.col("total").alias("ref_total"))
-    joined = histograms.filter(F.col(DAY).isNotNull()).join(F.broadcast(base), "feature", "left")
+    # One row per monitored feature.
+    joined = _histograms(current, edges, [DAY]).join(F.broadcast(base), "feature", "left")
+    sizes = F.create_map(*[F.lit(v) for f in features for v in (f, len(edges[f]))])
+    edge_count = F.element_at(sizes, F.col("feature"))
 
     def count_in(bins_map: str, index: Column) -> Column:
         return F.coalesce(F.element_at(bins_map, index), F.lit(0))
 
     distance = F.aggregate(
-        F.sequence(F.lit(0), F.col("edge_count") - 2), F.lit(0.0),
+        F.sequence(F.lit(0), edge_count - 2), F.lit(0.0),
         lambda acc, i: acc + _gap(
             _share(count_in("bins", i), F.col("known")), _share(count_in("ref_bins", i), F.col("ref_known"))))
     psi = (
-        F.when((F.col("known") == 0) | F.coalesce(F.col("ref_known") == 0, F.lit(True)), F.lit(None))
-        .when(F.col("edge_count") < 3, F.lit(0.0)).otherwise(distance)
+        F.when((F.col("known") == 0) | (F.coalesce("ref_known", F.lit(0)) == 0), F.lit(None))
+        .when(edge_count < 3, F.lit(0.0)).otherwise(distance)
     )
     return joined.select(
         DAY, "feature", C.rounded(psi, 9).alias("psi"),

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.skew import MAX_ROWS_PER_TASK, attach
+from riskloom.session import ensure_checkpoint_dir
 
 MAX_RANGES = 1024
 
@@ -54,6 +55,14 @@ def running_totals(df: DataFrame, groups: list[str], value: str, measures: list[
     )
 
 
+def settled(df: DataFrame, rows: int, max_rows: int) -> DataFrame:
+    """A table that several passes will read: large ones are computed once, into the checkpoint folder."""
+    if rows <= max_rows:
+        return df
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
+
+
 def long_values(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
     """Numeric columns in long form ``(keep.., feature, value)``; one scan for all columns."""
     kept = keep or []
@@ -61,14 +70,29 @@ def long_values(df: DataFrame, columns: list[str], keep: list[str] | None = None
     return doubles.unpivot(kept, columns, "feature", "value")
 
 
+def _quantiles_at_once(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
+    points = F.array(*[F.lit(float(p)) for p in probabilities])
+    row = df.agg(*[F.percentile(F.col(c).cast("double"), points).alias(c) for c in columns])
+    named = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("values")) for c in columns])
+    long = row.select(F.inline(named)).select("feature", F.posexplode("values").alias("i", "value"))
+    return long.select("feature", F.element_at(points, F.col("i") + 1).alias("probability"), "value")
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float],
                     max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
-    """Linearly interpolated quantiles of each column, NULLs ignored: ``(feature, probability, value)``."""
+    """Linearly interpolated quantiles of each column, NULLs ignored: ``(feature, probability, value)``.
+
+    While all values fit one task, the built-in percentile holds them. Beyond that, the values stay
+    distributed and the quantiles are read off their running counts.
+    """
     rows = df.count() * len(columns)
+    if rows <= max_rows:
+        return _quantiles_at_once(df, columns, probabilities)
     counts = (
         long_values(df, columns).filter(F.col("value").isNotNull())
         .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     )
+    counts = settled(counts, rows, max_rows)
     ranked = running_totals(counts, ["feature"], "value", ["n"], rows, max_rows)
     sizes = F.broadcast(  # one row per column of the input
         counts.groupBy("feature").agg(F.sum("n").alias("_size"))

@@ -720,6 +720,7 @@ ORACLE: dict[str, str] = {
         (select count(*) from ({ALERTS}) a) as total_monitoring_alerts from reference_rates""", ALL_DRIFT),
     "class_weights": with_tables("tx", f"""select is_fraud, count(*) as transactions,
         round(sum(count(*)) over ()::double / (2 * count(*)), 9) as class_weight from tx where transaction_ts < {V} group by 1"""),
+    "model_roundtrip": with_tables("tx", f"select count(*) as rows, cast(0 as bigint) as different from tx where transaction_ts >= {T}"),
     "preprocess_numeric": _numeric_preprocessing(),
     "preprocess_categorical": _levels(),
     "contributions": with_tables("bf tx_scored", """select transaction_key, round(base_value, 6) as base_value, feature,

@@ -9,12 +9,18 @@ from pyspark.sql import SparkSession
 
 def build_session(app: str = "riskloom", master: str | None = None, shuffle_partitions: int | None = None,
                   memory: str | None = None) -> SparkSession:
-    """A session with the settings the operators rely on: UTC, adaptive plans, Arrow batches."""
+    """A session with the settings the operators rely on: UTC, adaptive plans, Arrow batches.
+
+    On a cluster leave ``master`` to the submit command and give ``shuffle_partitions`` generously,
+    about the largest exchange over 200 MB: adaptive execution merges small partitions to the
+    advisory size, but cannot split one that does not fit.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128m")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
