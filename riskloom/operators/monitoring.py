@@ -75,11 +75,11 @@ def _histograms(df: DataFrame, edges: dict[str, list[float]], keep: list[str]) -
     """Rows per bin of every feature, as one map per group; one scan, at most ``bins`` entries per map."""
     entries = []
     for feature, cuts in edges.items():
-        x = F.col(feature).cast("double")
+        x = f"cast(`{feature}` as double)"
         # Inner edges only, the outer ones are open; without two edges to divide there is one bin.
-        inner = [(x >= F.lit(e)).cast("int") for e in cuts[1:-1]]
-        index = F.when(x.isNotNull(), sum(inner, F.lit(0)))
-        entries.append(F.struct(F.lit(feature).alias("feature"), index.alias("bin"), x.alias("value")))
+        index = " + ".join(["0", *[f"cast({x} >= {e!r}D as int)" for e in cuts[1:-1]]])
+        entries.append(F.expr(
+            f"named_struct('feature', '{feature}', 'bin', if({x} is not null, {index}, null), 'value', {x})"))
     counts = df.select(*keep, F.inline(F.array(*entries))).groupBy(*keep, "feature", "bin").agg(
         F.count("value").alias("n"), F.sum("value").alias("total"))
     return counts.groupBy(*keep, "feature").agg(
