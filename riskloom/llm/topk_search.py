@@ -168,12 +168,12 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 
 
 OP1_SQL = """
-with v as (select vec_id, list_transform(embedding, x -> cast(floor(64 * cast(x as double)) as bigint)) as e
+with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as e
            from embeddings
            where vec_id is not null and embedding is not null
-             and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 s as (select q.vec_id as query_id, c.vec_id,
-             cast(list_sum(list_transform(list_zip(q.e, c.e), p -> p[1] * p[2])) as bigint) as score
+             cast(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) as bigint) as score
       from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id)
 select query_id, cast(rank as int) as rank, vec_id, score
 from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
