@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from riskloom.llm import chat_format, packing, quality_gam, topk_search, url_filters
+from riskloom.llm import (
+    chat_format,
+    packing,
+    quality_gam,
+    quality_rules,
+    simhash_dedup,
+    source_mixing,
+    topk_search,
+    url_filters,
+)
 
 QUERIES = {
     "op1_topk_search": topk_search.op1,
     "op2_url_filters": url_filters.op2,
+    "op4_simhash_dedup": simhash_dedup.op4,
     "op5_quality_gam": quality_gam.op5,
+    "op7_source_mixing": source_mixing.op7,
     "op8_packing": packing.op8,
     "op9_chat_format": chat_format.op9,
+    "op10_quality_rules": quality_rules.op10,
 }
 ORACLE = {
     "op1_topk_search": topk_search.OP1_SQL,
     "op2_url_filters": url_filters.OP2_SQL,
+    "op10_quality_rules": quality_rules.OP10_SQL,
 }
