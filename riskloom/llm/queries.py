@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from riskloom.llm import (
     chat_format,
+    language_id,
     packing,
     quality_gam,
     quality_rules,
@@ -16,6 +17,7 @@ from riskloom.llm import (
 QUERIES = {
     "op1_topk_search": topk_search.op1,
     "op2_url_filters": url_filters.op2,
+    "op3_language_id": language_id.op3,
     "op4_simhash_dedup": simhash_dedup.op4,
     "op5_quality_gam": quality_gam.op5,
     "op7_source_mixing": source_mixing.op7,
