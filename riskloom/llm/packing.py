@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import zlib
-from collections import deque
-from collections.abc import Callable, Iterator
+from array import array
+from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,52 +23,104 @@ SENTENCE_PENALTY = 8
 INNER_PENALTY = 64
 # Tokens that one run of the dynamic programme takes; the open window at its end moves into the next run.
 BLOCK_TOKENS = 1 << 20
-# Distinct words a task keeps the ids of, and the longest one kept.
-CACHE_WORDS = 200_000
+# Distinct words that each of a worker's two generations of known words holds, and the longest one kept.
+CACHE_WORDS = 450_000
 CACHE_CHARS = 64
+# The smallest power of two that a window is cut to for its own sake.
+LEAST_POWER = 256
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "ids binary")
 
 
-def encoder(path: str) -> Callable[[str], list[bytes]]:
-    """Ids of a text's words, four little-endian bytes an id.
+class WordIds:
+    """Ids of texts, word by word, four little-endian bytes an id.
 
     The vocabulary drops white space and never joins across it, so a text's ids are those of its space-separated words
-    in a row. Words repeat, hence a cache of bounded size; words are told apart at spaces and line ends alone, all
-    other white space is left to the tokenizer.
+    in a row; and it splits letters from marks, so a word's closing marks can be set apart, and it lower-cases. Words
+    repeat, hence two generations of known words of bounded size: when the younger is full, it becomes the older. Words
+    are told apart at spaces and line ends alone; all other white space is left to the tokenizer.
     """
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    known: dict[str, bytes] = {"": b""}
-
-    def ids(word: str) -> bytes:
-        found = np.array(tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= CACHE_CHARS:
-            if len(known) >= CACHE_WORDS:
-                known.clear()
-                known[""] = b""
-            known[word] = found
-        return found
-
-    def encode(text: str) -> list[bytes]:
-        get = known.get
-        return [x if (x := get(w)) is not None else ids(w) for w in text.replace("\n", " ").split(" ")]
-
-    return encode
-
-
-def sentence_ends(text: str, words: list[bytes]) -> np.ndarray:
-    """Token counts at which a sentence or line ends: after words that close with a stop, and before line ends."""
-    sizes = np.fromiter((len(w) for w in words), "i8", len(words)).cumsum() // 4
-    lines = text.split("\n")
-    at, ends = 0, []
-    for line in lines:
-        parts = line.split(" ")
-        ends += [at + i for i, w in enumerate(parts) if w[-1:] in (".", "!", "?", "。", "！", "？")]
-        at += len(parts)
-        ends.append(at - 1)
-    return np.unique(sizes[ends])
+    MARKS = ".,!?;:"
+    # Letters below this one are the same to every Unicode table.
+    BEYOND = "\u0180"
+
+    def __init__(self, path: str):
+        # Spark runs one task a core; the library's own threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.young: dict[str, bytes] = {"": b""}
+        self.old: dict[str, bytes] = {}
+        # Ids of full stops, question and exclamation marks: a sentence ends behind them.
+        stops = [i for x, i in self.tokenizer.get_vocab().items() if x.removesuffix("</w>").strip(".!?") == "" and x[0] in ".!?"]
+        self.stops = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.stops[stops] = True
+        self.word_end = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.word_end[[i for x, i in self.tokenizer.get_vocab().items() if x.endswith("</w>")]] = True
+
+    def learn(self, words: set[str]) -> None:
+        """Put the words' ids into the younger generation; what neither knows is encoded in one or two calls."""
+        young, old = self.young, self.old
+        split, plain, odd = {}, set(), set()
+        for word in words:
+            if (known := old.get(word)) is not None:
+                young[word] = known
+                continue
+            core = word.rstrip(self.MARKS)
+            if not core or not core[-1].isalnum():
+                core = word
+            if core.isascii() and "<|" not in core:
+                core = core.lower()
+            split[word] = core, word[len(core):]
+            if core not in young:
+                (plain if core.isalpha() and core < self.BEYOND and max(core) < self.BEYOND else odd).add(core)
+            if len(core) < len(word) and word[len(core):] not in young:
+                odd.add(word[len(core):])
+        if plain:
+            # One run of letters is one word, whose last token alone is marked as a word's end.
+            given = list(plain)
+            ids = np.array(self.tokenizer.encode(" ".join(given), add_special_tokens=False).ids, "<u4")
+            ends = (4 * (np.flatnonzero(self.word_end[ids]) + 1)).tolist()
+            raw, begun = ids.tobytes(), 0
+            for word, end in zip(given, ends, strict=True):
+                young[word] = raw[begun:end]
+                begun = end
+        given = list(odd)
+        for x, found in zip(given, self.tokenizer.encode_batch_fast(given, add_special_tokens=False)):
+            young[x] = array("I", found.ids).tobytes()
+        for word, (core, tail) in split.items():
+            young[word] = young[core] + young[tail] if tail else young[core]
+
+    def __call__(self, text: str) -> bytes:
+        words = text.replace("\n", " ").split(" ")
+        parts = list(map(self.young.get, words))
+        if None in parts:
+            unknown = {w for w, x in zip(words, parts) if x is None}
+            self.learn(unknown)
+            parts = list(map(self.young.get, words))
+            for word in unknown:
+                if len(word) > CACHE_CHARS:
+                    self.young.pop(word, None)
+                    self.young.pop(word.rstrip(self.MARKS).lower(), None)
+            if len(self.young) > CACHE_WORDS:
+                self.old, self.young = self.young, {"": b""}
+        return b"".join(parts)
+
+    def sentence_ends(self, ids: bytes) -> np.ndarray:
+        """Token counts behind which a sentence has ended."""
+        return np.flatnonzero(self.stops[np.frombuffer(ids, "<u4")]) + 1
+
+
+#: One per Python worker and vocabulary: the words stay known from task to task.
+_ENCODERS: dict[str, WordIds] = {}
+
+
+def encoder(path: str) -> WordIds:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordIds(path)
+    return _ENCODERS[path]
 
 
 def plan_cuts(cuts: np.ndarray, penalty: np.ndarray, window: int, last_free: bool) -> list[int]:
@@ -78,29 +132,36 @@ def plan_cuts(cuts: np.ndarray, penalty: np.ndarray, window: int, last_free: boo
     each. ``last_free`` leaves the padding of the last window out, when more tokens follow.
     """
     n = len(cuts)
+    places, fines = cuts.tolist(), penalty.tolist()
+    powers = [1 << b for b in range(LEAST_POWER.bit_length() - 1, window.bit_length()) if 1 << b <= window]
+    hits: dict[int, list[int]] = defaultdict(list)
+    for power in powers:
+        reach = np.searchsorted(cuts, cuts - power)
+        for j in np.flatnonzero(cuts[reach] == cuts - power).tolist():
+            hits[j].append(int(reach[j]))
     cost, back = [0] * n, [0] * n
-    queue: deque[int] = deque([0])
-    places = cuts.tolist()
-    fines = penalty.tolist()
-    powers = [1 << b for b in range(window.bit_length()) if 1 << b <= window]
-    reach = [np.searchsorted(cuts, cuts - p) for p in powers]
-    exact = np.stack([np.take(cuts, r) == cuts - p for r, p in zip(reach, powers)])
-    hits = {j: [int(reach[b][j]) for b in np.flatnonzero(exact[:, j])] for j in np.flatnonzero(exact.any(0)).tolist()}
+    queue, value, head = [0], [0], 0  # places in the queue and cost + cuts there, which grows along it
     for j in range(1, n):
         here = places[j]
-        while here - places[queue[0]] > window:
-            queue.popleft()
-        i = queue[0]
-        free = last_free and j == n - 1
-        least, from_ = cost[i] + (0 if free else window - here + places[i]), i
-        for r in hits.get(j, ()):
-            if cost[r] < least:
-                least, from_ = cost[r], r
+        while here - places[queue[head]] > window:
+            head += 1
+        if last_free and j == n - 1:
+            least, from_ = min((cost[i], -i) for i in queue[head:])
+            from_ = -from_
+        else:
+            from_ = queue[head]
+            least = value[head] - here + window
+        if j in hits:
+            for r in hits[j]:
+                if cost[r] < least:
+                    least, from_ = cost[r], r
         cost[j], back[j] = least + fines[j], from_
         mine = cost[j] + here
-        while queue and cost[queue[-1]] + places[queue[-1]] >= mine:
+        while len(queue) > head and value[-1] >= mine:
             queue.pop()
+            value.pop()
         queue.append(j)
+        value.append(mine)
     chosen, j = [], n - 1
     while j > 0:
         chosen.append(places[j])
@@ -123,15 +184,17 @@ def candidates(docs: list[tuple], window: int) -> tuple[np.ndarray, np.ndarray]:
     places, fines, at = [np.zeros(1, "i8")], [np.zeros(1, "i8")], 0
     for _, _, ends, total, begun in docs:
         left = total - begun
-        inner = ends[(ends > begun) & (ends < total)] - begun
+        inner = ends[np.searchsorted(ends, begun, "right"):np.searchsorted(ends, total)] - begun
         edges = np.r_[0, inner, left]
         gaps = np.flatnonzero(np.diff(edges) > window)
-        forced = [np.arange(edges[g] + window, edges[g + 1], window) for g in gaps]
-        # The places before the next sentence end at whole windows, so that each stretch can be crossed.
-        extra = np.concatenate([*forced, *(edges[g + 1] - np.arange(window, edges[g + 1] - edges[g], window)
-                                           for g in gaps)]) if len(gaps) else np.zeros(0, "i8")
-        spots = np.unique(np.r_[inner, extra, left])
-        fine = np.where(np.isin(spots, inner), SENTENCE_PENALTY, INNER_PENALTY)
+        spots = edges[1:]
+        fine = np.full(len(spots), SENTENCE_PENALTY)
+        if len(gaps):
+            # Places at whole windows from both ends of the stretch, so that it can be crossed.
+            forced = [np.arange(edges[g] + window, edges[g + 1], window) for g in gaps]
+            forced += [edges[g + 1] - np.arange(window, edges[g + 1] - edges[g], window) for g in gaps]
+            spots = np.unique(np.concatenate([spots, *forced]))
+            fine = np.where(np.isin(spots, inner), SENTENCE_PENALTY, INNER_PENALTY)
         fine[-1] = 0
         places.append(spots + at)
         fines.append(fine)
@@ -172,10 +235,8 @@ def _packer(path: str, window: int, block_tokens: int, end_id: int):
 
         for batch in batches:
             for part, doc_id, text in zip(batch["part"], batch["doc_id"], batch["text"]):
-                text = text or ""
-                words = encode(text)
-                ids = b"".join([*words, end])
-                docs.append((None if pd.isna(doc_id) else int(doc_id), ids, sentence_ends(text, words),
+                ids = encode(text or "") + end
+                docs.append((None if pd.isna(doc_id) else int(doc_id), ids, encode.sentence_ends(ids[:-4]),
                              len(ids) // 4, 0))
                 held += len(ids) // 4
                 if held >= block_tokens:
