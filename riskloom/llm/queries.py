@@ -5,6 +5,7 @@ from __future__ import annotations
 from riskloom.llm import (
     chat_format,
     language_id,
+    line_dedup,
     packing,
     quality_gam,
     quality_rules,
@@ -20,6 +21,7 @@ QUERIES = {
     "op3_language_id": language_id.op3,
     "op4_simhash_dedup": simhash_dedup.op4,
     "op5_quality_gam": quality_gam.op5,
+    "op6_line_dedup": line_dedup.op6,
     "op7_source_mixing": source_mixing.op7,
     "op8_packing": packing.op8,
     "op9_chat_format": chat_format.op9,
