@@ -42,8 +42,8 @@ class WordIds:
     """
 
     MARKS = ".,!?;:"
-    # Letters below this one are the same to every Unicode table.
-    BEYOND = "\u0180"
+    # Letters below this one stay one letter each when normalised and lower-cased.
+    BEYOND = "\u0100"
 
     def __init__(self, path: str):
         # Spark runs one task a core; the library's own threads would only wait for each other.
