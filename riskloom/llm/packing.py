@@ -190,9 +190,9 @@ def candidates(docs: list[tuple], window: int) -> tuple[np.ndarray, np.ndarray]:
         spots = edges[1:]
         fine = np.full(len(spots), SENTENCE_PENALTY)
         if len(gaps):
-            # Places at whole windows from both ends of the stretch, so that it can be crossed.
-            forced = [np.arange(edges[g] + window, edges[g + 1], window) for g in gaps]
-            forced += [edges[g + 1] - np.arange(window, edges[g + 1] - edges[g], window) for g in gaps]
+            # A stretch that no window can hold may be cut inside, at short steps so that windows still fill up.
+            step = max(1, window // 64)
+            forced = [np.arange(edges[g] + step, edges[g + 1], step) for g in gaps]
             spots = np.unique(np.concatenate([spots, *forced]))
             fine = np.where(np.isin(spots, inner), SENTENCE_PENALTY, INNER_PENALTY)
         fine[-1] = 0
