@@ -26,6 +26,8 @@ BLOCK_TOKENS = 1 << 20
 # Distinct words that each of a worker's two generations of known words holds, and the longest one kept.
 CACHE_WORDS = 450_000
 CACHE_CHARS = 64
+# Characters of the texts that are encoded together.
+TEXT_CHARS = 1 << 19
 # The smallest power of two that a window is cut to for its own sake.
 LEAST_POWER = 256
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -63,21 +65,28 @@ class WordIds:
     def learn(self, words: set[str]) -> None:
         """Put the words' ids into the younger generation; what neither knows is encoded in one or two calls."""
         young, old = self.young, self.old
-        split, plain, odd = {}, set(), set()
-        for word in words:
-            if (known := old.get(word)) is not None:
-                young[word] = known
-                continue
-            core = word.rstrip(self.MARKS)
-            if not core or not core[-1].isalnum():
-                core = word
-            if core.isascii() and "<|" not in core:
+        known = words & old.keys()
+        young.update(zip(known, map(old.__getitem__, known)))
+        marks, beyond = self.MARKS, self.BEYOND
+        split, plain, odd = [], set(), set()
+        for word in words - known:
+            core = word.rstrip(marks)
+            if core != word:
+                if core and core[-1].isalnum():
+                    tail = word[len(core):]
+                    if tail not in young:
+                        odd.add(tail)
+                else:
+                    core, tail = word, ""
+            else:
+                tail = ""
+            ascii_ = core.isascii()
+            if ascii_ and "<|" not in core:
                 core = core.lower()
-            split[word] = core, word[len(core):]
+            if core != word:
+                split.append((word, core, tail))
             if core not in young:
-                (plain if core.isalpha() and core < self.BEYOND and max(core) < self.BEYOND else odd).add(core)
-            if len(core) < len(word) and word[len(core):] not in young:
-                odd.add(word[len(core):])
+                (plain if core.isalpha() and (ascii_ or max(core) < beyond) else odd).add(core)
         if plain:
             # One run of letters is one word, whose last token alone is marked as a word's end.
             given = list(plain)
@@ -90,23 +99,24 @@ class WordIds:
         given = list(odd)
         for x, found in zip(given, self.tokenizer.encode_batch_fast(given, add_special_tokens=False)):
             young[x] = array("I", found.ids).tobytes()
-        for word, (core, tail) in split.items():
+        for word, core, tail in split:
             young[word] = young[core] + young[tail] if tail else young[core]
 
-    def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        parts = list(map(self.young.get, words))
-        if None in parts:
-            unknown = {w for w, x in zip(words, parts) if x is None}
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; the texts' words are looked up together."""
+        lists = [text.replace("\n", " ").split(" ") for text in texts]
+        unknown = set().union(*lists).difference(self.young)
+        if unknown:
             self.learn(unknown)
-            parts = list(map(self.young.get, words))
-            for word in unknown:
-                if len(word) > CACHE_CHARS:
-                    self.young.pop(word, None)
-                    self.young.pop(word.rstrip(self.MARKS).lower(), None)
-            if len(self.young) > CACHE_WORDS:
-                self.old, self.young = self.young, {"": b""}
-        return b"".join(parts)
+        find = self.young.__getitem__
+        out = [b"".join(map(find, words)) for words in lists]
+        for word in unknown:
+            if len(word) > CACHE_CHARS:
+                self.young.pop(word, None)
+                self.young.pop(word.rstrip(self.MARKS).lower(), None)
+        if len(self.young) > CACHE_WORDS:
+            self.old, self.young = self.young, {"": b""}
+        return out
 
     def sentence_ends(self, ids: bytes) -> np.ndarray:
         """Token counts behind which a sentence has ended."""
@@ -140,28 +150,28 @@ def plan_cuts(cuts: np.ndarray, penalty: np.ndarray, window: int, last_free: boo
         for j in np.flatnonzero(cuts[reach] == cuts - power).tolist():
             hits[j].append(int(reach[j]))
     cost, back = [0] * n, [0] * n
-    queue, value, head = [0], [0], 0  # places in the queue and cost + cuts there, which grows along it
+    # The queue: places, and cost + cuts there, which grows from head to tail.
+    queue, value, head, tail = [0] * n, [0] * n, 0, 1
     for j in range(1, n):
         here = places[j]
         while here - places[queue[head]] > window:
             head += 1
-        if last_free and j == n - 1:
-            least, from_ = min((cost[i], -i) for i in queue[head:])
-            from_ = -from_
-        else:
-            from_ = queue[head]
-            least = value[head] - here + window
+        from_ = queue[head]
+        least = value[head] - here + window
         if j in hits:
             for r in hits[j]:
                 if cost[r] < least:
                     least, from_ = cost[r], r
-        cost[j], back[j] = least + fines[j], from_
-        mine = cost[j] + here
-        while len(queue) > head and value[-1] >= mine:
-            queue.pop()
-            value.pop()
-        queue.append(j)
-        value.append(mine)
+        if last_free and j == n - 1:
+            least, from_ = min((cost[i], i) for i in queue[head:tail])
+        mine = cost[j] = least + fines[j]
+        back[j] = from_
+        mine += here
+        while tail > head and value[tail - 1] >= mine:
+            tail -= 1
+        queue[tail] = j
+        value[tail] = mine
+        tail += 1
     chosen, j = [], n - 1
     while j > 0:
         chosen.append(places[j])
@@ -234,13 +244,21 @@ def _packer(path: str, window: int, block_tokens: int, end_id: int):
             return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in PIECES.split(", ")])
 
         for batch in batches:
-            for part, doc_id, text in zip(batch["part"], batch["doc_id"], batch["text"]):
-                ids = encode(text or "") + end
-                docs.append((None if pd.isna(doc_id) else int(doc_id), ids, encode.sentence_ends(ids[:-4]),
-                             len(ids) // 4, 0))
-                held += len(ids) // 4
-                if held >= block_tokens:
-                    yield place(False)
+            ids_, texts = batch["doc_id"].tolist(), [t or "" for t in batch["text"]]
+            part = int(batch["part"].iloc[-1]) if len(batch) else part
+            at = 0
+            while at < len(texts):
+                upto, size = at, 0
+                while upto < len(texts) and size < TEXT_CHARS:
+                    size += len(texts[upto])
+                    upto += 1
+                for doc_id, ids in zip(ids_[at:upto], encode(texts[at:upto])):
+                    docs.append((None if pd.isna(doc_id) else int(doc_id), ids + end, encode.sentence_ends(ids),
+                                 len(ids) // 4 + 1, 0))
+                    held += len(ids) // 4 + 1
+                    if held >= block_tokens:
+                        yield place(False)
+                at = upto
         if docs:
             yield place(True)
     return run
