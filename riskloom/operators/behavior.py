@@ -6,12 +6,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as C
-from riskloom.operators.skew import CHUNK, MAX_ROWS_PER_TASK, attach, chunk_rows, per_entity, running, split_heavy
+from riskloom.operators.skew import (
+    BROADCAST_KEYS,
+    CHUNK,
+    MAX_ROWS_PER_TASK,
+    attach,
+    chunk_rows,
+    match,
+    per_entity,
+    running,
+    split_heavy,
+)
+from riskloom.session import ensure_checkpoint_dir
 
 EVENT_ORDER = ["transaction_ts", "transaction_key"]
 HOUR = 3_600
 HOURS = {"1h": HOUR, "24h": 24 * HOUR}
 BUCKET_SECONDS = 60
+# Rows of one customer within a day up to which a range frame is read anew for each row; beyond, buckets are summed.
+DENSE_ROWS = 2_000
 HISTORY_INPUTS = [
     "transaction_key", "customer_id", "transaction_ts", "amount", "merchant", "device_fingerprint", "ip_address",
     "transaction_hour",
@@ -102,22 +115,48 @@ def _velocity_bucketed(df: DataFrame, bucket_seconds: int) -> DataFrame:
     )
 
 
-def velocity_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK,
-                      bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+def split_dense(df: DataFrame, dense_rows: int = DENSE_ROWS) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of customers whose days all stay within ``dense_rows``, and those of the others (None when there are none).
+
+    A range frame costs the rows inside it for each row, so what counts is a customer's busiest day, not the customer's
+    rows. Days are counted with partial sums before the exchange; the list of busy customers is checkpointed.
+    """
+    day = F.floor(C.micros(F.col("transaction_ts")) / (HOURS["24h"] * 1_000_000))
+    busy = df.groupBy("customer_id", day.alias("_day")).agg(F.count(F.lit(1)).alias("_n")).filter(
+        F.col("_n") > dense_rows).select("customer_id").distinct()
+    ensure_checkpoint_dir(df.sparkSession)
+    busy = busy.checkpoint()
+    found = busy.count()
+    if not found:
+        return df, None
+    if found <= BROADCAST_KEYS:
+        busy = F.broadcast(busy)
+    condition = match(df, busy, ["customer_id"])
+    return df.join(busy, condition, "left_anti"), df.join(busy, condition, "left_semi")
+
+
+def velocity_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_seconds: int = BUCKET_SECONDS,
+                      dense_rows: int = DENSE_ROWS) -> DataFrame:
     """Count and value of the customer's payments in the last 1 h and 24 h, self excluded, ties included."""
     light, heavy = split_heavy(df, ["customer_id"], max_rows)
+    light, dense = split_dense(light, dense_rows)
     result = _velocity_direct(light)
-    return result if heavy is None else result.unionByName(_velocity_bucketed(heavy, bucket_seconds))
+    for rows in (heavy, dense):
+        if rows is not None:
+            result = result.unionByName(_velocity_bucketed(rows, bucket_seconds))
+    return result
 
 
 def with_history(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_seconds: int = BUCKET_SECONDS,
-                 rows: int | None = None) -> DataFrame:
-    """Add the history features next to the columns of ``df``.
-
-    For consumers that read a few of the columns: the others are pruned before the windows.
+                 rows: int | None = None, dense_rows: int = DENSE_ROWS) -> DataFrame:
+    """Add the history features next to the columns of ``df``, in place: no key is looked up, so NULL or repeated
+    transaction keys lose and multiply nothing. Columns that nobody reads are pruned before the windows.
     """
     light, heavy = split_heavy(df, ["customer_id"], max_rows, rows)
+    light, dense = split_dense(light, dense_rows)
     table = _novelty(_velocity_direct(_customer_history(light, None)), None)
+    if dense is not None:
+        table = table.unionByName(_velocity_bucketed(_novelty(_customer_history(dense, None), None), bucket_seconds))
     if heavy is not None:
         chunks = chunk_rows(heavy, ["customer_id"], EVENT_ORDER, max_rows)
         chunked = _novelty(_customer_history(chunks, CHUNK), CHUNK).drop(CHUNK)
@@ -139,13 +178,8 @@ def with_history(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_second
 
 def behavior_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_seconds: int = BUCKET_SECONDS,
                       rows: int | None = None) -> DataFrame:
-    """The full feature table: the payment with its history, velocity, novelty and change flags.
-
-    Windows exchange and sort only the columns they need. The wide row moves once, for the join on
-    its unique key, where nothing can be heavy.
-    """
-    history = with_history(df.select(*HISTORY_INPUTS), max_rows, bucket_seconds, rows)
-    return df.join(history.drop(*HISTORY_INPUTS[1:]), "transaction_key", "left")
+    """The full feature table: the payment with its history, velocity, novelty and change flags."""
+    return with_history(df, max_rows, bucket_seconds, rows)
 
 
 def risk_flags(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:

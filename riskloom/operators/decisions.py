@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import columns as C
 from riskloom.operators.metrics import ECONOMIC_THRESHOLDS, by_threshold, confusion_counts, with_rates
 from riskloom.operators.modeling import timestamp
+from riskloom.operators.skew import attach
 
 # Cost assumptions, capacities, rule cut points, compared systems and their flags.
 REVIEW_COST = 5.0
@@ -25,6 +26,8 @@ SYSTEMS = {
     "Synthetic network rules": "network_rule_flag",
     "ML + network rules": "ml_network_hybrid_flag",
 }
+# Bins of a probability in which the rows of a day are counted before any is exchanged.
+SCORE_BINS = 10_000
 RANK_SALTS = 32
 
 
@@ -86,9 +89,19 @@ def cheapest_threshold(economics: DataFrame) -> DataFrame:
 def daily_top(scored: DataFrame, limit: int) -> DataFrame:
     """The ``limit`` highest-scored rows of each day with their ``risk_rank``.
 
-    A day may hold a large share of all rows, so each day is cut to its best rows in salted parts
-    first; only ``salts * limit`` rows of a day meet in one task.
+    Scores are counted per day in SCORE_BINS bins, and only rows in the bins that reach ``limit`` are exchanged. One of
+    those may still hold a large share of a day, so each day is cut to its best rows in salted parts first; only
+    ``salts * limit`` rows of a day meet in one task.
     """
+    binned = scored.withColumn("_bin", F.coalesce(
+        F.floor(F.col("fraud_probability") * SCORE_BINS).cast("bigint"), F.lit(-1).cast("bigint")))
+    down = Window.partitionBy("transaction_date").orderBy(F.desc("_bin"))
+    counts = binned.groupBy("transaction_date", "_bin").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_above", F.sum("_n").over(down.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
+    cuts = counts.filter(F.col("_above") < limit).groupBy("transaction_date").agg(F.min("_bin").alias("_cut"))
+    # One row per day.
+    scored = attach(binned, F.broadcast(cuts), ["transaction_date"]).filter(F.col("_bin") >= F.col("_cut")).drop(
+        "_bin", "_cut")
     best = [F.desc("fraud_probability"), F.asc("transaction_key")]
     salted = scored.withColumn("_salt", F.pmod(F.xxhash64("transaction_key"), F.lit(RANK_SALTS)))
     part = Window.partitionBy("transaction_date", "_salt").orderBy(*best)

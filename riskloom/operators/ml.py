@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier, LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,18 +20,20 @@ from pyspark.sql import functions as F
 from riskloom.functions import columns as C
 from riskloom.operators.modeling import CATEGORICAL_FEATURES, NUMERIC_FEATURES
 from riskloom.operators.ordered import MAX_ROWS_PER_TASK, exact_quantiles
+from riskloom.session import ensure_checkpoint_dir
 
 # The batch functions below travel to the tasks by value: workers need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Training settings.
 RARE_LEVEL_ROWS = 100
-# Categorical model inputs have closed domains; a column beyond this is an identifier, not a category.
+# Rare categories of a feature that are named in the plan; those of a wider one are joined.
 MAX_LEVELS = 10_000
 INFREQUENT = "__infrequent__"
 LOGISTIC_ITERATIONS = 300
 INVERSE_PENALTY = 1.0
 BOOSTING_ROUNDS = 1000
+PATIENCE = 75
 LEARNING_RATE = 0.05
 TREE_DEPTH = 5
 SUBSAMPLE = 0.8
@@ -53,9 +55,9 @@ def with_class_weight(df: DataFrame, weights: DataFrame) -> DataFrame:
     return df.join(F.broadcast(weights.select("is_fraud", "class_weight")), "is_fraud")
 
 
-def numeric_preprocessing(train: DataFrame, columns: list[str] = NUMERIC_FEATURES,
-                          max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
-    """Exact median, and mean and population deviation after imputing it, of every numeric feature."""
+def numeric_fit(train: DataFrame, columns: list[str] = NUMERIC_FEATURES,
+                max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
+    """Exact median, and mean and population deviation after imputing it, of every numeric feature, unrounded."""
     medians = exact_quantiles(train, columns, [0.5], max_rows).select("feature", F.col("value").alias("median"))
     # Imputing the median shifts the moments in closed form, so one aggregation of the raw column is enough.
     known = [F.struct(
@@ -67,8 +69,14 @@ def numeric_preprocessing(train: DataFrame, columns: list[str] = NUMERIC_FEATURE
     mean = share * F.col("mean") + (1 - share) * F.col("median")
     between = share * (1 - share) * (F.col("mean") - F.col("median")) * (F.col("mean") - F.col("median"))
     return moments.join(medians, "feature").select(
-        "feature", C.rounded(F.col("median"), 6).alias("median"), C.rounded(mean, 6).alias("mean"),
-        C.rounded(F.sqrt(share * F.col("var") + between), 6).alias("scale"))
+        "feature", "median", mean.alias("mean"), F.sqrt(share * F.col("var") + between).alias("scale"))
+
+
+def numeric_preprocessing(train: DataFrame, columns: list[str] = NUMERIC_FEATURES,
+                          max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
+    """The fitted numbers as a report, to six places."""
+    return numeric_fit(train, columns, max_rows).select(
+        "feature", *[C.rounded(F.col(c), 6).alias(c) for c in ("median", "mean", "scale")])
 
 
 def categorical_levels(train: DataFrame, columns: list[str] = CATEGORICAL_FEATURES,
@@ -95,22 +103,29 @@ class Preprocessing:
 
     numeric: dict[str, tuple[float, float, float]]
     levels: dict[str, dict[str, list[str]]]
+    # Rare categories of features with more than MAX_LEVELS of them, as a stored (feature, category) table.
+    wide: DataFrame | None = None
 
     @staticmethod
     def fit(train: DataFrame) -> Preprocessing:
-        numeric = {r["feature"]: (r["median"], r["mean"], r["scale"]) for r in numeric_preprocessing(train).collect()}
+        numeric = {r["feature"]: (r["median"], r["mean"], r["scale"]) for r in numeric_fit(train).collect()}
         domains = categorical_levels(train)
         sizes = domains.groupBy("feature").agg(F.count(F.lit(1)).alias("levels")).collect()
-        too_wide = [r["feature"] for r in sizes if r["levels"] > MAX_LEVELS]
-        if too_wide:
-            raise ValueError(f"not categorical, more than {MAX_LEVELS} levels: {too_wide}")
+        broad = [r["feature"] for r in sizes if r["levels"] > MAX_LEVELS]
+        wide = None
+        if broad:
+            ensure_checkpoint_dir(train.sparkSession)
+            wide = domains.filter(F.col("feature").isin(broad) & (F.col("level") == INFREQUENT)).select(
+                "feature", "category").checkpoint()
+        rare = (F.col("level") == INFREQUENT) & ~F.col("feature").isin(broad)
         table = domains.groupBy("feature").agg(
             F.sort_array(F.collect_list(F.when(F.col("level") != INFREQUENT, F.col("category")))).alias("frequent"),
-            F.sort_array(F.collect_list(F.when(F.col("level") == INFREQUENT, F.col("category")))).alias("rare"),
-            F.max_by("category", F.struct("transactions", "category")).alias("mode"))
-        levels = {r["feature"]: {"frequent": r["frequent"], "rare": r["rare"], "mode": [r["mode"]]}
+            F.sort_array(F.collect_list(F.when(rare, F.col("category")))).alias("rare"),
+            # Most rows first, then the smallest text.
+            F.min(F.struct((-F.col("transactions")).alias("by"), F.col("category").alias("mode"))).alias("best"))
+        levels = {r["feature"]: {"frequent": r["frequent"], "rare": r["rare"], "mode": [r["best"]["mode"]]}
                   for r in table.collect()}
-        return Preprocessing(numeric, levels)
+        return Preprocessing(numeric, levels, wide)
 
     def apply(self, df: DataFrame) -> DataFrame:
         """Impute and scale numbers, pool rare categories; an unseen category stays itself and encodes to zeros."""
@@ -121,7 +136,14 @@ class Preprocessing:
         for name, level in self.levels.items():
             value = F.coalesce(F.col(name).cast("string"), F.lit(level["mode"][0]))
             made[f"c_{name}"] = F.when(value.isin(level["rare"]), INFREQUENT).otherwise(value) if level["rare"] else value
-        return df.withColumns(made)
+        out = df.withColumns(made)
+        if self.wide is not None:
+            for name in self.levels:
+                pool = self.wide.filter(F.col("feature") == name).select(
+                    F.col("category").alias("_rare"), F.lit(True).alias("_pooled"))
+                out = out.join(pool, out[f"c_{name}"] == F.col("_rare"), "left").withColumn(
+                    f"c_{name}", F.when(F.col("_pooled"), INFREQUENT).otherwise(F.col(f"c_{name}"))).drop("_rare", "_pooled")
+        return out
 
 
 def probability(model_output: DataFrame) -> Column:
@@ -161,25 +183,71 @@ def _tree_inputs(df: DataFrame) -> DataFrame:
     return df.withColumns(made)
 
 
-def train_gbt(train: DataFrame, validation: DataFrame, rounds: int = BOOSTING_ROUNDS, max_bins: int = 256) -> PipelineModel:
-    """Boosted trees with balanced classes, stopped early on the validation rows.
+def _unweighted(df: DataFrame) -> DataFrame:
+    return df.withColumn("class_weight", F.lit(1.0))
+
+
+def train_gbt(train: DataFrame, validation: DataFrame, rounds: int = BOOSTING_ROUNDS, max_bins: int = 256,
+              patience: int = PATIENCE) -> PipelineModel:
+    """Boosted trees with balanced classes, as many as the validation rows' loss asks for, ``rounds`` at most.
 
-    Category domains come from the training rows only; an unseen category has its own slot.
+    Trees are fitted for a number of rounds that doubles until the best prefix is at least ``patience`` rounds back, or
+    ``rounds`` is reached; the seed makes every shorter run a prefix of a longer one. The best prefix is the model.
+    Category domains come from the training rows only, rare categories pooled; an unseen one has its own slot.
     """
-    weighted = with_class_weight(train, class_weights(train)).withColumn("_validation", F.lit(False))
-    held_out = validation.withColumns({"class_weight": F.lit(1.0), "_validation": F.lit(True)})
-    inputs = _tree_inputs(weighted.unionByName(held_out))
+    domains = categorical_levels(train.select(*CATEGORICAL_FEATURES))
+    pools = {r["feature"]: r["frequent"] for r in domains.filter(F.col("level") != INFREQUENT).groupBy("feature").agg(
+        F.sort_array(F.collect_list("category")).alias("frequent")).collect()}
+    weighted = with_class_weight(train, class_weights(train))
+    inputs, held_out = _tree_inputs(weighted).cache(), _tree_inputs(_unweighted(validation)).cache()
     categories = [f"c_{c}" for c in CATEGORICAL_FEATURES]
-    indexer = StringIndexer(inputCols=categories, outputCols=[f"i_{c}" for c in categories], handleInvalid="keep",
-                            stringOrderType="alphabetAsc").fit(inputs.filter(~F.col("_validation")))
+    indexer = StringIndexerModel.from_arrays_of_labels(
+        [[*pools.get(c, []), C.MISSING_CATEGORY] if C.MISSING_CATEGORY not in pools.get(c, []) else pools[c]
+         for c in CATEGORICAL_FEATURES], categories, [f"i_{c}" for c in categories], handleInvalid="keep")
     assembler = VectorAssembler(
         inputCols=[f"n_{c}" for c in NUMERIC_FEATURES] + indexer.getOutputCols(), outputCol="features")
     largest = max(len(labels) for labels in indexer.labelsArray) + 1
-    trees = GBTClassifier(
-        labelCol="is_fraud", weightCol="class_weight", maxIter=rounds, stepSize=LEARNING_RATE, maxDepth=TREE_DEPTH,
-        subsamplingRate=SUBSAMPLE, seed=SEED, maxBins=max(max_bins, largest), validationIndicatorCol="_validation",
-        featureSubsetStrategy="0.8")
-    return Pipeline(stages=[indexer, assembler, trees]).fit(inputs)
+    ready, checked = (assembler.transform(indexer.transform(t)) for t in (inputs, held_out))
+
+    def grown(n: int) -> GBTClassificationModel:
+        return GBTClassifier(
+            labelCol="is_fraud", weightCol="class_weight", maxIter=n, stepSize=LEARNING_RATE, maxDepth=TREE_DEPTH,
+            subsamplingRate=SUBSAMPLE, seed=SEED, maxBins=max(max_bins, largest), featureSubsetStrategy="0.8").fit(ready)
+
+    tried = min(rounds, 2 * patience)
+    while True:
+        trees = grown(tried)
+        losses = trees.evaluateEachIteration(checked)
+        best = min(range(len(losses)), key=lambda i: (losses[i], i)) + 1
+        if tried - best >= patience or tried == rounds:
+            break
+        tried = min(rounds, 2 * tried)
+    model = PipelineModel([indexer, assembler, trees if best == tried else grown(best)])
+    inputs.unpersist()
+    held_out.unpersist()
+    return model
+
+
+def validation_losses(model: PipelineModel, df: DataFrame) -> list[float]:
+    """The loss on ``df`` of every prefix of the trees."""
+    inputs = _tree_inputs(_unweighted(df))
+    for stage in model.stages[:-1]:
+        inputs = stage.transform(inputs)
+    return model.stages[-1].evaluateEachIteration(inputs)
+
+
+POLICY = "trained on the train period; identifiers, supplied velocity and network features are no inputs"
+
+
+def model_metadata(model: PipelineModel, train: DataFrame, validation: DataFrame, roc_auc: float, pr_auc: float
+                   ) -> DataFrame:
+    """One row: features, rows of both periods, trees kept, areas on validation, and the feature policy."""
+    names = [*NUMERIC_FEATURES, *CATEGORICAL_FEATURES]
+    row = (", ".join(names), len(names), train.count(), validation.count(), len(model.stages[-1].treeWeights),
+           roc_auc, pr_auc, POLICY)
+    return train.sparkSession.createDataFrame([row], (
+        "features string, feature_count int, training_rows long, validation_rows long, best_iteration int, "
+        "roc_auc double, pr_auc double, feature_policy string"))
 
 
 def score_gbt(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -48,6 +48,11 @@ def chrono_split(validation_start: str, test_start: str, ts: str = "transaction_
     )
 
 
+def valid_rows(features: DataFrame) -> DataFrame:
+    """The gate before any model table: rows with a time and a label of 0 or 1."""
+    return features.filter(F.col("transaction_ts").isNotNull() & F.col("is_fraud").isin(0, 1))
+
+
 def model_base(features: DataFrame, validation_start: str, test_start: str) -> DataFrame:
     """Rows with a time and a label, with the model features and the benchmark-only network features."""
     derived = {
@@ -57,7 +62,7 @@ def model_base(features: DataFrame, validation_start: str, test_start: str) -> D
     }
     names = ["transaction_key", "transaction_ts", "transaction_date"]
     return (
-        features.filter(F.col("transaction_ts").isNotNull() & F.col("is_fraud").isin(0, 1))
+        valid_rows(features)
         .withColumns(derived)
         .select(*names, chrono_split(validation_start, test_start).alias("data_split"), "is_fraud",
                 *MODEL_FEATURES, *NETWORK_FEATURES)

@@ -17,7 +17,6 @@ NUMERIC_FEATURES = [
     "calculated_txn_count_1h", "calculated_amount_24h",
 ]
 CATEGORICAL_FEATURES = ["merchant_category", "currency", "country", "card_type", "device", "channel"]
-SAMPLE_BUCKETS = 5
 PSI_BINS = 10
 PSI_FLOOR = 0.000001
 ALERT_PSI = 0.10
@@ -61,10 +60,16 @@ def _share(part: Column, whole: Column) -> Column:
     return F.when(part == 0, F.lit(PSI_FLOOR)).otherwise(share)
 
 
+def known_number(name: str) -> Column:
+    """A column as double; NaN is as missing as NULL, on either side of a comparison."""
+    return F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+
+
 def psi_edges(reference: DataFrame, features: list[str], bins: int = PSI_BINS,
               max_rows: int = MAX_ROWS_PER_TASK) -> dict[str, list[float]]:
     """Distinct quantile edges of every feature, fitted once: at most ``bins + 1`` numbers each."""
-    quantiles = exact_quantiles(reference, features, [float(p) for p in np.linspace(0, 1, bins + 1)], max_rows)
+    known = reference.select(*[known_number(f).alias(f) for f in features])
+    quantiles = exact_quantiles(known, features, [float(p) for p in np.linspace(0, 1, bins + 1)], max_rows)
     edges: dict[str, set[float]] = {f: set() for f in features}
     for row in quantiles.collect():
         edges[row["feature"]].add(row["value"])
@@ -75,11 +80,10 @@ def _histograms(df: DataFrame, edges: dict[str, list[float]], keep: list[str]) -
     """Rows per bin of every feature, as one map per group; one scan, at most ``bins`` entries per map."""
     entries = []
     for feature, cuts in edges.items():
-        x = f"cast(`{feature}` as double)"
+        x = known_number(feature)
         # Inner edges only, the outer ones are open; without two edges to divide there is one bin.
-        index = " + ".join(["0", *[f"cast({x} >= {e!r}D as int)" for e in cuts[1:-1]]])
-        entries.append(F.expr(
-            f"named_struct('feature', '{feature}', 'bin', if({x} is not null, {index}, null), 'value', {x})"))
+        index = sum([(x >= F.lit(e)).cast("int") for e in cuts[1:-1]], F.lit(0))
+        entries.append(F.struct(F.lit(feature).alias("feature"), F.when(x.isNotNull(), index).alias("bin"), x.alias("value")))
     counts = df.select(*keep, F.inline(F.array(*entries))).groupBy(*keep, "feature", "bin").agg(
         F.count("value").alias("n"), F.sum("value").alias("total"))
     return counts.groupBy(*keep, "feature").agg(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import columns as C
 from riskloom.operators.behavior import EVENT_ORDER
 from riskloom.operators.skew import MAX_ROWS_PER_TASK, per_entity, running
+from riskloom.session import ensure_checkpoint_dir
 
 
 LINK_INPUTS = [
@@ -63,8 +64,19 @@ def network_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, rows: int
     to compute twice. Behaviour features arrive laid out by ``transaction_key``, so joining them
     here moves only the narrow side.
     """
-    history = network_history(df if payments is None else payments, max_rows, rows)
-    return df.join(history, "transaction_key", "left")
+    source = df if payments is None else payments
+    key = F.col("transaction_key")
+    counted = source.agg(F.count(F.lit(1)), F.count_distinct(key)).first()
+    if counted[0] == counted[1]:
+        return df.join(network_history(source, max_rows, rows), "transaction_key", "left")
+    # NULL or repeated keys: the rows are stored under a number of their own, and that is looked up.
+    ensure_checkpoint_dir(df.sparkSession)
+    numbered = df.withColumn("_row", F.concat(F.lit("row-"), F.monotonically_increasing_id().cast("string"))).checkpoint()
+    # Ties of a time keep the order of the published key, then of the row.
+    order = F.concat_ws(" ", F.coalesce(key, F.lit("\uffff")), F.col("_row"))
+    named = numbered.withColumn("_row", order)
+    history = network_history(named.withColumn("transaction_key", F.col("_row")), max_rows, rows)
+    return named.join(history.withColumnRenamed("transaction_key", "_row"), "_row", "left").drop("_row")
 
 
 def _edges(df: DataFrame, linked: str, counted: str, counted_as: str) -> DataFrame:

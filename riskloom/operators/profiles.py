@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions import columns as C
+from riskloom.operators.duplicates import duplicate_id_count
 
 # Report names of the counted columns and the profiled dimensions.
 DISTINCT_COUNTS = {
@@ -105,7 +106,7 @@ def quality_summary(df: DataFrame) -> DataFrame:
         C.pct(F.col("is_fraud")).alias("fraud_rate_pct"),
         F.count_if(F.col("amount") < 0).alias("negative_amount"),
         *[F.count_if(F.col(c).isNull()).alias(n) for n, c in MISSING_COUNTS.items()],
-    )
+    ).withColumn("duplicate_transaction_ids", duplicate_id_count(df).scalar())
 
 
 def missingness(df: DataFrame) -> DataFrame:

@@ -2,20 +2,126 @@
 
 from __future__ import annotations
 
-from riskloom.operators import explain as E
-from riskloom.operators.duplicates import BEHAVIOR_FIELDS, CONFLICT_FIELDS, SCORED_FIELDS
-from riskloom.operators.metrics import ECONOMIC_THRESHOLDS, SWEEP_THRESHOLDS
-from riskloom.operators.modeling import (
-    BENCHMARK_FEATURES, CATEGORICAL_FEATURES, EXCLUDED_FEATURES, MODEL_FEATURES, NETWORK_FEATURES, NUMERIC_FEATURES,
-)
-from riskloom.operators.monitoring import (
-    CATEGORICAL_FEATURES as DRIFT_CATEGORIES, CATEGORICAL_MESSAGE, NUMERIC_FEATURES as DRIFT_NUMBERS, NUMERIC_MESSAGE,
-    PERFORMANCE_MESSAGE, SCORE_MESSAGE,
-)
-from riskloom.operators.profiles import BEHAVIOR_SIGNALS, DIMENSIONS, NETWORK_SIGNALS
-from riskloom.plans.queries import CAPACITIES, COEFFICIENTS, DATED, FINER, INTERCEPT, RARE_ROWS, RAW_TEXT
 from riskloom.sources import fixtures as X
 
+# Fixed values, stated here again on purpose: a wrong one in an operator must not pass unseen.
+BEHAVIOR_FIELDS = {'transaction_ts': 'timestamp',
+ 'customer_id': 'customer',
+ 'card_number': 'card',
+ 'amount': 'amount',
+ 'merchant': 'merchant',
+ 'is_fraud': 'fraud_label'}
+CONFLICT_FIELDS = {'customer_id': 'customer',
+ 'card_number': 'card',
+ 'transaction_ts': 'timestamp',
+ 'merchant': 'merchant',
+ 'amount': 'amount',
+ 'currency': 'currency',
+ 'country': 'country',
+ 'city': 'city',
+ 'card_type': 'card_type',
+ 'device': 'device',
+ 'channel': 'channel',
+ 'device_fingerprint': 'device_fingerprint',
+ 'ip_address': 'ip',
+ 'high_risk_merchant': 'high_risk',
+ 'is_fraud': 'fraud_label'}
+SCORED_FIELDS = ['customer_id', 'card_number', 'transaction_ts', 'merchant', 'amount', 'device_fingerprint', 'ip_address', 'is_fraud']
+ECONOMIC_THRESHOLDS = [0.1, 0.15000000000000002, 0.20000000000000004, 0.25000000000000006, 0.30000000000000004, 0.3500000000000001,
+ 0.40000000000000013, 0.45000000000000007, 0.5000000000000001, 0.5500000000000002, 0.6000000000000002,
+ 0.6500000000000001, 0.7000000000000002, 0.7500000000000002, 0.8000000000000002, 0.8500000000000002,
+ 0.9000000000000002, 0.9500000000000003]
+SWEEP_THRESHOLDS = [0.1, 0.15000000000000002, 0.20000000000000004, 0.25000000000000006, 0.30000000000000004, 0.3500000000000001,
+ 0.40000000000000013, 0.45000000000000007, 0.5000000000000001, 0.5500000000000002, 0.6000000000000002,
+ 0.6500000000000001, 0.7000000000000002, 0.7500000000000002, 0.8000000000000002, 0.8500000000000002,
+ 0.9000000000000002]
+NUMERIC_FEATURES = ['amount', 'log_amount', 'distance_from_home', 'transaction_hour', 'weekend_transaction', 'card_present',
+ 'customer_prior_transactions', 'minutes_since_previous_transaction', 'previous_customer_amount',
+ 'customer_avg_amount_prior', 'customer_std_amount_prior', 'amount_vs_customer_average',
+ 'amount_zscore_vs_customer_history', 'calculated_txn_count_1h', 'calculated_amount_1h', 'calculated_txn_count_24h',
+ 'calculated_amount_24h', 'new_merchant_for_customer_flag', 'overnight_transaction_flag']
+CATEGORICAL_FEATURES = ['merchant_category', 'merchant_type', 'merchant', 'currency', 'country', 'city_size', 'card_type', 'device',
+ 'channel']
+NETWORK_FEATURES = ['prior_device_transactions', 'prior_card_transactions', 'prior_customers_on_device', 'prior_cards_on_device',
+ 'prior_devices_on_card', 'prior_merchants_on_device', 'new_device_for_customer_flag',
+ 'device_changed_from_previous_flag', 'new_customer_on_existing_device_flag', 'new_card_on_existing_device_flag',
+ 'device_shared_by_multiple_customers_flag', 'device_shared_by_multiple_cards_flag',
+ 'card_used_across_multiple_devices_flag']
+BENCHMARK_FEATURES = ['prior_customers_on_device', 'prior_cards_on_device', 'prior_devices_on_card', 'prior_merchants_on_device',
+ 'new_device_for_customer_flag', 'device_changed_from_previous_flag', 'new_customer_on_existing_device_flag',
+ 'new_card_on_existing_device_flag', 'device_shared_by_multiple_customers_flag',
+ 'device_shared_by_multiple_cards_flag', 'card_used_across_multiple_devices_flag']
+EXCLUDED_FEATURES = ['customer_id', 'card_number', 'device_fingerprint', 'ip_address', 'velocity_last_hour']
+BEHAVIOR_SIGNALS = {'new_device': 'new_device_for_customer_flag',
+ 'new_ip': 'new_ip_for_customer_flag',
+ 'new_merchant': 'new_merchant_for_customer_flag',
+ 'device_changed': 'device_changed_from_previous_flag'}
+DIMENSIONS = ['merchant_category', 'merchant_type', 'currency', 'country', 'city_size', 'card_type', 'card_present', 'device',
+ 'channel', 'high_risk_merchant', 'transaction_hour', 'weekend_transaction']
+NETWORK_SIGNALS = {'new_customer_existing_device': 'new_customer_on_existing_device_flag',
+ 'new_card_existing_device': 'new_card_on_existing_device_flag',
+ 'device_multiple_customers': 'device_shared_by_multiple_customers_flag',
+ 'device_multiple_cards': 'device_shared_by_multiple_cards_flag',
+ 'card_multiple_devices': 'card_used_across_multiple_devices_flag'}
+CAPACITIES = [5, 10, 20, 50, 100]
+COEFFICIENTS = {'amount': 0.02,
+ 'distance_from_home': 0.8,
+ 'transaction_hour': -0.05,
+ 'customer_prior_transactions': 0.01,
+ 'minutes_since_previous_transaction': -0.0005,
+ 'amount_vs_customer_average': 0.4,
+ 'calculated_txn_count_1h': 0.6,
+ 'new_merchant_for_customer_flag': 0.3}
+FINER = {'customer_avg_amount_prior': 8}
+INTERCEPT = -1.5
+RARE_ROWS = 100
+RAW_TEXT = ['transaction_id', 'customer_id', 'timestamp', 'amount', 'currency', 'card_present', 'distance_from_home',
+ 'transaction_hour', 'velocity_last_hour', 'is_fraud']
+DATED = ['write_report', 'date_parts', 'clean_table', 'daily_trend', 'behavior_features', 'network_features', 'model_base',
+ 'score_join', 'daily_monitoring', 'psi_numeric', 'psi_categorical', 'score_drift', 'performance_drift',
+ 'monitoring_alerts']
+DRIFT_CATEGORIES = ['merchant_category', 'currency', 'country', 'card_type', 'device', 'channel']
+DRIFT_NUMBERS = ['amount', 'distance_from_home', 'transaction_hour', 'customer_prior_transactions',
+ 'minutes_since_previous_transaction', 'customer_avg_amount_prior', 'amount_vs_customer_average',
+ 'calculated_txn_count_1h', 'calculated_amount_24h']
+CATEGORICAL_MESSAGE = 'Categorical feature distribution shifted from reference population.'
+NUMERIC_MESSAGE = 'Numeric feature distribution shifted from reference population.'
+PERFORMANCE_MESSAGE = 'Precision or recall declined by more than 5 percentage points.'
+SCORE_MESSAGE = 'Model score distribution shifted from reference population.'
+MODEL_FEATURES = NUMERIC_FEATURES + CATEGORICAL_FEATURES
+FRIENDLY_NAMES = {'amount': 'Transaction amount',
+ 'log_amount': 'Transaction amount scale',
+ 'distance_from_home': 'Distance from home',
+ 'transaction_hour': 'Transaction hour',
+ 'weekend_transaction': 'Weekend transaction',
+ 'card_present': 'Card present',
+ 'customer_prior_transactions': 'Prior customer transactions',
+ 'minutes_since_previous_transaction': 'Time since previous transaction',
+ 'previous_customer_amount': 'Previous transaction amount',
+ 'customer_avg_amount_prior': 'Historical average amount',
+ 'customer_std_amount_prior': 'Historical amount variation',
+ 'amount_vs_customer_average': 'Amount vs customer average',
+ 'amount_zscore_vs_customer_history': 'Amount anomaly score',
+ 'calculated_txn_count_1h': 'Transactions in prior hour',
+ 'calculated_amount_1h': 'Spend in prior hour',
+ 'calculated_txn_count_24h': 'Transactions in prior 24 hours',
+ 'calculated_amount_24h': 'Spend in prior 24 hours',
+ 'new_merchant_for_customer_flag': 'New merchant for customer',
+ 'overnight_transaction_flag': 'Overnight transaction',
+ 'merchant_category': 'Merchant category',
+ 'merchant_type': 'Merchant type',
+ 'merchant': 'Merchant',
+ 'currency': 'Currency',
+ 'country': 'Country',
+ 'city_size': 'City size',
+ 'card_type': 'Card type',
+ 'device': 'Device type',
+ 'channel': 'Payment channel'}
+HIGHER = 'Higher fraud risk'
+LOWER = 'Lower fraud risk'
+LOWERS = 'Lowers risk'
+RAISES = 'Raises risk'
+
 V, T = f"timestamp '{X.VALIDATION_START}'", f"timestamp '{X.TEST_START}'"
 REUSED_COLUMNS = ["transaction_id", "customer_id", "card_number", "transaction_ts", "merchant", "amount",
                   "device_fingerprint", "ip_address", "currency", "channel", "is_fraud"]
@@ -335,7 +441,7 @@ def numeric_drift(prefix: str, source: str, features: list[str]) -> dict[str, st
 
 def categorical_drift() -> dict[str, str]:
     long = union([
-        f"select data_split, transaction_date, '{f}' as feature, coalesce({f}, 'MISSING') as category from tx_split where {sampled(5)}"
+        f"select data_split, transaction_date, '{f}' as feature, coalesce({f}, 'MISSING') as category from tx_split"
         for f in DRIFT_CATEGORIES])
     return {
         "c_long": f"select * from ({long}) q where data_split <> 'train'",
@@ -360,7 +466,7 @@ PERFORMANCE = {
     "ref_rates": f"""select count(*) filter (fraud_probability >= 0.75 and is_fraud = 1) as tp,
         count(*) filter (fraud_probability >= 0.75 and is_fraud = 0) as fp,
         count(*) filter (fraud_probability < 0.75 and is_fraud = 1) as fn
-        from scored_from_validation where transaction_ts < {T} and {sampled(5)}""",
+        from scored_from_validation where transaction_ts < {T}""",
     "reference_rates": """select round(case when tp + fp = 0 then 0 else tp / (tp + fp)::double end, 9) as reference_precision,
         round(case when tp + fn = 0 then 0 else tp / (tp + fn)::double end, 9) as reference_recall from ref_rates""",
     "p_drift": """select *, case when precision_change_pp < -5 or recall_change_pp < -5 then 'Review Required' else 'Stable' end
@@ -370,9 +476,9 @@ PERFORMANCE = {
                round((recall - reference_recall) * 100, 6) as recall_change_pp
         from daily, reference_rates) q""",
 }
-FEATURE_SPLIT = {"bf_sample": f"select * from bf where {sampled(5)}"}
+FEATURE_SPLIT = {"bf_sample": "select * from bf"}
 SCORE_SPLIT = {"score_sample": f"""select *, case when transaction_ts < {T} then 'validation' else 'test' end as data_split
-    from scored_from_validation where {sampled(5)}"""}
+    from scored_from_validation"""}
 NUMERIC_DRIFT = FEATURE_SPLIT | numeric_drift("n", "bf_sample", DRIFT_NUMBERS)
 SCORE_DRIFT = SCORE_SPLIT | numeric_drift("s", "score_sample", ["fraud_probability"])
 ALL_DRIFT = NUMERIC_DRIFT | SCORE_DRIFT | categorical_drift() | PERFORMANCE
@@ -393,7 +499,7 @@ ALERTS = union([
         where performance_status = 'Review Required'""",
 ])
 
-NAMES = ", ".join(f"'{k}': '{v}'" for k, v in E.FRIENDLY_NAMES.items())
+NAMES = ", ".join(f"'{k}': '{v}'" for k, v in FRIENDLY_NAMES.items())
 FRIENDLY = f"map {{{NAMES}}}[feature]"
 MEANS = {"means": "select " + ", ".join(f"avg({c}) as {c}" for c in COEFFICIENTS) + " from bf where data_split = 'train'"}
 PARTS = MEANS | {
@@ -441,7 +547,7 @@ def _levels() -> str:
         from (select feature, category, n, row_number() over (partition by feature order by n desc, category) as rank,
                      coalesce((select count(*) from long m where m.feature = c.feature and m.category is null), 0) as missing
               from (select feature, category, count(*) as n from long where category is not null group by 1, 2) c) q""",
-        {"sample": f"select * from tx where transaction_ts < {V} and {sampled(10)}", "long": long})
+        {"sample": f"select * from tx where transaction_ts < {V}", "long": long})
 
 
 def _numeric_preprocessing() -> str:
@@ -549,8 +655,23 @@ ORACLE: dict[str, str] = {
         + ", count(*) filter (timestamp > 1 and customer > 1 and card > 1) as strongly_separate_transaction_like_ids"
         + " from (select transaction_id, " + ", ".join(f"count(distinct {c}) as {l}" for c, l in BEHAVIOR_FIELDS.items())
         + " from tx_reused group by 1 having count(*) > 1) q"),
-    "dedup_first": with_tables("tx_reused", f"""select * from tx_reused qualify row_number() over (partition by transaction_id
-        order by transaction_ts, {', '.join(c for c in REUSED_COLUMNS if c not in ('transaction_id', 'transaction_ts'))}) = 1"""),
+    # Ids of conflicting rows: nothing is removed. Copies only: one row of each id stays.
+    # With conflicting rows under one id nothing is removed; of copies one row of each id stays.
+    "dedup_first": with_tables("tx_reused", """select * from tx_reused where (select count(*) from conflicts) > 0
+        union all select distinct * from tx_reused where (select count(*) from conflicts) = 0""", {
+            "conflicts": "select transaction_id from (select distinct * from tx_reused) d group by 1 having count(*) > 1"}),
+    # Facts of the trained models that any engine can state.
+    "train_gbt_facts": "select 0::bigint as better_prefixes, 0 as rounds_over_limit",
+    "model_metadata_facts": with_tables("tx_split", f"""select {len(MODEL_FEATURES)} as feature_count,
+        count(*) filter (data_split = 'train') as training_rows, count(*) filter (data_split = 'validation') as validation_rows
+        from tx_split"""),
+    "score_test_facts": with_tables("tx_split", """select count(*) as scored, 0::bigint as without_key,
+        0::bigint as out_of_range from tx_split where data_split = 'test'"""),
+    "feature_importance_facts": f"select {len(MODEL_FEATURES)}::bigint as features, 0::bigint as negative, 1.0::double as gain_sum",
+    "tree_contributions_facts": with_tables("tx_split", """select count(*) as explained, 0::bigint as off
+        from tx_split where data_split = 'test'"""),
+    "dedup_copies": with_tables("tx_reused", """select distinct * from tx_reused where transaction_id in (
+        select transaction_id from tx_reused group by 1 having count(*) = 1)"""),
     "unique_keys": with_tables("keyed", "select * from keyed"),
     "key_validation": with_tables("keyed", f"""select count(*) as total_rows, count(distinct transaction_key) as unique_transaction_keys,
         count(distinct source_transaction_id) as unique_source_ids, {total('reused_source_id_flag')} as rows_with_reused_source_ids,
@@ -566,7 +687,9 @@ ORACLE: dict[str, str] = {
         count(*) filter (amount < 0) as negative_amount, count(*) - count(amount) as missing_amount,
         count(*) - count(transaction_ts) as missing_timestamp, count(*) - count(customer_id) as missing_customer,
         count(*) - count(card_number) as missing_card, count(*) - count(merchant) as missing_merchant,
-        count(*) - count(device_fingerprint) as missing_device_fingerprint, count(*) - count(ip_address) as missing_ip_address from tx"""),
+        count(*) - count(device_fingerprint) as missing_device_fingerprint, count(*) - count(ip_address) as missing_ip_address,
+        (select count(*) from (select source_transaction_id from tx where source_transaction_id is not null
+         group by 1 having count(*) > 1) d) as duplicate_transaction_ids from tx"""),
     "missingness": _missingness(),
     "fraud_by_dimension": with_tables("tx", union([f"""select '{c}' as dimension, cast({c} as varchar) as category, {VOLUME},
         {pct('is_fraud')} as fraud_rate_pct, round(avg(amount), 2) as avg_transaction_amount,
@@ -710,9 +833,9 @@ ORACLE: dict[str, str] = {
     "monitoring_summary": with_tables("bf tx_split tx_scored scored_from_validation", f"""
         select (select count(*) from p_drift) as monitoring_days,
         (select min(transaction_date)::varchar || ' to ' || max(transaction_date)::varchar from tx_split
-         where data_split = 'validation' and {sampled(5)}) as reference_period,
+         where data_split = 'validation') as reference_period,
         (select min(transaction_date)::varchar || ' to ' || max(transaction_date)::varchar from tx_split
-         where data_split = 'test' and {sampled(5)}) as monitoring_period,
+         where data_split = 'test') as monitoring_period,
         0.75::double as decision_threshold, reference_precision, reference_recall,
         (select count(*) from n_drift where status = 'High Drift') as high_numeric_drift_events,
         (select count(*) from c_drift where status = 'High Drift') as high_categorical_drift_events,
@@ -729,16 +852,16 @@ ORACLE: dict[str, str] = {
         round(avg(abs(contribution)), 6) as mean_absolute_contribution from parts group by 1""", PARTS),
     "top_drivers": with_tables("bf tx_scored", f"""select transaction_key, round(fraud_probability, 6) as fraud_probability,
         round(base_value, 6) as base_value, driver_rank, feature, {FRIENDLY} as friendly_name, round(feature_value, 6) as feature_value,
-        round(contribution, 6) as contribution, case when contribution > 0 then '{E.HIGHER}' else '{E.LOWER}' end as direction
+        round(contribution, 6) as contribution, case when contribution > 0 then '{HIGHER}' else '{LOWER}' end as direction
         from ranked_parts, base_value where driver_rank <= 5""", PARTS),
     "case_drivers": with_tables("bf tx_scored", f"""select transaction_key, round(fraud_probability, 6) as fraud_probability,
         driver_rank, feature, {FRIENDLY} as friendly_name, round(feature_value, 6) as feature_value,
-        round(contribution, 6) as contribution, case when contribution > 0 then '{E.RAISES}' else '{E.LOWERS}' end as direction
+        round(contribution, 6) as contribution, case when contribution > 0 then '{RAISES}' else '{LOWERS}' end as direction
         from ranked_parts where driver_rank <= 10""", PARTS),
     "case_summary": with_tables("bf tx_scored", f"""select transaction_key, round(fraud_probability, 6) as fraud_probability, case_type, is_fraud,
         cast(round_even(fraud_probability * 100, 0) as int) as risk_score, {BAND} as risk_band, round(max(base_value), 6) as base_value_log_odds,
         """ + ", ".join(f"max(words) filter (driver_rank = {i}) as top_driver_{i}" for i in range(1, 6)) + f"""
-        from (select s.*, driver_rank, base_value, {FRIENDLY} || ': ' || case when contribution > 0 then '{E.HIGHER}' else '{E.LOWER}' end as words
+        from (select s.*, driver_rank, base_value, {FRIENDLY} || ': ' || case when contribution > 0 then '{HIGHER}' else '{LOWER}' end as words
               from studies s join (select transaction_key, driver_rank, feature, contribution from ranked_parts) p using (transaction_key),
               base_value) q group by transaction_key, fraud_probability, case_type, is_fraud""", PARTS | STUDIES),
     "case_studies": with_tables("tx_scored", """select * replace (round(fraud_probability, 6) as fraud_probability) from studies""", STUDIES),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +35,6 @@ COEFFICIENTS = {
 }
 INTERCEPT = -1.5
 RARE_ROWS = 100
-LOGISTIC_ITERATIONS = 30
-BOOSTING_ROUNDS = 5
 RAW_TEXT = [
     "transaction_id", "customer_id", "timestamp", "amount", "currency", "card_present", "distance_from_home",
     "transaction_hour", "velocity_last_hour", "is_fraud",
@@ -83,7 +82,7 @@ def base(spark: SparkSession, folder: str) -> DataFrame:
 
 def light_base(spark: SparkSession, folder: str) -> DataFrame:
     """Behaviour features with their period, for queries that read no network feature."""
-    features = behavior(spark, folder).withColumn("log_amount", C.log_amount(F.col("amount")))
+    features = M.valid_rows(behavior(spark, folder)).withColumn("log_amount", C.log_amount(F.col("amount")))
     return features.withColumn("data_split", M.chrono_split(X.VALIDATION_START, X.TEST_START))
 
 
@@ -91,9 +90,9 @@ def split(df: DataFrame, name: str) -> DataFrame:
     return df.filter(F.col("data_split") == name)
 
 
-def scored_sample(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Scored one-in-five samples of the validation and the test period."""
-    scored = M.hash_sample(X.tx_scored(spark, folder, X.VALIDATION_START), R.SAMPLE_BUCKETS)
+def scored_periods(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """All scored rows of the validation and of the test period."""
+    scored = X.tx_scored(spark, folder, X.VALIDATION_START)
     in_test = F.col("transaction_ts") >= M.timestamp(X.TEST_START)
     return scored.filter(~in_test), scored.filter(in_test)
 
@@ -105,16 +104,15 @@ def stored(df: DataFrame, table: str, partition_by: list[str] | None = None) ->
     return S.read_stage(df.sparkSession, root, "modeling", table)
 
 
-def feature_sample(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    sample = M.hash_sample(light_base(spark, folder), R.SAMPLE_BUCKETS)
-    sample = stored(sample.select("data_split", R.DAY, *R.NUMERIC_FEATURES), "drift_sample", ["data_split"])
-    return split(sample, "validation"), split(sample, "test")
+def feature_periods(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    rows = light_base(spark, folder).select("data_split", R.DAY, *R.NUMERIC_FEATURES)
+    rows = stored(rows, "drift_rows", ["data_split"])
+    return split(rows, "validation"), split(rows, "test")
 
 
-def category_sample(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    sample = M.hash_sample(X.tx(spark, folder), R.SAMPLE_BUCKETS).withColumn(
-        "data_split", M.chrono_split(X.VALIDATION_START, X.TEST_START))
-    return split(sample, "validation"), split(sample, "test")
+def category_periods(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    rows = X.tx(spark, folder).withColumn("data_split", M.chrono_split(X.VALIDATION_START, X.TEST_START))
+    return split(rows, "validation"), split(rows, "test")
 
 
 # --- sources and sinks -------------------------------------------------------------------------
@@ -178,6 +176,14 @@ def with_defects(spark: SparkSession, folder: str) -> DataFrame:
     return L.clean_booleans(L.clean_casts(L.clean_text(X.tx_raw(spark, folder))))
 
 
+def dedup_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Every payment of an id of its own, loaded twice, without the copies."""
+    table = X.tx_reused(spark, folder)
+    single = table.groupBy("transaction_id").count().filter(F.col("count") == 1).select("transaction_id")
+    once = table.join(single, "transaction_id", "left_semi")
+    return U.dedup_first(once.unionByName(once))
+
+
 def tx_ids(spark: SparkSession, folder: str) -> DataFrame:
     return X.tx(spark, folder).withColumn("transaction_id", F.col("source_transaction_id"))
 
@@ -202,31 +208,69 @@ def _metrics(scored: DataFrame, threshold: float) -> DataFrame:
 
 def train_logistic(spark: SparkSession, folder: str) -> DataFrame:
     table = stored_base(spark, folder)
-    preparation, model = ml.train_logistic(split(table, "train"), LOGISTIC_ITERATIONS)
+    preparation, model = ml.train_logistic(split(table, "train"))
     return _metrics(ml.score_logistic(preparation, model, split(table, "validation")), 0.5)
 
 
-def _boosted(table: DataFrame):
-    return ml.train_gbt(split(table, "train"), split(table, "validation"), BOOSTING_ROUNDS)
+# The saved model and its table, by application and data folder: trained once, read by every query that needs it.
+_BOOSTED: dict[tuple[str, str], tuple[str, DataFrame]] = {}
+
+
+def boosted(spark: SparkSession, folder: str) -> tuple[PipelineModel, DataFrame]:
+    """The boosted trees with full settings, saved in the shared folder and loaded, and the model table."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _BOOSTED:
+        table = stored_base(spark, folder)
+        path = f"{S.scratch_folder(spark)}/model"
+        ml.train_gbt(split(table, "train"), split(table, "validation")).write().save(path)
+        _BOOSTED[key] = path, table
+    path, table = _BOOSTED[key]
+    return PipelineModel.load(path), table
 
 
 def train_gbt(spark: SparkSession, folder: str) -> DataFrame:
-    table = stored_base(spark, folder)
-    return _metrics(ml.score_gbt(_boosted(table), split(table, "validation")), 0.5)
+    model, table = boosted(spark, folder)
+    return _metrics(ml.score_gbt(model, split(table, "validation")), 0.5)
+
+
+def train_gbt_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of any training: no shorter prefix is better on validation, and none is longer than asked for."""
+    model, table = boosted(spark, folder)
+    losses = ml.validation_losses(model, split(table, "validation"))
+    facts = [(sum(x < losses[-1] for x in losses[:-1]), int(len(losses) > ml.BOOSTING_ROUNDS))]
+    return spark.createDataFrame(facts, "better_prefixes long, rounds_over_limit int")
+
+
+def model_metadata(spark: SparkSession, folder: str) -> DataFrame:
+    """The one-row record that is kept beside the model."""
+    model, table = boosted(spark, folder)
+    scored = stored(ml.score_gbt(model, split(table, "validation")).select("is_fraud", "fraud_probability"), "scored")
+    return ml.model_metadata(
+        model, split(table, "train"), scored, Q.roc_auc(scored).scalar(), Q.pr_auc(scored).scalar())
+
+
+def model_metadata_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """The parts of the record that any engine counts."""
+    return model_metadata(spark, folder).select("feature_count", "training_rows", "validation_rows")
 
 
 def score_test(spark: SparkSession, folder: str) -> DataFrame:
-    table = stored_base(spark, folder)
-    return ml.score_gbt(_boosted(table), split(table, "test")).select("transaction_key", "is_fraud", "fraud_probability")
+    model, table = boosted(spark, folder)
+    return ml.score_gbt(model, split(table, "test")).select("transaction_key", "is_fraud", "fraud_probability")
+
+
+def score_test_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows scored, rows without a key, and scores outside 0 to 1."""
+    p = F.col("fraud_probability")
+    return score_test(spark, folder).agg(
+        F.count(F.lit(1)).alias("scored"), F.count_if(F.col("transaction_key").isNull()).alias("without_key"),
+        F.count_if(p.isNull() | F.isnan(p) | (p < 0) | (p > 1)).alias("out_of_range"))
 
 
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """A saved and reloaded model scores the test period; rows where it disagrees with the original."""
-    from pyspark.ml import PipelineModel
-
-    table = stored_base(spark, folder)
+    model, table = boosted(spark, folder)
     test = split(table, "test")
-    model = _boosted(table)
     path = f"{S.scratch_folder(spark)}/model"
     model.write().overwrite().save(path)
     before = ml.score_gbt(model, test).select("transaction_key", "fraud_probability")
@@ -237,17 +281,35 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
-    table = stored_base(spark, folder)
-    return ml.feature_importance(_boosted(table), f"{S.scratch_folder(spark)}/model", table)
+    model, table = boosted(spark, folder)
+    return ml.feature_importance(model, f"{S.scratch_folder(spark)}/model", table)
+
+
+def feature_importance_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Features listed, negative shares, and the sum of all shares."""
+    return feature_importance(spark, folder).agg(
+        F.count_distinct("feature").alias("features"), F.count_if(F.col("gain_importance") < 0).alias("negative"),
+        C.rounded(F.sum("gain_importance"), 6).alias("gain_sum"))
 
 
 def tree_contributions(spark: SparkSession, folder: str) -> DataFrame:
-    table = stored_base(spark, folder)
-    model = _boosted(table)
+    return E.top_drivers(_tree_parts(spark, folder))
+
+
+def _tree_parts(spark: SparkSession, folder: str) -> DataFrame:
+    model, table = boosted(spark, folder)
     scored = ml.score_gbt(model, split(table, "test"))
-    parts = ml.tree_contributions(
+    return ml.tree_contributions(
         model, scored, f"{S.scratch_folder(spark)}/model", ["transaction_key", "fraud_probability"])
-    return E.top_drivers(parts)
+
+
+def tree_contributions_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows explained, and rows whose parts and base value miss the log-odds of the score."""
+    p = F.col("fraud_probability")
+    total = F.aggregate("contributions", F.col("base_value"), lambda a, x: a + x["contribution"])
+    return _tree_parts(spark, folder).agg(
+        F.count(F.lit(1)).alias("explained"),
+        F.count_if(F.abs(total - F.ln(p / (1 - p))) > 1e-6 * (1 + F.abs(total))).alias("off"))
 
 
 # --- explanations ------------------------------------------------------------------------------
@@ -275,19 +337,19 @@ def case_summary(spark: SparkSession, folder: str) -> DataFrame:
 # --- monitoring --------------------------------------------------------------------------------
 
 def psi_numeric(spark: SparkSession, folder: str) -> DataFrame:
-    return R.numeric_psi(*feature_sample(spark, folder))
+    return R.numeric_psi(*feature_periods(spark, folder))
 
 
 def psi_categorical(spark: SparkSession, folder: str) -> DataFrame:
-    return R.categorical_psi(*category_sample(spark, folder))
+    return R.categorical_psi(*category_periods(spark, folder))
 
 
 def score_drift(spark: SparkSession, folder: str) -> DataFrame:
-    return R.score_drift(*scored_sample(spark, folder))
+    return R.score_drift(*scored_periods(spark, folder))
 
 
 def performance_drift(spark: SparkSession, folder: str) -> DataFrame:
-    reference, _ = scored_sample(spark, folder)
+    reference, _ = scored_periods(spark, folder)
     return R.performance_drift(R.daily_monitoring(X.tx_scored(spark, folder)), reference)
 
 
@@ -306,7 +368,7 @@ def monitoring_alerts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def monitoring_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return R.monitoring_summary(*_monitoring(spark, folder), *category_sample(spark, folder))
+    return R.monitoring_summary(*_monitoring(spark, folder), *category_periods(spark, folder))
 
 
 # --- decisions ---------------------------------------------------------------------------------
@@ -415,6 +477,7 @@ QUERIES: dict[str, Query] = {
     "conflict_examples": _on(X.tx_reused, U.conflict_examples),
     "duplicate_behavior": _on(X.tx_reused, U.duplicate_behavior),
     "dedup_first": _on(X.tx_reused, U.dedup_first),
+    "dedup_copies": dedup_copies,
     "unique_keys": _on(X.tx_reused, U.unique_keys),
     "key_validation": _on(X.tx_reused, lambda t: U.key_validation(U.unique_keys(t))),
     "population_summary": _on(X.tx_reused, lambda t: U.population_summary(U.unique_keys(t))),
@@ -495,9 +558,15 @@ QUERIES: dict[str, Query] = {
         t.filter(F.col("transaction_ts") < M.timestamp(X.VALIDATION_START)))),
     "preprocess_numeric": _on(train_sample, ml.numeric_preprocessing),
     "preprocess_categorical": _on(X.tx, lambda t: ml.categorical_levels(
-        M.hash_sample(t.filter(F.col("transaction_ts") < M.timestamp(X.VALIDATION_START)), 10), rare_rows=RARE_ROWS)),
+        t.filter(F.col("transaction_ts") < M.timestamp(X.VALIDATION_START)), rare_rows=RARE_ROWS)),
     "train_logistic": train_logistic,
     "train_gbt": train_gbt,
+    "train_gbt_facts": train_gbt_facts,
+    "model_metadata": model_metadata,
+    "model_metadata_facts": model_metadata_facts,
+    "score_test_facts": score_test_facts,
+    "feature_importance_facts": feature_importance_facts,
+    "tree_contributions_facts": tree_contributions_facts,
     "score_test": score_test,
     "model_roundtrip": model_roundtrip,
     "feature_importance": feature_importance,

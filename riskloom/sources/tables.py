@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.session import ensure_checkpoint_dir
@@ -25,13 +26,31 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/scratch-{uuid.uuid4().hex}"
 
 
-def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, columns: list[str] | None = None, multi_line: bool = False) -> DataFrame:
     """Every column as text, so that typing stays an explicit, auditable step.
 
-    One record per line: the file splits into tasks. An empty field, quoted or not, is NULL.
+    One record per line: the file splits into tasks. An empty field, quoted or not, is NULL. Columns are found by the
+    names in the header, in any order; a file without one of them is an error. ``multi_line`` reads quoted line breaks,
+    at the price of one task per file. ``malformed_rows`` counts the lines that do not have the header's fields.
     """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns or RAW_COLUMNS])
-    return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
+    wanted = columns or RAW_COLUMNS
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    found = reader.option("inferSchema", False).csv(path)
+    missing = [c for c in wanted if c not in found.columns]
+    if missing:
+        raise ValueError(f"the file has no column {missing}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in found.columns])
+    return reader.schema(schema).option("enforceSchema", False).csv(path).select(*wanted)
+
+
+def malformed_rows(spark: SparkSession, path: str, multi_line: bool = False) -> int:
+    """Lines of a CSV file with more or fewer fields than its header, such as the halves of a quoted line break."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    names = reader.csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, "_bad"]])
+    rows = reader.schema(schema).option("columnNameOfCorruptRecord", "_bad").option("mode", "PERMISSIVE").csv(path)
+    # Every column is read: a pruned one would not be missed in a short line.
+    return rows.agg(F.max(F.xxhash64(*names)), F.count("_bad")).first()[1]
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -44,7 +63,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_report(report: DataFrame, path: str) -> None:
     """An aggregated report as one CSV file. Reports are small by construction; fact rows do not go here."""
-    write_csv(report.coalesce(1), path)
+    write_csv(report.repartition(1), path)
 
 
 def stage_path(root: str, namespace: str, table: str) -> str:
