@@ -38,15 +38,19 @@ def words_of(text: Column) -> Column:
     return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, WHITE))
 
 
-def window_hashes(words: str, width: int = WINDOW) -> Column:
-    """A hash of every window of ``width`` (a power of two) words, by hashing neighbours of neighbours."""
-    out = F.transform(words, lambda w: F.xxhash64(w))
-    step = 1
+def with_window_hashes(df: DataFrame, words: str, name: str, width: int = WINDOW) -> DataFrame:
+    """Add a hash of every window of ``width`` (a power of two) words, by hashing neighbours of neighbours.
+
+    Each doubling is a column of its own, so it is computed once and read by position.
+    """
+    df, step = df.withColumn(name, F.transform(words, lambda w: F.xxhash64(w))), 1
     while step < width:
-        after = F.slice(out, step + 1, F.greatest(F.size(out) - step, F.lit(0)))
-        out = F.zip_with(F.slice(out, 1, F.greatest(F.size(out) - step, F.lit(0))), after, lambda a, b: F.xxhash64(a, b))
+        before, name_ = name if step == 1 else f"{name}{step}", f"{name}{2 * step}"
+        df = df.withColumn(name_, F.expr(f"transform({before}, (x, i) -> xxhash64(x, get({before}, i + {step})))"))
         step *= 2
-    return out
+    whole = F.greatest(F.size(words) - (width - 1), F.lit(0))
+    return df.withColumn(name, F.slice(f"{name}{width}", F.lit(1), whole)).drop(
+        *[f"{name}{2 ** k}" for k in range(1, width.bit_length())])
 
 
 def repeat_words(places: str, width: int = WINDOW) -> Column:
@@ -85,12 +89,13 @@ def quality_rules(df: DataFrame, text: str = "text", max_lost: float = MAX_LOST)
     rest = [c for c in df.columns if c not in new]
     lines = F.filter(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
     repeats = F.size(F.array_distinct("_hashes")) < F.size("_hashes")
+    split = df.select(*rest, words_of(F.col(text)).alias("_words"))
     out = (
-        df.select(*rest, words_of(F.col(text)).alias("_words"))
+        with_window_hashes(split, "_words", "_hashes")
         .select(*rest, F.size("_words").cast("long").alias("n_words"),
                 F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
                 F.coalesce(F.regexp_count(text, F.lit(SYMBOLS)), F.lit(0)).cast("long").alias("n_symbols"),
-                window_hashes("_words").alias("_hashes"), lines.alias("_lines"))
+                "_hashes", lines.alias("_lines"))
         .withColumn("_sorted", F.when(repeats, F.array_sort(F.transform(
             "_hashes", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
         .withColumn("_again", F.expr(
