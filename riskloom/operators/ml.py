@@ -5,7 +5,8 @@ from __future__ import annotations
 import sys
 from dataclasses import dataclass
 from itertools import combinations
-from math import factorial
+from math import ceil, factorial
+from uuid import uuid4
 
 import numpy as np
 import pandas as pd
@@ -33,6 +34,9 @@ INFREQUENT = "__infrequent__"
 LOGISTIC_ITERATIONS = 300
 INVERSE_PENALTY = 1.0
 BOOSTING_ROUNDS = 1000
+PARTITION_ROWS = 20_000
+# Ranges of the probability by which average precision of a prefix is counted.
+AP_BINS = 512
 PATIENCE = 75
 LEARNING_RATE = 0.05
 TREE_DEPTH = 5
@@ -42,6 +46,9 @@ SEED = 42
 MISSING_NUMBER = -1e9
 
 
+MODEL_INPUTS = [f"n_{c}" for c in NUMERIC_FEATURES] + [f"c_{c}" for c in CATEGORICAL_FEATURES]
+
+
 def class_weights(train: DataFrame) -> DataFrame:
     """Balanced weight of each class: all rows over twice the class's rows."""
     counts = train.groupBy("is_fraud").agg(F.count(F.lit(1)).alias("transactions"))
@@ -183,23 +190,24 @@ def _tree_inputs(df: DataFrame) -> DataFrame:
     return df.withColumns(made)
 
 
-def _unweighted(df: DataFrame) -> DataFrame:
-    return df.withColumn("class_weight", F.lit(1.0))
-
-
 def train_gbt(train: DataFrame, validation: DataFrame, rounds: int = BOOSTING_ROUNDS, max_bins: int = 256,
               patience: int = PATIENCE) -> PipelineModel:
-    """Boosted trees with balanced classes, as many as the validation rows' loss asks for, ``rounds`` at most.
+    """Boosted trees with balanced classes, as many as average precision on the validation rows asks for.
 
     Trees are fitted for a number of rounds that doubles until the best prefix is at least ``patience`` rounds back, or
-    ``rounds`` is reached; the seed makes every shorter run a prefix of a longer one. The best prefix is the model.
+    ``rounds`` (the most there are) is reached; the seed makes every shorter run a prefix of a longer one. The best prefix is the model.
     Category domains come from the training rows only, rare categories pooled; an unseen one has its own slot.
     """
     domains = categorical_levels(train.select(*CATEGORICAL_FEATURES))
     pools = {r["feature"]: r["frequent"] for r in domains.filter(F.col("level") != INFREQUENT).groupBy("feature").agg(
         F.sort_array(F.collect_list("category")).alias("frequent")).collect()}
     weighted = with_class_weight(train, class_weights(train))
-    inputs, held_out = _tree_inputs(weighted).cache(), _tree_inputs(_unweighted(validation)).cache()
+    # A round is several short passes over the rows: a few large partitions instead of many small ones.
+    parts = max(1, ceil(train.count() / PARTITION_ROWS))
+    inputs = _tree_inputs(weighted).select("is_fraud", "class_weight", *MODEL_INPUTS).coalesce(parts).cache()
+    held_out = _tree_inputs(validation).select("is_fraud", *MODEL_INPUTS).coalesce(parts).cache()
+    ensure_checkpoint_dir(train.sparkSession)
+    folder = f"{train.sparkSession.sparkContext.getCheckpointDir()}/boosting-{uuid4().hex}"
     categories = [f"c_{c}" for c in CATEGORICAL_FEATURES]
     indexer = StringIndexerModel.from_arrays_of_labels(
         [[*pools.get(c, []), C.MISSING_CATEGORY] if C.MISSING_CATEGORY not in pools.get(c, []) else pools[c]
@@ -217,8 +225,8 @@ def train_gbt(train: DataFrame, validation: DataFrame, rounds: int = BOOSTING_RO
     tried = min(rounds, 2 * patience)
     while True:
         trees = grown(tried)
-        losses = trees.evaluateEachIteration(checked)
-        best = min(range(len(losses)), key=lambda i: (losses[i], i)) + 1
+        scores = prefix_precision(trees, checked, f"{folder}/tried-{tried}")
+        best = max(range(len(scores)), key=lambda i: (scores[i], -i)) + 1
         if tried - best >= patience or tried == rounds:
             break
         tried = min(rounds, 2 * tried)
@@ -228,12 +236,77 @@ def train_gbt(train: DataFrame, validation: DataFrame, rounds: int = BOOSTING_RO
     return model
 
 
-def validation_losses(model: PipelineModel, df: DataFrame) -> list[float]:
-    """The loss on ``df`` of every prefix of the trees."""
-    inputs = _tree_inputs(_unweighted(df))
+def _flat_trees(nodes: pd.DataFrame, weights: list[float]) -> list[dict[str, np.ndarray]]:
+    """Each tree as arrays by node: feature, threshold, children, left categories as a mask, weighted value."""
+    out = []
+    for tree, table in nodes.sort_values(["treeID", "id"]).groupby("treeID"):
+        splits = list(table["split"])
+        cats = [s["featureIndex"] >= 0 and s["numCategories"] >= 0 for s in splits]
+        mask = np.zeros((len(splits), max([1, *(s["numCategories"] for s, c in zip(splits, cats) if c)])), bool)
+        for i, (s, c) in enumerate(zip(splits, cats)):
+            if c:
+                mask[i, [int(v) for v in s["leftCategoriesOrThreshold"]]] = True
+        out.append({
+            "feature": np.array([s["featureIndex"] for s in splits]), "cat": np.array(cats), "mask": mask,
+            "cut": np.array([0.0 if c or not len(s["leftCategoriesOrThreshold"]) else s["leftCategoriesOrThreshold"][0]
+                             for s, c in zip(splits, cats)]),
+            "left": table["leftChild"].to_numpy(), "right": table["rightChild"].to_numpy(),
+            "value": table["prediction"].to_numpy() * weights[int(tree)]})
+    return out
+
+
+def _tree_values(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    at, rows = np.zeros(len(x), dtype=int), np.arange(len(x))
+    while True:
+        inner = tree["left"][at] >= 0
+        if not inner.any():
+            return tree["value"][at]
+        seen = x[rows, np.maximum(tree["feature"][at], 0)]
+        code = np.clip(seen, 0, tree["mask"].shape[1] - 1).astype(int)
+        goes = np.where(tree["cat"][at], tree["mask"][at, code], seen <= tree["cut"][at])
+        at = np.where(inner, np.where(goes, tree["left"][at], tree["right"][at]), at)
+
+
+def prefix_precision(trees: GBTClassificationModel, ready: DataFrame, folder: str, bins: int = AP_BINS) -> list[float]:
+    """Average precision on ``ready`` of every prefix of the trees, over ``bins`` equal ranges of the probability.
+
+    Each task walks its rows down all trees and counts labels by prefix and range; the counts that are added up and
+    brought back number prefixes times ranges, however many rows there are.
+    """
+    context = ready.sparkSession.sparkContext
+    flat = context.broadcast(_flat_trees(tree_nodes(trees, folder), list(trees.treeWeights)))
+    rounds = len(trees.treeWeights)
+
+    def count(batches):
+        sums = np.zeros((2, rounds, bins), dtype="i8")
+        for batch in batches:
+            x = np.array(batch["x"].tolist(), dtype=float).reshape(len(batch), -1)
+            label, margin = batch["is_fraud"].to_numpy() == 1, np.zeros(len(batch))
+            for k, tree in enumerate(flat.value):
+                margin = margin + _tree_values(tree, x)
+                place = np.minimum((bins / (1 + np.exp(-2 * margin))).astype(int), bins - 1)
+                sums[1, k] += np.bincount(place[label], minlength=bins)
+                sums[0, k] += np.bincount(place[~label], minlength=bins)
+        k, place = np.nonzero(sums.sum(0))
+        yield pd.DataFrame({"k": k, "place": place, "fraud": sums[1, k, place], "other": sums[0, k, place]})
+
+    rows = ready.select("is_fraud", vector_to_array("features").alias("x")).mapInPandas(
+        count, "k long, place long, fraud long, other long")
+    found = rows.groupBy("k", "place").agg(F.sum("fraud").alias("fraud"), F.sum("other").alias("other")).toPandas()
+    out = []
+    for k in range(rounds):
+        part = found[found["k"] == k].sort_values("place", ascending=False)
+        hits, seen = part["fraud"].cumsum(), (part["fraud"] + part["other"]).cumsum()
+        out.append(float((part["fraud"] * hits / seen).sum() / max(1, part["fraud"].sum())))
+    return out
+
+
+def validation_precision(model: PipelineModel, df: DataFrame, folder: str) -> list[float]:
+    """Average precision on ``df`` of every prefix of the trees."""
+    inputs = _tree_inputs(df)
     for stage in model.stages[:-1]:
         inputs = stage.transform(inputs)
-    return model.stages[-1].evaluateEachIteration(inputs)
+    return prefix_precision(model.stages[-1], inputs, folder)
 
 
 POLICY = "trained on the train period; identifiers, supplied velocity and network features are no inputs"

@@ -236,8 +236,8 @@ def train_gbt(spark: SparkSession, folder: str) -> DataFrame:
 def train_gbt_facts(spark: SparkSession, folder: str) -> DataFrame:
     """What must hold of any training: no shorter prefix is better on validation, and none is longer than asked for."""
     model, table = boosted(spark, folder)
-    losses = ml.validation_losses(model, split(table, "validation"))
-    facts = [(sum(x < losses[-1] for x in losses[:-1]), int(len(losses) > ml.BOOSTING_ROUNDS))]
+    scores = ml.validation_precision(model, split(table, "validation"), f"{S.scratch_folder(spark)}/model")
+    facts = [(sum(x > scores[-1] for x in scores[:-1]), int(len(scores) > ml.BOOSTING_ROUNDS))]
     return spark.createDataFrame(facts, "better_prefixes long, rounds_over_limit int")
 
 

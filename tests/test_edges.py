@@ -113,5 +113,7 @@ def test_boosting_keeps_the_best_prefix_of_a_learnable_label(spark):
     base = base.withColumn("is_fraud", (rule != noise).cast("int")).cache()
     train, validation = Q.split(base, "train"), Q.split(base, "validation")
     model = ml.train_gbt(train, validation, rounds=40, patience=10)
-    losses = ml.validation_losses(model, validation)
-    assert len(losses) > 20 and losses[-1] == min(losses)
+    scores = ml.validation_precision(model, validation, Q.S.scratch_folder(spark))
+    assert len(scores) > 20 and scores[-1] == max(scores) > scores[0]
+    scored = ml.score_gbt(model, validation).select("is_fraud", "fraud_probability")
+    assert abs(Q.Q.pr_auc(scored).scalar() - scores[-1]) < 0.02
