@@ -9,7 +9,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,10 +24,10 @@ INNER_PENALTY = 64
 # Tokens that one run of the dynamic programme takes; the open window at its end moves into the next run.
 BLOCK_TOKENS = 1 << 20
 # Distinct words that each of a worker's two generations of known words holds, and the longest one kept.
-CACHE_WORDS = 450_000
+CACHE_WORDS = 250_000
 CACHE_CHARS = 64
-# Characters of the texts that are encoded together.
-TEXT_CHARS = 1 << 19
+# Texts that are encoded together.
+TEXTS = 128
 # The smallest power of two that a window is cut to for its own sake.
 LEAST_POWER = 256
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
@@ -214,13 +214,15 @@ def candidates(docs: list[tuple], window: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _packer(path: str, window: int, block_tokens: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
+    names = [c.split(" ")[0] for c in PIECES.split(", ")]
+    schema = pa.schema([(n, pa.binary() if n == "ids" else pa.int64()) for n in names])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
         docs: list[tuple] = []  # doc_id, ids, sentence ends, tokens, tokens already placed
         held, sequence, part = 0, 0, 0
 
-        def place(last: bool) -> pd.DataFrame:
+        def place(last: bool) -> pa.RecordBatch:
             nonlocal docs, held, sequence
             cuts = plan_cuts(*candidates(docs, window), window, not last)
             cuts = split_tail(cuts, window) if last else cuts[:-1]  # or the last window stays open
@@ -241,24 +243,19 @@ def _packer(path: str, window: int, block_tokens: int, end_id: int):
                         w += 1
             sequence += len(cuts)
             docs, held = left, sum(d[3] - d[4] for d in left)
-            return pd.DataFrame(rows, columns=[c.split(" ")[0] for c in PIECES.split(", ")])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)] if rows else
+                                              [pa.array([], t) for t in schema.types], schema=schema)
 
         for batch in batches:
-            ids_, texts = batch["doc_id"].tolist(), [t or "" for t in batch["text"]]
-            part = int(batch["part"].iloc[-1]) if len(batch) else part
-            at = 0
-            while at < len(texts):
-                upto, size = at, 0
-                while upto < len(texts) and size < TEXT_CHARS:
-                    size += len(texts[upto])
-                    upto += 1
-                for doc_id, ids in zip(ids_[at:upto], encode(texts[at:upto])):
-                    docs.append((None if pd.isna(doc_id) else int(doc_id), ids + end, encode.sentence_ends(ids),
-                                 len(ids) // 4 + 1, 0))
+            # A few texts of the batch become Python objects at a time.
+            for at in range(0, batch.num_rows, TEXTS):
+                some = batch.slice(at, TEXTS).to_pydict()
+                part = some["part"][-1]
+                for doc_id, ids in zip(some["doc_id"], encode([t or "" for t in some["text"]])):
+                    docs.append((doc_id, ids + end, encode.sentence_ends(ids), len(ids) // 4 + 1, 0))
                     held += len(ids) // 4 + 1
                     if held >= block_tokens:
                         yield place(False)
-                at = upto
         if docs:
             yield place(True)
     return run
@@ -282,7 +279,7 @@ def pack(df: DataFrame, tokenizer: str, window: int = WINDOW, end_id: int = END_
     """
     rows = df.select(F.spark_partition_id().cast("long").alias("part"), F.col(doc_id).cast("long").alias("doc_id"),
                      F.col(text).alias("text"))
-    return rows.mapInPandas(_packer(tokenizer, window, block_tokens, end_id), PIECES)
+    return rows.mapInArrow(_packer(tokenizer, window, block_tokens, end_id), PIECES)
 
 
 def tokenizer_path() -> str:
