@@ -246,7 +246,7 @@ def model_metadata(spark: SparkSession, folder: str) -> DataFrame:
     model, table = boosted(spark, folder)
     scored = stored(ml.score_gbt(model, split(table, "validation")).select("is_fraud", "fraud_probability"), "scored")
     return ml.model_metadata(
-        model, split(table, "train"), scored, Q.roc_auc(scored).scalar(), Q.pr_auc(scored).scalar())
+        model, split(table, "train"), scored, Q.roc_auc(scored).first()[0], Q.pr_auc(scored).first()[0])
 
 
 def model_metadata_facts(spark: SparkSession, folder: str) -> DataFrame:

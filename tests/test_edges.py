@@ -116,4 +116,4 @@ def test_boosting_keeps_the_best_prefix_of_a_learnable_label(spark):
     scores = ml.validation_precision(model, validation, Q.S.scratch_folder(spark))
     assert len(scores) > 20 and scores[-1] == max(scores) > scores[0]
     scored = ml.score_gbt(model, validation).select("is_fraud", "fraud_probability")
-    assert abs(Q.Q.pr_auc(scored).scalar() - scores[-1]) < 0.02
+    assert abs(Q.Q.pr_auc(scored).first()[0] - scores[-1]) < 0.02
