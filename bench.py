@@ -20,7 +20,7 @@ HEADLINE = [
     "clean_table", "missingness", "duplicate_conflicts", "unique_keys", "fraud_by_dimension", "behavior_features",
     "velocity_audit", "network_features", "device_summary", "device_card_edges", "model_base", "rule_decisions",
     "system_comparison", "threshold_sweep", "roc_auc", "threshold_economics", "review_capacity", "daily_monitoring",
-    "psi_numeric", "psi_categorical", "top_drivers", "customer_history",
+    "psi_numeric", "psi_categorical", "top_drivers", "customer_history", "case_lookup", "linked_cards",
 ]
 
 
