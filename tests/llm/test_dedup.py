@@ -147,3 +147,23 @@ def test_line_dedup_of_an_empty_table_and_its_plan(spark):
     assert D.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     plan = L.dedup_lines(spark.createDataFrame(corpus(), "doc_id long, text string"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Cartesian|NestedLoop", plan)
+
+
+def test_short_lines_with_one_word_changed_are_alike(spark):
+    """All five-character windows, by an own definition: lines of 8 to 25 words, one word replaced."""
+    r = random.Random(13)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(3, 9)))
+    pairs = []
+    for k in range(360):
+        words = [word() for _ in range(8 + k % 18)]
+        other = list(words)
+        other[r.randrange(len(words))] = word()
+        pairs.append((" ".join(words), " ".join(other)))
+    sets = lambda x: {x[i:i + 5] for i in range(len(x) - 4)} or {x}
+    like = [len(sets(a) & sets(b)) / len(sets(a) | sets(b)) >= 0.8 for a, b in pairs]
+    rows = [(2 * k + i, x) for k, p in enumerate(pairs) for i, x in enumerate(p)]
+    got = {x.doc_id: x.n_removed for x in L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    gone = [got[2 * k + 1] == 1 for k in range(len(pairs))]
+    assert not any(g and not w for g, w in zip(gone, like)) and not any(got[2 * k] for k in range(len(pairs)))
+    assert sum(like) > 150 and sum(gone) >= 0.97 * sum(like)
+    assert sum(gone[k] for k in range(len(pairs)) if 8 + k % 18 == 16) > 10
