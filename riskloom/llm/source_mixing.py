@@ -1,9 +1,11 @@
-"""Mixing sources to target weights: Pfair windows for blocks of documents, interleaved by earliest deadline."""
+"""Mixing sources to target weights: fair merges of blocks of documents in a tree of sources, or a Pfair period."""
 
 from __future__ import annotations
 
 import heapq
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -11,12 +13,10 @@ from riskloom.llm.common import table
 
 # Documents of one block.
 BLOCK = 16
-# Weights are whole parts of about this many; one period of the schedule has as many slots.
+# Whole parts of a periodic schedule, where a caller asks for one.
 PARTS = 1024
 # Target weight of a source is its number of documents to this power, unless weights are given.
 POWER = 0.5
-# Sources that are scheduled by themselves; the documents of further, smaller ones form one more source.
-MAX_SOURCES = 500
 # Rows that one window group may have, about.
 BUCKET_ROWS = 20_000
 
@@ -82,19 +82,97 @@ def schedule(blocks: dict[str, int], parts: dict[str, int]) -> dict[str, list[tu
     return phases
 
 
+class Fluid:
+    """What the sources below a node would have had by a virtual time: each its weight a unit of time, until it is dry.
+
+    Piecewise linear, from one breakpoint per time at which a source runs dry.
+    """
+
+    def __init__(self, blocks: np.ndarray, weights: np.ndarray) -> None:
+        dry = blocks / weights
+        order = np.argsort(dry, kind="stable")
+        dry, w, n = dry[order], weights[order], blocks[order]
+        # At each breakpoint: the blocks of the sources that are dry, and the weight of the others times the time.
+        active = np.append(np.cumsum(w[::-1])[::-1][1:], 0.0)
+        self.times = np.append(0.0, dry)
+        self.served = np.maximum.accumulate(np.append(0.0, np.cumsum(n) + active * dry))
+        self.total = int(blocks.sum())
+
+    def when(self, served: np.ndarray) -> np.ndarray:
+        return np.interp(served, self.served, self.times)
+
+    def before(self, time: np.ndarray, inclusive: bool) -> np.ndarray:
+        """Blocks whose middle is before a time, or at it; exactly by ``when`` of their middles."""
+        lo, hi = np.zeros(len(time), "i8"), np.full(len(time), self.total, "i8")
+        guess = np.rint(np.interp(time, self.times, self.served)).astype("i8")
+        for at in (guess - 2, guess + 2):  # narrows at once where rounding is small; the search is right in any case
+            at = np.clip(at, lo, np.maximum(lo, hi - 1))
+            open_ = lo < hi
+            value = self.when(at + 0.5)
+            yes = open_ & (value <= time if inclusive else value < time)
+            lo, hi = np.where(yes, at + 1, lo), np.where(open_ & ~yes, at, hi)
+        while np.any(lo < hi):
+            at = (lo + hi) // 2
+            value = self.when(at + 0.5)
+            yes = (lo < hi) & (value <= time if inclusive else value < time)
+            lo, hi = np.where(yes, at + 1, lo), np.where((lo < hi) & ~yes, at, hi)
+        return lo
+
+
+class Tree:
+    """Slots of all blocks of all sources, by arithmetic: a source's block climbs a binary tree of sources.
+
+    At each node the two sides' blocks are merged by the virtual times of their middles, so after any number of the
+    node's slots a side is within half a block of its fluid share; weights are never rounded. A node's sources are halved
+    by weight. Its size is the number of sources times the tree's depth.
+    """
+
+    def __init__(self, blocks: dict[str, int], weights: dict[str, float]) -> None:
+        self.names = sorted((s for s, n in blocks.items() if n > 0), key=lambda s: (-weights[s], s))
+        self.place = {s: i for i, s in enumerate(self.names)}
+        n, w = np.array([blocks[s] for s in self.names], "f8"), np.array([weights[s] for s in self.names], "f8")
+        # A source of no weight comes after all others: its weight is too small for a block before they are dry.
+        least = w[w > 0].min(initial=np.inf)
+        self.w = np.where(w > 0, w, least / max(1.0, 2 * n.sum()) ** 2 if np.isfinite(least) else 1.0)
+        self.paths: list[list[tuple[int, int]]] = [[] for _ in self.names]
+        self.nodes: list[tuple[Fluid, Fluid]] = []
+        parts = [(0, len(self.names))]
+        while parts:
+            a, b = parts.pop()
+            if b - a < 2:
+                continue
+            sums = np.cumsum(self.w[a:b])
+            cut = a + min(max(1, int(np.abs(2 * sums - sums[-1]).argmin()) + 1), b - a - 1)
+            for i in range(a, b):
+                self.paths[i].append((len(self.nodes), int(i >= cut)))
+            self.nodes.append((Fluid(n[a:cut], self.w[a:cut]), Fluid(n[cut:b], self.w[cut:b])))
+            parts += [(a, cut), (cut, b)]
+
+    def slots(self, source: str, block: np.ndarray) -> np.ndarray:
+        at = np.asarray(block, "i8")
+        for node, side in reversed(self.paths[self.place[source]]):
+            mine, other = self.nodes[node][side], self.nodes[node][1 - side]
+            at = at + other.before(mine.when(at + 0.5), inclusive=bool(side))  # of equal times the left comes first
+        return at
+
+
 def mix(df: DataFrame, weights: dict[str, float] | None = None, power: float = POWER, block: int = BLOCK,
-        parts: int = PARTS, max_sources: int = MAX_SOURCES, bucket_rows: int = BUCKET_ROWS, doc_id: str = "doc_id",
+        parts: int | None = None, max_sources: int | None = None, bucket_rows: int = BUCKET_ROWS, doc_id: str = "doc_id",
         source: str = "source") -> DataFrame:
     """All rows of ``df`` with mix_source, mix_rank, mix_block, mix_slot and mix_position, the order to read them in.
 
     Each source's rows, in an order drawn from a digest of the row, form blocks of ``block``. While no source has run
-    dry, after any number of slots each source has had its weight's share of the blocks to within less than one block;
-    after that the same holds for the sources that are left, their weights in proportion. Nothing is dropped or
-    repeated. A source without a given weight takes the mean of those given.
+    dry, after any number of slots each source has had its weight's share of the blocks to within half a block for each
+    split above it, halved again by each further split: less than two blocks. After that the sources that are left go
+    on, their weights in proportion. Nothing is dropped or repeated. A source without a given weight takes the mean of
+    those given; one of weight 0 comes when the others are dry.
+
+    With ``parts``, weights are first rounded to whole parts of about that many, and a period of as many slots repeats;
+    with ``max_sources``, only that many of the largest sources are told apart. By default neither is done.
 
     Ranks need no source in one task: rows are numbered in digest buckets of about ``bucket_rows``, and the buckets'
-    sizes, counted first, are added up. The driver gets one count per source (the ``max_sources`` largest) and makes a
-    schedule whose size depends on the number of sources; a block finds its slot in it by arithmetic.
+    sizes, counted first, are added up. The driver gets one count per source and makes a tree of sources; a block finds
+    its slot in it by arithmetic.
 
     A null source counts as the source ''. Rows equal in every column follow each other in any order; an empty table
     gives an empty result. Columns whose names clash with the new ones are replaced.
@@ -104,9 +182,9 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, power: float = P
     df = df.drop(*new)
     name = F.coalesce(F.col(source).cast("string"), F.lit(""))
     counted = df.groupBy(name.alias("s")).count()
-    largest = counted.orderBy(F.col("count").desc(), "s").limit(max_sources).collect()
     total = counted.agg(F.sum("count")).first()[0] or 0
-    sizes = {r.s: r["count"] for r in largest}
+    told = counted if max_sources is None else counted.orderBy(F.col("count").desc(), "s").limit(max_sources)
+    sizes = {r.s: r["count"] for r in told.collect()}
     rest = total - sum(sizes.values())
     own = name
     if rest:  # smaller sources are one more source, under a name that none of the others has
@@ -120,11 +198,7 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, power: float = P
     else:
         mean = sum(weights.values()) / max(1, len(weights))
         wanted = {s: weights.get(s, mean) for s in sizes}
-    phases = schedule({s: -(-n // block) for s, n in sizes.items()}, whole_parts(wanted, parts)) if sizes else {}
-    # One row per source; its size is set by the numbers of sources and parts.
-    plan = spark.createDataFrame(
-        [(s, [p[0] for p in ps], ps) for s, ps in phases.items()],
-        "mix_source string, firsts array<long>, phases array<struct<first: long, base: long, d: long, slots: array<int>>>")
+    blocks = {s: -(-n // block) for s, n in sizes.items()}
     buckets = max(1, -(-total // bucket_rows))
     simple = [c for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
     rows = df.withColumn("mix_source", own).withColumn("_digest", F.xxhash64(*simple)).withColumn(
@@ -138,14 +212,41 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, power: float = P
         rows.withColumn("_rank", F.row_number().over(within)).join(offsets, ["mix_source", "_bucket"])
         .withColumn("mix_rank", (F.col("_before") + F.col("_rank") - 1).cast("long"))
         .withColumn("mix_block", F.expr(f"mix_rank div {block}"))
-        .join(F.broadcast(plan), "mix_source")
+    )
+    placed = in_periods(ranked, blocks, wanted, parts) if parts is not None else ranked.withColumn(
+        "mix_slot", tree_slots(spark, blocks, wanted)("mix_source", "mix_block"))
+    return placed.withColumn("mix_position", F.expr(f"mix_slot * {block} + mix_rank % {block}")).select(*df.columns, *new)
+
+
+def tree_slots(spark: SparkSession, blocks: dict[str, int], weights: dict[str, float]):
+    """A function of source and block columns: the block's slot in the tree of all sources."""
+    tree = spark.sparkContext.broadcast(Tree(blocks, weights))
+
+    @F.pandas_udf("long")
+    def slots(source: pd.Series, block: pd.Series) -> pd.Series:
+        out = np.zeros(len(source), "i8")
+        for s, at in source.groupby(source, sort=False).indices.items():
+            few, back = np.unique(block.to_numpy()[at], return_inverse=True)
+            out[at] = tree.value.slots(s, few)[back]
+        return pd.Series(out)
+
+    return slots
+
+
+def in_periods(ranked: DataFrame, blocks: dict[str, int], weights: dict[str, float], parts: int) -> DataFrame:
+    """``ranked`` with mix_slot by a Pfair period of whole parts for each set of active sources."""
+    phases = schedule(blocks, whole_parts(weights, parts)) if blocks else {}
+    # One row per source; its size is set by the numbers of sources and parts.
+    plan = ranked.sparkSession.createDataFrame(
+        [(s, [p[0] for p in ps], ps) for s, ps in phases.items()],
+        "mix_source string, firsts array<long>, phases array<struct<first: long, base: long, d: long, slots: array<int>>>")
+    return (
+        ranked.join(F.broadcast(plan), "mix_source")
         .withColumn("_phase", F.expr("element_at(phases, size(filter(firsts, f -> f <= mix_block)))"))
         .withColumn("_turn", F.expr("(mix_block - _phase.first) div size(_phase.slots)"))
         .withColumn("_place", F.expr("cast((mix_block - _phase.first) % size(_phase.slots) as int)"))
         .withColumn("mix_slot", F.expr("_phase.base + _turn * _phase.d + _phase.slots[_place]"))
-        .withColumn("mix_position", F.expr(f"mix_slot * {block} + mix_rank % {block}"))
     )
-    return ranked.select(*df.columns, *new)
 
 
 def op7(spark: SparkSession, folder: str) -> DataFrame:

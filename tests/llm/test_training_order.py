@@ -55,6 +55,15 @@ def test_mixed_order_keeps_every_row_and_the_weights(spark):
     assert M.mix(df.limit(0)).count() == 0
 
 
+def test_every_source_keeps_its_name_and_its_weight(spark):
+    rows = [(i, f"s{i % 700}" if i < 2100 else "hot") for i in range(4000)]
+    got = M.mix(spark.createDataFrame(rows, "doc_id long, source string"), {"s699": 0.5, "hot": 0.0001}, block=1).collect()
+    assert len({g.mix_source for g in got}) == 701 and sorted(g.mix_slot for g in got) == list(range(4000))
+    share = 0.5 / (0.5 + 0.0001 + 699 * 0.25005)
+    third = sorted(g.mix_slot for g in got if g.mix_source == "s699")[2]
+    assert abs(third - 2.5 / share) < 2 / share
+
+
 def slow_cost(cuts, penalty, window):
     """Least cost over all choices of window ends, by trying every predecessor."""
     cost = [0] + [None] * (len(cuts) - 1)
