@@ -55,6 +55,29 @@ def test_mixed_order_keeps_every_row_and_the_weights(spark):
     assert M.mix(df.limit(0)).count() == 0
 
 
+def test_tree_follows_unrounded_weights_of_all_sources():
+    r = random.Random(12)
+    weights = {f"s{i}": r.random() ** 4 + 1e-4 for i in range(900)} | {"big": 300.0, "tiny": 0.01}
+    weights = {s: w / sum(weights.values()) for s, w in weights.items()}
+    blocks = {s: int(60_000 * w) + 3 for s, w in weights.items()}
+    tree, total = M.Tree(blocks, weights), sum(blocks.values())
+    slots = {s: tree.slots(s, np.arange(n)) for s, n in blocks.items()}
+    assert np.array_equal(np.sort(np.concatenate(list(slots.values()))), np.arange(total))
+    assert all(np.all(np.diff(x) > 0) for x in slots.values())
+    t = np.arange(0, 50_000, 7)  # no source is dry before
+    for s, w in weights.items():
+        assert np.abs(np.searchsorted(slots[s], t) - t * w).max() < 2, s
+
+
+def test_tree_goes_on_in_proportion_when_sources_are_dry():
+    blocks, weights = {"a": 100, "b": 4000, "c": 2000, "zero": 5}, {"a": 0.5, "b": 0.3337, "c": 0.1663, "zero": 0.0}
+    tree = M.Tree(blocks, weights)
+    slots = {s: tree.slots(s, np.arange(n)) for s, n in blocks.items()}
+    assert sorted(np.concatenate(list(slots.values())).tolist()) == list(range(6105)) and slots["zero"].min() >= 6100
+    t = np.arange(200, 6000)
+    assert np.abs(np.searchsorted(slots["b"], t) - 66.74 - (t - 200) * 0.3337 / 0.5).max() < 2
+
+
 def test_every_source_keeps_its_name_and_its_weight(spark):
     rows = [(i, f"s{i % 700}" if i < 2100 else "hot") for i in range(4000)]
     got = M.mix(spark.createDataFrame(rows, "doc_id long, source string"), {"s699": 0.5, "hot": 0.0001}, block=1).collect()
