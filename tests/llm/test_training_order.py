@@ -201,3 +201,21 @@ def test_pipeline_stages_take_effect(spark):
     assert set(pieces.doc_id) == before
     total = pieces.drop_duplicates("doc_id").doc_tokens.sum()
     assert pieces.length.sum() == total
+
+
+def test_sequences_follow_the_mix_over_several_files(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "FILE_ROWS", 300)
+    r = random.Random(15)
+    # Texts of very unlike lengths, as scans put files together by size.
+    rows = [(i, " ".join(["word"] * r.choice([3, 40, 400])) + ".", "en", "hot" if i % 10 else "cold", 1) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    mixed = corpus_pipeline.stage_table(spark, corpus_pipeline.mix(spark, docs, ""), "test-mix")
+    assert len(mixed.inputFiles()) > 5
+    place = {x.doc_id: x.mix_position for x in M.mix(docs).collect()}
+    first = corpus_pipeline.pack(spark, mixed, "").filter("start = 0").collect()
+    order = [place[x.doc_id] for x in sorted(first, key=lambda x: (x.sequence_id, x.offset))]
+    assert order == sorted(place.values())
+    sources = {i: s for i, _, _, s, _ in rows}
+    read = [sources[x.doc_id] for x in sorted(first, key=lambda x: (x.sequence_id, x.offset))]
+    share = 300 ** 0.5 / (300 ** 0.5 + 2700 ** 0.5)
+    assert all(abs(read[:n].count("cold") - n * share) < 2 * M.BLOCK for n in range(100, 1100, 50))
