@@ -1,5 +1,6 @@
 """SimHash near-duplicates: a byte-position inverted index with count filtering, then verification and components."""
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -7,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from riskloom.llm import line_dedup
 from riskloom.llm.common import components, stage_table, table
 
 # Fixed values of the contract: words of a shingle, hash seed, differing bits of a link.
@@ -19,26 +21,45 @@ MIN_SHARED = BYTES - MAX_BITS
 # Fingerprints of one posting that are paired; a longer posting is searched by neighbourhoods instead.
 POSTING = 128
 CHUNK = 1 << 16
+# Near copies, outside the contract: words of a shingle, similarity of the shingle sets, and differing bits of a pair
+# that is compared. At similarity 0.8 fingerprints differ in about 10 of 64 bits, with a deviation of 3.
+COPY_SHINGLE = 5
+COPY_SIMILARITY = 0.8
+COPY_BITS = 22
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
     """Signed 64-bit SimHash of the whole text; 0 for a text without words."""
+    n, ones = 0, np.zeros(64, "i8")
+    for hashes in gram_hashes(text, shingle, seed):
+        n += len(hashes)
+        ones += bit_counts(hashes)
+    return majority(ones, n)
+
+
+def gram_hashes(text: str | None, shingle: int, seed: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles in the order of the text, in pieces of bounded size; none for a text without words."""
     import xxhash
 
     words = (text or "").encode().lower().split()  # bytes: A-Z alone are lowered, and words end at ASCII white space
     if not words:
-        return 0
+        return
     if len(words) < shingle:
         words, shingle = [b" ".join(words)], 1
     grams = map(b" ".join, zip(*(words[i:] for i in range(shingle))))
-    n = len(words) - shingle + 1
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, "i8")
+    n, digest = len(words) - shingle + 1, xxhash.xxh64_intdigest
     for at in range(0, n, CHUNK):
         size = min(CHUNK, n - at)
-        hashes = np.fromiter((digest(g, seed) for g, _ in zip(grams, range(size))), "<u8", size)
-        ones += np.unpackbits(hashes.view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype="i8")
-    bits = np.packbits(2 * ones > n, bitorder="little")
-    return int(bits.view("<i8")[0])
+        yield np.fromiter((digest(g, seed) for g, _ in zip(grams, range(size))), "<u8", size)
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    return np.unpackbits(hashes.view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype="i8")
+
+
+def majority(ones: np.ndarray, n: int) -> int:
+    """The signed number whose bits are set in more than half of n hashes."""
+    return int(np.packbits(2 * ones > n, bitorder="little").view("<i8")[0])
 
 
 def fingerprints(text: str) -> Column:
@@ -127,6 +148,72 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def gram_set(text: str | None, shingle: int = COPY_SHINGLE, seed: int = SEED) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles."""
+    pieces = [np.unique(x) for x in gram_hashes(text, shingle, seed)]
+    return np.unique(np.concatenate(pieces)).view("<i8") if pieces else np.zeros(0, "i8")
+
+
+def sketches(text: str, shingle: int) -> Column:
+    """fp, h1 and h2 (a 128-bit name of the text's words), n (distinct shingles) and the least of their hashes."""
+    def run(batch: pd.Series) -> pd.DataFrame:
+        import xxhash
+
+        out = []
+        for x in batch:
+            pieces, ones, total = [], np.zeros(64, "i8"), 0
+            for hashes in gram_hashes(x, shingle, SEED):
+                ones += bit_counts(hashes)
+                total += len(hashes)
+                pieces.append(np.unique(hashes))
+            grams = np.unique(np.concatenate(pieces)) if pieces else np.zeros(0, "<u8")
+            name = xxhash.xxh3_128_digest(b" ".join((x or "").encode().lower().split()))
+            out.append((majority(ones, total), *np.frombuffer(name, "<i8").tolist(), len(grams),
+                        grams[:line_dedup.MINIMA].view("<i8").tolist()))
+        return pd.DataFrame(out, columns=["fp", "h1", "h2", "n", "least"])
+
+    return F.pandas_udf(run, "fp long, h1 long, h2 long, n int, least array<long>")(text)
+
+
+def near_copies(df: DataFrame, key: str, text: str = "text", shingle: int = COPY_SHINGLE,
+                similarity: float = COPY_SIMILARITY, bits: int = COPY_BITS) -> DataFrame:
+    """One row per row of ``df``: the key and ``node`` of its words, and ``component``, the least node it is linked to.
+
+    Texts are linked if the sets of their shingles have the similarity, counted exactly. Within the bits that this needs,
+    fingerprints share too few bytes for an index of them to be selective, so candidates come from minima of the same
+    hashes, as in line dedup; those over ``bits`` apart are dropped before the sets are compared. Equal words, whatever
+    their case and white space, are one node from the start; so are all texts without words. Repeated rows appear each.
+    """
+    spark = df.sparkSession
+    rows = stage_table(spark, df.select(F.col(key), sketches(text, shingle).alias("k")).select(key, "k.*"), "sketches")
+    node = F.struct("h1", "h2").alias("node")
+    distinct = rows.filter(F.col("n") > 0).groupBy("h1", "h2").agg(
+        F.min("fp").alias("fp"), F.min("n").alias("n"),
+        *[F.min(F.get("least", F.lit(i))).alias(f"m{i + 1}") for i in range(line_dedup.MINIMA)])
+    distinct = stage_table(spark, distinct, "distinct-sketches")
+
+    @F.pandas_udf("array<long>")
+    def grams(batch: pd.Series) -> pd.Series:
+        return pd.Series([gram_set(x, shingle) for x in batch])
+
+    def bodies(nodes: DataFrame) -> DataFrame:
+        """Shingle sets of the candidates, from one text each."""
+        one = rows.select(key, node, "n").join(nodes, "node", "left_semi").groupBy("node").agg(
+            F.min(key).alias(key), F.min("n").alias("n"))
+        return df.select(key, F.col(text).alias("_text")).join(one, key).select("node", "n", grams("_text").alias("body"))
+
+    def check(pairs: DataFrame, bodies: DataFrame, shingles: line_dedup.Shingles, similarity: float) -> DataFrame:
+        prints = distinct.select(node, "fp")
+        near = pairs.join(prints.select(F.col("node").alias("a"), F.col("fp").alias("fa")), "a").join(
+            prints.select(F.col("node").alias("b"), F.col("fp").alias("fb")), "b")
+        near = near.filter(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= bits).select("a", "b")
+        return line_dedup.verified(near, bodies, shingles, similarity)
+
+    found = line_dedup.alike(spark, distinct.drop("fp"), bodies, lambda body: body, similarity, check)
+    return rows.select(key, node).join(found, "node", "left").select(
+        key, "node", F.coalesce("component", "node").alias("component"))
+
+
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = near_duplicates(table(spark, folder, "documents"))

@@ -167,3 +167,34 @@ def test_short_lines_with_one_word_changed_are_alike(spark):
     assert not any(g and not w for g, w in zip(gone, like)) and not any(got[2 * k] for k in range(len(pairs)))
     assert sum(like) > 150 and sum(gone) >= 0.97 * sum(like)
     assert sum(gone[k] for k in range(len(pairs)) if 8 + k % 18 == 16) > 10
+
+
+def changed(r, words, times):
+    for i in r.sample(range(len(words)), times):
+        words = [*words[:i], f"new{r.random()}", *words[i + 1:]]
+    return words
+
+
+def five(text):
+    w = text.split()
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+
+def test_stage_drops_near_copies_at_similarity_eight_tenths(spark):
+    import corpus_pipeline
+
+    r = random.Random(17)
+    texts, like = [], []
+    for n, times in [(300, 6)] * 60 + [(300, 3)] * 30 + [(1000, 20)] * 60 + [(1000, 10)] * 30 + [(300, 12)] * 30:
+        words = [f"w{r.randrange(50_000)}" for _ in range(n)]
+        pair = " ".join(words), " ".join(changed(r, words, times))
+        a, b = map(five, pair)
+        texts += pair
+        like.append(len(a & b) >= 0.8 * len(a | b))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = {x.doc_id for x in corpus_pipeline.dedup_documents(spark, docs, "").collect()}
+    gone = [2 * k + 1 not in kept for k in range(len(like))]
+    assert all(2 * k in kept for k in range(len(like))) and not any(g and not w for g, w in zip(gone, like))
+    print("near copies found:", sum(gone), "of", sum(like))
+    assert sum(like) > 120 and sum(gone) >= 0.95 * sum(like)
