@@ -198,3 +198,16 @@ def test_stage_drops_near_copies_at_similarity_eight_tenths(spark):
     assert all(2 * k in kept for k in range(len(like))) and not any(g and not w for g, w in zip(gone, like))
     print("near copies found:", sum(gone), "of", sum(like))
     assert sum(like) > 120 and sum(gone) >= 0.95 * sum(like)
+
+
+def test_stage_keeps_unlike_documents_of_null_and_repeated_ids(spark):
+    import corpus_pipeline
+
+    r = random.Random(19)
+    text = lambda: " ".join(f"w{r.randrange(50_000)}" for _ in range(120))
+    a, b, c, d, e = (text() for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (7, c), (7, d), (7, d), (3, c), (9, e), (9, ""), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    kept = [(x.doc_id, x.text) for x in corpus_pipeline.dedup_documents(spark, docs, "").collect()]
+    assert sorted(kept, key=repr) == sorted([(None, a), (None, b), (3, c), (7, d), (9, e), (9, "")], key=repr)
