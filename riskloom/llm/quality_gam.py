@@ -176,22 +176,33 @@ def train(documents: DataFrame, labels: DataFrame, label: str = "quality", rows:
     """Fit on at most ``rows`` labelled documents that are not held out; that bound is all the driver receives.
 
     The sample is the labelled ids of the smallest digests, so it does not depend on the order of the rows. Ids, then
-    features of those documents alone, are joined; ties and repeated labels count as rows each.
+    features of those documents alone, are joined. Each (id, label) counts once, however often its label or its document
+    is repeated; of several texts under one id it is the one of least digest. An id with both labels counts once for each.
     """
     sample = (
         labels.filter(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & ~held_out())
-        .select("doc_id", F.col(label).cast("double").alias("y"))
+        .select("doc_id", F.col(label).cast("double").alias("y")).distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(rows)
     )
-    schema = "y double, x array<double>"
+    kinds = dict(documents.dtypes)
+    schema = f"doc_id {kinds['doc_id']}, y double, digest long, x array<double>"
 
     def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        least: dict[tuple, int] = {}  # one for each sampled row at most
         for batch in batches:
-            yield pd.DataFrame({"y": batch["y"], "x": [text_features(t) for t in batch["text"]]})
+            out = []
+            for key, y, digest, text in zip(batch["doc_id"], batch["y"], batch["digest"], batch["text"]):
+                if digest < least.get((key, y), 1 << 63):
+                    least[key, y] = digest
+                    out.append((key, y, digest, text_features(text)))
+            yield pd.DataFrame(out, columns=["doc_id", "y", "digest", "x"])
 
     # At most ``rows`` ids of sixteen bytes.
-    chosen = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    found = chosen.select("y", "text").mapInPandas(measure, schema).toPandas()
+    chosen = documents.select("doc_id", "text", F.xxhash64("text").alias("digest")).join(F.broadcast(sample), "doc_id")
+    each = chosen.select("doc_id", "y", "digest", "text").mapInPandas(measure, schema).groupBy("doc_id", "y").agg(
+        F.min(F.struct("digest", "x")).alias("least"))
+    found = each.select("y", F.col("least.x").alias("x")).toPandas()
+    assert len(found) <= rows
     order = sorted(range(len(found)), key=lambda i: (found["y"][i], list(found["x"][i])))
     x = np.array([found["x"][i] for i in order], "f8").reshape(-1, len(FEATURES))
     return fit(x, found["y"].to_numpy("f8")[order])

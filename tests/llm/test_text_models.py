@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -142,3 +143,20 @@ def test_language_of_empty_tables(spark):
     assert model.languages == [] and I.identify(empty, model, "doc_id", "text").count() == 0
     one = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert I.identify(one, model, "doc_id", "text").first().language == "und"
+
+
+def test_training_takes_each_labelled_id_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(Q, "fit", lambda x, y: seen.append((x, y)))
+    rows = [(i, f"text {'word ' * i}of number {i}.") for i in range(1, 40)]
+    hot = next(i for i in range(1, 40) if zlib.crc32(str(i).encode()) % Q.FOLDS)
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows] + [(hot, hot % 2)] * 5, "doc_id long, quality int")
+    for repeats in (0, 500):
+        docs = spark.createDataFrame(rows + [(hot, rows[hot - 1][1])] * repeats, "doc_id long, text string")
+        Q.train(docs.repartition(5), labels, rows=20)
+    (x, y), (x2, y2) = seen
+    assert len(y) == 20 and np.array_equal(x, x2) and np.array_equal(y, y2)
+    several = spark.createDataFrame(rows + [(hot, f"other {i}") for i in range(50)], "doc_id long, text string")
+    Q.train(several.repartition(3), labels, rows=40)
+    Q.train(several.repartition(7), labels, rows=40)
+    assert len(seen[2][1]) <= 39 and np.array_equal(seen[2][0], seen[3][0])
