@@ -7,19 +7,24 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import UPPER, stage_table, table
 
-# Labelled documents the text model is fitted on at most: those of the smallest digests of their id.
+# Labelled documents the text model is fitted on, about, dealt out evenly to the languages: of each language those of the
+# smallest digests of their id, at least LEAST_ROWS if it has as many.
 TRAIN_ROWS = 4_000
+LEAST_ROWS = 100
 # Bytes of an n-gram, and hashed cells of the likelihood tables.
 GRAM = 3
 CELLS = 1 << 14
 # A document's n-grams overlap and repeat, so their log-likelihoods are discounted, and held to this many nats.
 DISCOUNT = 0.2
 MAX_TEXT_NATS = 30.0
+# A language without a text model counts as one whose n-grams are this many nats less likely than a modelled language's
+# own usually are: text of a modelled language is told from it, any other text says little.
+NEUTRAL_NATS = 0.75
 # How often a declaration, or a suffix that names a language, is right.
 DECLARED_TRUST = 0.85
 SUFFIX_TRUST = 0.6
@@ -39,7 +44,11 @@ class TextModel:
     """Log-likelihoods of hashed byte n-grams by language; its size is languages times cells."""
 
     languages: list[str] = field(default_factory=list)
-    logs: np.ndarray = field(default_factory=lambda: np.zeros((0, CELLS)))
+    logs: np.ndarray = field(default_factory=lambda: np.zeros((0, CELLS)))  # of the first of the languages
+    neutral: float = 0.0  # log-likelihood of an n-gram under each of the others
+
+    def of(self, counts: np.ndarray) -> np.ndarray:
+        return np.append(self.logs @ counts, np.full(len(self.languages) - len(self.logs), self.neutral * counts.sum()))
 
 
 def gram_counts(text: str | None) -> np.ndarray:
@@ -56,12 +65,36 @@ def gram_counts(text: str | None) -> np.ndarray:
     return out
 
 
-def train_text(documents: DataFrame, label: str = "lang", rows: int = TRAIN_ROWS) -> TextModel:
-    """N-gram likelihoods from at most ``rows`` labelled documents; counts are summed by language inside the tasks."""
-    sample = documents.filter(F.col(label).isNotNull() & F.col("text").isNotNull() & (F.col("text") != "")).select(
-        "doc_id", F.col(label).alias("lang")).orderBy(F.xxhash64("doc_id"), "doc_id", "lang").limit(rows)
-    # At most ``rows`` ids.
-    chosen = documents.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("lang", "text")
+def named_languages(pages: DataFrame, html: str = "html", url: str = "url") -> set[str]:
+    """Languages that pages declare or whose suffix suggests one, by a grouped count."""
+    _, _, suffix = address(F.col(url))
+    names = F.create_map(*[F.lit(x) for pair in SUFFIX.items() for x in pair])
+    said = F.array(declared_language(F.col(html)), F.try_element_at(names, suffix))
+    found = pages.select(F.explode(said).alias("lang")).filter(F.col("lang") != "").groupBy("lang").count()
+    return {r.lang for r in found.collect()}
+
+
+def train_text(documents: DataFrame, label: str = "lang", rows: int = TRAIN_ROWS, named: set[str] = frozenset()) -> TextModel:
+    """N-gram likelihoods of every language that labels name, from a bounded sample of each; those only ``named``
+    elsewhere, or without text, follow with a neutral likelihood. Counts are summed in the tasks, then by language."""
+    labelled = documents.filter(F.col(label).isNotNull())
+    with_text = F.col("text").isNotNull() & (F.col("text") != "")
+    found = {r.lang: r.n for r in labelled.groupBy(F.col(label).alias("lang")).agg(
+        F.count_if(with_text).alias("n")).collect()}
+    modelled = {x: n for x, n in found.items() if n}
+    if not modelled:
+        return TextModel(sorted(found.keys() | named))
+    most = max(LEAST_ROWS, -(-rows // len(modelled)))
+    # Digests up to a bound that leaves about twice the rows needed, so that no language's rows meet in one task.
+    shares = F.create_map(*[F.lit(x) for k, n in sorted(modelled.items()) for x in (k, min(1.0, 2 * most / n))])
+    digest = F.xxhash64("doc_id")
+    low = F.pmod(digest, F.lit(1 << 30)) < F.try_element_at(shares, F.col(label)) * (1 << 30)
+    ids = labelled.filter(with_text & low & F.col("doc_id").isNotNull()).select(
+        "doc_id", F.col(label).alias("lang"), F.pmod(digest, F.lit(1 << 30)).alias("digest")).distinct()
+    order = Window.partitionBy("lang").orderBy("digest", "doc_id")
+    sample = ids.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= most).select("doc_id", "lang")
+    # The bounded number of ids above for each language.
+    chosen = documents.filter(with_text).select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("lang", "text")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
@@ -70,15 +103,20 @@ def train_text(documents: DataFrame, label: str = "lang", rows: int = TRAIN_ROWS
                 sums[lang] = sums.get(lang, 0) + gram_counts(text)
         yield pd.DataFrame({"lang": list(sums), "counts": [c.astype("<i8").tobytes() for c in sums.values()]})
 
-    total: dict[str, np.ndarray] = {}
-    # One small row for each language and task of the bounded sample.
-    for r in chosen.coalesce(8).mapInPandas(count, "lang string, counts binary").toLocalIterator():
-        total[r.lang] = total.get(r.lang, 0) + np.frombuffer(r.counts, "<i8")
+    def add(parts: pd.DataFrame) -> pd.DataFrame:
+        whole = sum(np.frombuffer(c, "<i8") for c in parts["counts"])
+        return pd.DataFrame({"lang": parts["lang"][:1], "counts": [whole.tobytes()]})
+
+    schema = "lang string, counts binary"
+    total = {r.lang: np.frombuffer(r.counts, "<i8") for r in chosen.mapInPandas(count, schema).groupBy("lang").applyInPandas(
+        add, schema).toLocalIterator()}
     languages = sorted(total)
     if not languages:
-        return TextModel()
+        return TextModel(sorted(found.keys() | named))
     counts = np.array([total[x] for x in languages], "f8") + 0.5
-    return TextModel(languages, np.log(counts / counts.sum(1, keepdims=True)))
+    shares_ = counts / counts.sum(1, keepdims=True)
+    neutral = float((shares_ * np.log(shares_)).sum(1).mean()) - NEUTRAL_NATS
+    return TextModel([*languages, *sorted((found.keys() | named) - set(languages))], np.log(shares_), neutral)
 
 
 def visible_text(html: str | None) -> str:
@@ -92,7 +130,7 @@ def text_evidence(model: TextModel, text: Column, markup: bool) -> Column:
         out = []
         for t in batch:
             counts = gram_counts(visible_text(t) if markup else t)
-            logs = model.logs @ counts * DISCOUNT
+            logs = model.of(counts) * DISCOUNT
             out.append(np.maximum(logs - logs.max(initial=-np.inf), -MAX_TEXT_NATS) if len(logs) else logs)
         return pd.Series(out)
 
@@ -192,8 +230,9 @@ def identify(df: DataFrame, model: TextModel, key: str, text: str, url: str | No
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """Language of every page (page_id set) and of every document (doc_id set; its source stands for a host)."""
     documents = table(spark, folder, "documents")
-    model = train_text(documents)
-    pages = identify(table(spark, folder, "pages"), model, "page_id", "html", url="url", markup=True)
+    pages = table(spark, folder, "pages")
+    model = train_text(documents, named=named_languages(pages))
+    pages = identify(pages, model, "page_id", "html", url="url", markup=True)
     texts = identify(documents, model, "doc_id", "text", host="source")
     rest = ["declared", "suffix", "host", "language", "posterior"]
     empty = F.lit(None).cast("long")

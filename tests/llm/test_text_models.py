@@ -160,3 +160,22 @@ def test_training_takes_each_labelled_id_once(spark, monkeypatch):
     Q.train(several.repartition(3), labels, rows=40)
     Q.train(several.repartition(7), labels, rows=40)
     assert len(seen[2][1]) <= 39 and np.array_equal(seen[2][0], seen[3][0])
+
+
+def test_rare_and_unlabelled_languages_are_named(spark):
+    r = random.Random(21)
+    words = {x: ["".join(r.choice(letters) for _ in range(r.randrange(3, 8))) for _ in range(200)]
+             for x, letters in (("de", "abcdefgh"), ("en", "ijklmnop"), ("pl", "qrstuvwx"))}
+    text = lambda x: " ".join(r.choice(words[x]) for _ in range(80))
+    rows = [(i, text(x), x) for i, x in enumerate(["de", "en"] * 3000 + ["pl"] * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    strange = " ".join("".join(r.choice("αβγδεζηθ") for _ in range(5)) for _ in range(60))
+    pages = spark.createDataFrame(
+        [(1, "http://a.b.jp/x", f'<html lang="ja">{strange}'), (2, "http://c.d.com/", f"<html>{text('en')}"),
+         (3, "http://e.f.com/", f"<html>{text('pl')}")], "page_id long, url string, html string")
+    model = I.train_text(docs, rows=500, named=I.named_languages(pages))
+    assert model.languages == ["de", "en", "pl", "ja"]
+    got = I.identify(pages, model, "page_id", "html", url="url", markup=True).collect()
+    assert {x.page_id: x.language for x in got} == {1: "ja", 2: "en", 3: "pl"}
+    got = I.identify(docs, model, "doc_id", "text").join(docs, "doc_id").collect()
+    assert np.mean([x.language == x.lang for x in got]) > 0.99
