@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from riskloom.llm import (
     chat_format,
+    embedding_dedup,
+    fill_in_middle,
     language_id,
     line_dedup,
     packing,
@@ -11,6 +13,7 @@ from riskloom.llm import (
     quality_rules,
     simhash_dedup,
     source_mixing,
+    spelling_variants,
     topk_search,
     url_filters,
 )
@@ -26,9 +29,13 @@ QUERIES = {
     "op8_packing": packing.op8,
     "op9_chat_format": chat_format.op9,
     "op10_quality_rules": quality_rules.op10,
+    "op11_fill_in_middle": fill_in_middle.op11,
+    "op12_spelling_variants": spelling_variants.op12,
+    "op13_embedding_dedup": embedding_dedup.op13,
 }
 ORACLE = {
     "op1_topk_search": topk_search.OP1_SQL,
     "op2_url_filters": url_filters.OP2_SQL,
     "op10_quality_rules": quality_rules.OP10_SQL,
+    "op11_fill_in_middle": fill_in_middle.OP11_SQL,
 }
