@@ -1,207 +1,252 @@
-"""Mixing sources to target weights: fair merges of blocks of documents in a tree of sources, or a Pfair period."""
+"""Mixing sources to target weights: Pfair release times and deadlines per block, earliest deadline first by slot ranges."""
 
 from __future__ import annotations
 
 import heapq
+from bisect import bisect_right
+from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import table
+from riskloom.llm.common import stage_table, table
 
 # Documents of one block.
 BLOCK = 16
-# Whole parts of a periodic schedule, where a caller asks for one.
-PARTS = 1024
 # Target weight of a source is its number of documents to this power, unless weights are given.
 POWER = 0.5
+# Weights are integers of which all sources together have this many, about.
+WHOLE = 1 << 44
+# Slots of a range, at least: a range is scheduled in one task.
+RANGE = 16_384
+# Slots of a range, at most, about, as a task holds its blocks.
+MAX_RANGE = 1 << 19
+# Sources that one schedule holds; more are scheduled in groups, and inside them again.
+TOGETHER = 4096
 # Rows that one window group may have, about.
 BUCKET_ROWS = 20_000
 
 
-def whole_parts(weights: dict[str, float], parts: int = PARTS) -> dict[str, int]:
-    """Weights as whole parts, at least one each: rounded down, the rest to the largest remainders, ties by name."""
-    parts = max(parts, 8 * len(weights))
-    total = sum(weights.values())
-    exact = {s: max(0.0, w) * parts / total if total > 0 else parts / len(weights) for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s))[:max(0, parts - sum(out.values()))]:
-        out[s] += 1
+class Shares:
+    """Exact shares of sources of n blocks and integer weight a, where those run dry leave theirs to the others.
+
+    By virtual time v a source has had min(n, a * v). In the phase after some have run dry, all together have had
+    C + A * v with integers C (blocks of the dry) and A (weight of the others), so every comparison is one of integers.
+    """
+
+    def __init__(self, blocks: list[int], weights: list[int]) -> None:
+        self.n, self.a = blocks, weights
+        dry: dict[Fraction, list[int]] = {}
+        for s, (n, a) in enumerate(zip(blocks, weights)):
+            dry.setdefault(Fraction(n, a), []).append(s)
+        self.times = sorted(dry)
+        self.dry_phase = [0] * len(blocks)
+        self.c, self.w = [0], [sum(weights)]
+        for p, time in enumerate(self.times):
+            for s in dry[time]:
+                self.dry_phase[s] = p
+            self.c.append(self.c[-1] + sum(blocks[s] for s in dry[time]))
+            self.w.append(self.w[-1] - sum(weights[s] for s in dry[time]))
+        self.rough = [float(t) for t in self.times]
+        self.ends = [self.c[p] + self.w[p] * t for p, t in enumerate(self.times)]
+        self.rough_ends = [float(t) for t in self.ends]
+        self.total = self.c[-1]
+
+    def phase(self, j: int, a: int) -> int:
+        """Phase of the virtual time j / a; the rough guess is corrected exactly."""
+        p = bisect_right(self.rough, j / a)
+        while p < len(self.times) and self.times[p].numerator * a <= j * self.times[p].denominator:
+            p += 1
+        while p and self.times[p - 1].numerator * a > j * self.times[p - 1].denominator:
+            p -= 1
+        return p
+
+    def release(self, s: int, j: int) -> int:
+        """First slot of block j: that in which the source's share passes j."""
+        p = self.phase(j, self.a[s])
+        return self.c[p] + self.w[p] * j // self.a[s]
+
+    def deadline(self, s: int, j: int) -> int:
+        """Slot before which block j must have run: the share has then reached j + 1."""
+        p = self.phase(j + 1, self.a[s])
+        return self.c[p] - (-self.w[p] * (j + 1) // self.a[s])
+
+    def at(self, slot: int) -> list[tuple[int, int]]:
+        """Each source's share before a slot, rounded down and up."""
+        p = bisect_right(self.rough_ends, slot)
+        while p < len(self.ends) and self.ends[p] <= slot:
+            p += 1
+        while p and self.ends[p - 1] > slot:
+            p -= 1
+        w, left = self.w[p], slot - self.c[p]
+        return [(n, n) if dry < p else (a * left // w, -(-a * left // w))
+                for n, a, dry in zip(self.n, self.a, self.dry_phase)]
+
+
+def state(shares: Shares, before: int, slot: int) -> list[int]:
+    """Blocks that each source has had before ``slot``: its share rounded down or up, the sum being ``slot``.
+
+    Among the blocks that may have run already and need not have, those of earliest deadline have, as far as there was
+    time after their release: between any slot a and this one run at most slot - a blocks, and those that must run there
+    come first. Of all states that can be reached, this leaves the fewest early deadlines, so all deadlines after it can
+    be met. No block's time from release to deadline may be longer than from ``before`` to ``slot``.
+    """
+    if slot >= shares.total:
+        return list(shares.n)
+    bounds = shares.at(slot)
+    out = [low for low, _ in bounds]
+    free = slot - sum(out)
+    if not free:
+        return out
+    size = slot - before
+    first = [high for _, high in shares.at(before)]
+    must = [shares.release(s, j) - before for s, (low, _) in enumerate(bounds) for j in range(first[s], low)]
+    # Slots from each place on that nothing has to run in.
+    room = np.arange(size, 0, -1) - np.cumsum(np.bincount(must, minlength=size)[::-1])[::-1]
+    for _, s in sorted((shares.deadline(s, low), s) for s, (low, high) in enumerate(bounds) if low < high):
+        if not free:
+            break
+        at = shares.release(s, out[s]) - before
+        if at <= 0 or room[1:at + 1].min() > 0:
+            room[1:max(at, 0) + 1] -= 1
+            out[s] += 1
+            free -= 1
     return out
 
 
-def pfair_period(parts: dict[str, int]) -> dict[str, list[int]]:
-    """Slots of each source in one period. Block j of a source with a of d parts may run from floor(j * d / a) on and
-    must by ceil((j + 1) * d / a); each slot goes to the released block of the earliest deadline, ties by name."""
-    d = sum(parts.values())
-    waiting = [(0, s, 0) for s in sorted(parts)]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []
-    slots: dict[str, list[int]] = {s: [] for s in parts}
-    for slot in range(d):
-        while waiting and waiting[0][0] <= slot:
-            _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(j + 1) * d // parts[s]), s, j))
+def schedule_range(shares: Shares, number: int, size: int) -> Iterator[tuple[int, int, int]]:
+    """(source, block, slot) of one range of slots: in each slot the released block of the earliest deadline, ties by
+    place of the source. Windows are cut to the range, whose first and last states do not depend on other ranges."""
+    begin, end = number * size, min((number + 1) * size, shares.total)
+    first = state(shares, max(0, begin - size), begin) if begin else [0] * len(shares.n)
+    last = state(shares, begin, end)
+    jobs = sorted((max(begin, shares.release(s, j)), min(end, shares.deadline(s, j)), s, j)
+                  for s, (a, b) in enumerate(zip(first, last)) for j in range(a, b))
+    ready: list[tuple[int, int, int]] = []
+    waiting = 0
+    for slot in range(begin, end):
+        while waiting < len(jobs) and (jobs[waiting][0] <= slot or not ready):
+            _, deadline, s, j = jobs[waiting]
+            heapq.heappush(ready, (deadline, s, j))
+            waiting += 1
         _, s, j = heapq.heappop(ready)
-        slots[s].append(slot)
-        if j + 1 < parts[s]:
-            heapq.heappush(waiting, ((j + 1) * d // parts[s], s, j + 1))
-    return slots
+        yield s, j, slot
 
 
-def schedule(blocks: dict[str, int], parts: dict[str, int]) -> dict[str, list[tuple[int, int, int, list[int]]]]:
-    """Phases of each source: (its first block there, the phase's first slot, period length, its slots of a period).
+def schedule(sizes: DataFrame, group: str, range_slots: int) -> DataFrame:
+    """(group, member, block, turn): schedules of all groups of (group, member, blocks, weight), ranges apart.
 
-    A period repeats until a source has no block left; the others go on, with their weights in proportion, in a new
-    phase. So the work here depends on the number of sources, not of blocks.
+    A group has TOGETHER members, about; its list goes to each of its ranges. A range is longer than any block's time from
+    release to deadline, and has at least eight slots a member.
     """
-    left = {s: n for s, n in blocks.items() if n > 0}
-    done, base = dict.fromkeys(left, 0), 0
-    phases: dict[str, list] = {s: [] for s in left}
-    while left:
-        active = {s: parts[s] for s in left}
-        slots, d = pfair_period(active), sum(active.values())
-
-        def end(s: str) -> int:
-            """The slot after the source's last block."""
-            turns, rest = divmod(left[s] - 1, active[s])
-            return turns * d + slots[s][rest] + 1
-
-        stop = min(map(end, left))
-        turns, rest = divmod(stop, d)
-        for s in list(left):
-            phases[s].append((done[s], base, d, slots[s]))
-            ran = turns * active[s] + sum(x < rest for x in slots[s])
-            done[s] += ran
-            left[s] -= ran
-            if not left[s]:
-                del left[s]
-        base += stop
-    return phases
-
-
-class Fluid:
-    """What the sources below a node would have had by a virtual time: each its weight a unit of time, until it is dry.
-
-    Piecewise linear, from one breakpoint per time at which a source runs dry.
+    members = sizes.groupBy(group).agg(
+        F.sort_array(F.collect_list(F.struct("member", "blocks", "weight"))).alias("members"), F.sum("blocks").alias("total"),
+        F.expr("2 * (sum(weight) div min(weight)) + 4").alias("windows"))
+    size = F.greatest(F.lit(range_slots), 8 * F.size("members"), F.col("windows")).cast("long")
+    ranges = members.withColumn("size", size).select(
+        group, "members", "size", F.explode(F.expr("sequence(0L, (total - 1) div size)")).alias("number"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, held, size, number in zip(batch[group], batch["members"], batch["size"], batch["number"]):
+                shares = Shares([int(m["blocks"]) for m in held], [int(m["weight"]) for m in held])
+                out = pd.DataFrame(schedule_range(shares, int(number), int(size)), columns=["s", "block", "turn"])
+                yield pd.DataFrame({group: name, "member": np.array([m["member"] for m in held], object)[out["s"]],
+                                    "block": out["block"], "turn": out["turn"]})
+
+    kinds = dict(sizes.dtypes)
+    # One range is the work of a second or so: they are spread by number.
+    spread = ranges.repartition(sizes.sparkSession.sparkContext.defaultParallelism * 4, group, "number")
+    return spread.mapInPandas(run, f"`{group}` {kinds[group]}, member {kinds['member']}, block long, turn long")
+
+
+def slots(spark: SparkSession, sizes: DataFrame, together: int = TOGETHER, range_slots: int = RANGE,
+          max_range: int = MAX_RANGE) -> DataFrame:
+    """(mix_source, mix_block, mix_slot) of all blocks of (mix_source, blocks, weight); weights are doubles.
+
+    Sources of no weight come after all others, evenly. There are two levels, groups scheduled by their members' weights
+    and each group's turns among its members, where one would make a task too large: above ``together`` sources, which
+    are dealt into groups, or where ranges would be longer than ``max_range`` for the sake of very small weights, whose
+    sources are put together.
     """
-
-    def __init__(self, blocks: np.ndarray, weights: np.ndarray) -> None:
-        dry = blocks / weights
-        order = np.argsort(dry, kind="stable")
-        dry, w, n = dry[order], weights[order], blocks[order]
-        # At each breakpoint: the blocks of the sources that are dry, and the weight of the others times the time.
-        active = np.append(np.cumsum(w[::-1])[::-1][1:], 0.0)
-        self.times = np.append(0.0, dry)
-        self.served = np.maximum.accumulate(np.append(0.0, np.cumsum(n) + active * dry))
-        self.total = int(blocks.sum())
-
-    def when(self, served: np.ndarray) -> np.ndarray:
-        return np.interp(served, self.served, self.times)
-
-    def before(self, time: np.ndarray, inclusive: bool) -> np.ndarray:
-        """Blocks whose middle is before a time, or at it; exactly by ``when`` of their middles."""
-        lo, hi = np.zeros(len(time), "i8"), np.full(len(time), self.total, "i8")
-        guess = np.rint(np.interp(time, self.times, self.served)).astype("i8")
-        for at in (guess - 2, guess + 2):  # narrows at once where rounding is small; the search is right in any case
-            at = np.clip(at, lo, np.maximum(lo, hi - 1))
-            open_ = lo < hi
-            value = self.when(at + 0.5)
-            yes = open_ & (value <= time if inclusive else value < time)
-            lo, hi = np.where(yes, at + 1, lo), np.where(open_ & ~yes, at, hi)
-        while np.any(lo < hi):
-            at = (lo + hi) // 2
-            value = self.when(at + 0.5)
-            yes = (lo < hi) & (value <= time if inclusive else value < time)
-            lo, hi = np.where(yes, at + 1, lo), np.where((lo < hi) & ~yes, at, hi)
-        return lo
-
-
-class Tree:
-    """Slots of all blocks of all sources, by arithmetic: a source's block climbs a binary tree of sources.
-
-    At each node the two sides' blocks are merged by the virtual times of their middles, so after any number of the
-    node's slots a side is within half a block of its fluid share; weights are never rounded. A node's sources are halved
-    by weight. Its size is the number of sources times the tree's depth.
-    """
-
-    def __init__(self, blocks: dict[str, int], weights: dict[str, float]) -> None:
-        self.names = sorted((s for s, n in blocks.items() if n > 0), key=lambda s: (-weights[s], s))
-        self.place = {s: i for i, s in enumerate(self.names)}
-        n, w = np.array([blocks[s] for s in self.names], "f8"), np.array([weights[s] for s in self.names], "f8")
-        # A source of no weight comes after all others: its weight is too small for a block before they are dry.
-        least = w[w > 0].min(initial=np.inf)
-        self.w = np.where(w > 0, w, least / max(1.0, 2 * n.sum()) ** 2 if np.isfinite(least) else 1.0)
-        self.paths: list[list[tuple[int, int]]] = [[] for _ in self.names]
-        self.nodes: list[tuple[Fluid, Fluid]] = []
-        parts = [(0, len(self.names))]
-        while parts:
-            a, b = parts.pop()
-            if b - a < 2:
-                continue
-            sums = np.cumsum(self.w[a:b])
-            cut = a + min(max(1, int(np.abs(2 * sums - sums[-1]).argmin()) + 1), b - a - 1)
-            for i in range(a, b):
-                self.paths[i].append((len(self.nodes), int(i >= cut)))
-            self.nodes.append((Fluid(n[a:cut], self.w[a:cut]), Fluid(n[cut:b], self.w[cut:b])))
-            parts += [(a, cut), (cut, b)]
-
-    def slots(self, source: str, block: np.ndarray) -> np.ndarray:
-        at = np.asarray(block, "i8")
-        for node, side in reversed(self.paths[self.place[source]]):
-            mine, other = self.nodes[node][side], self.nodes[node][1 - side]
-            at = at + other.before(mine.when(at + 0.5), inclusive=bool(side))  # of equal times the left comes first
-        return at
+    sizes = sizes.withColumn("late", F.col("weight") <= 0)
+    sums = {r.late: r for r in sizes.groupBy("late").agg(
+        F.sum("weight").alias("weight"), F.sum("blocks").alias("blocks"), F.count("*").alias("n")).collect()}
+    n, early = sum(r.n for r in sums.values()), sums.get(False)
+    total = early.weight if early else 1.0
+    whole = F.greatest(F.lit(1), F.round(F.col("weight") / total * WHOLE).cast("long"))
+    sizes = sizes.select("late", F.col("mix_source").alias("member"), "blocks",
+                         F.when(F.col("late"), F.lit(1)).otherwise(whole).alias("weight"))
+    small = F.col("late") | (F.col("weight") * (max_range // 4) < WHOLE)
+    slow = sizes.filter(small & ~F.col("late")).agg(F.count("*"), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    if n <= together and (not slow[0] or sum(r.blocks for r in sums.values()) <= max_range):
+        placed = schedule(sizes, "late", range_slots).withColumn("slot", F.col("turn"))
+    else:
+        if n > together:
+            group = F.concat(F.lit("group "), F.pmod(F.xxhash64("member"), F.lit(-(-n // together))).cast("string"))
+        else:
+            # As many groups as get a share that is not small; if their share is too small for one, they join a source.
+            groups = slow[1] * (max_range // 8) // WHOLE
+            host = sizes.filter(~small).orderBy("weight", "member").select("member").first()
+            name = F.concat(F.lit("source "), "member")
+            together_ = F.lit(f"source {host.member}") if host and not groups else F.concat(
+                F.lit("group "), F.pmod(F.xxhash64("member"), F.lit(max(1, groups))).cast("string"))
+            group = F.when(small & ~F.col("late"), together_).otherwise(name)
+        dealt = stage_table(spark, sizes.withColumn("group", F.concat(F.when(F.col("late"), "late ").otherwise(""), group)),
+                            "source-groups")
+        inner = schedule(dealt.select("group", "member", "blocks", "weight"), "group", range_slots).select(
+            "group", "member", "block", "turn")
+        outer = dealt.groupBy("late", F.col("group").alias("member")).agg(
+            F.sum("blocks").alias("blocks"), F.sum("weight").alias("weight"))
+        outer = schedule(outer, "late", range_slots).select(
+            "late", F.col("member").alias("group"), F.col("block").alias("turn"), F.col("turn").alias("slot"))
+        placed = inner.join(outer, ["group", "turn"])
+    offset = F.when(F.col("late"), F.lit(early.blocks if early else 0)).otherwise(0)
+    return placed.select(F.col("member").alias("mix_source"), F.col("block").alias("mix_block"),
+                         (F.col("slot") + offset).cast("long").alias("mix_slot"))
 
 
 def mix(df: DataFrame, weights: dict[str, float] | None = None, power: float = POWER, block: int = BLOCK,
-        parts: int | None = None, max_sources: int | None = None, bucket_rows: int = BUCKET_ROWS, doc_id: str = "doc_id",
-        source: str = "source") -> DataFrame:
+        bucket_rows: int = BUCKET_ROWS, doc_id: str = "doc_id", source: str = "source", together: int = TOGETHER,
+        range_slots: int = RANGE) -> DataFrame:
     """All rows of ``df`` with mix_source, mix_rank, mix_block, mix_slot and mix_position, the order to read them in.
 
-    Each source's rows, in an order drawn from a digest of the row, form blocks of ``block``. While no source has run
-    dry, after any number of slots each source has had its weight's share of the blocks to within half a block for each
-    split above it, halved again by each further split: less than two blocks. After that the sources that are left go
-    on, their weights in proportion. Nothing is dropped or repeated. A source without a given weight takes the mean of
-    those given; one of weight 0 comes when the others are dry.
-
-    With ``parts``, weights are first rounded to whole parts of about that many, and a period of as many slots repeats;
-    with ``max_sources``, only that many of the largest sources are told apart. By default neither is done.
-
-    Ranks need no source in one task: rows are numbered in digest buckets of about ``bucket_rows``, and the buckets'
-    sizes, counted first, are added up. The driver gets one count per source and makes a tree of sources; a block finds
-    its slot in it by arithmetic.
-
-    A null source counts as the source ''. Rows equal in every column follow each other in any order; an empty table
-    gives an empty result. Columns whose names clash with the new ones are replaced.
+    Each source's rows, in an order drawn from a digest of the row, form blocks of ``block``. Block j of a source may run
+    from the slot on in which the source's share of all slots passes j, and must before it reaches j + 1; each slot goes
+    to the released block of the earliest deadline. So after any number of slots a source has had less than one block
+    more or less than its share. When a source has run dry, the others share in proportion to their weights, and the
+    bound holds on. Nothing is dropped or repeated. A source without a given weight takes the mean of those given; one
+    of weight 0 comes when the others are dry.
+
+    Weights are kept to a part in 2 ** 44 of all, and times are compared as integers. Slots are scheduled in ranges that
+    do not wait for each other. Above ``together`` sources there are two levels, each within one block, so a source stays
+    within two. Sizes of sources are joined, not collected; rows are numbered in digest buckets of about
+    ``bucket_rows``, so no source need fit in a task.
+
+    A null source counts as the source ''. Rows equal in every column follow each other in any order; null ids and null,
+    empty or very long texts are rows like others; an empty table gives an empty result. Columns whose names clash with
+    the new ones are replaced.
     """
     spark = df.sparkSession
     new = ["mix_source", "mix_rank", "mix_block", "mix_slot", "mix_position"]
     df = df.drop(*new)
     name = F.coalesce(F.col(source).cast("string"), F.lit(""))
-    counted = df.groupBy(name.alias("s")).count()
-    total = counted.agg(F.sum("count")).first()[0] or 0
-    told = counted if max_sources is None else counted.orderBy(F.col("count").desc(), "s").limit(max_sources)
-    sizes = {r.s: r["count"] for r in told.collect()}
-    rest = total - sum(sizes.values())
-    own = name
-    if rest:  # smaller sources are one more source, under a name that none of the others has
-        other = "other"
-        while other in sizes:
-            other += "_"
-        own = F.when(name.isin(*sizes), name).otherwise(F.lit(other))
-        sizes[other] = rest
-    if weights is None:
-        wanted = {s: n ** power for s, n in sizes.items()}
-    else:
+    counted = stage_table(spark, df.groupBy(name.alias("mix_source")).agg(F.count("*").alias("rows")), "source-sizes")
+    total = counted.agg(F.sum("rows")).first()[0] or 0
+    sizes = counted.select("mix_source", F.expr(f"(rows + {block - 1}) div {block}").alias("blocks"),
+                           F.pow(F.col("rows").cast("double"), F.lit(power)).alias("weight"))
+    if weights is not None:
         mean = sum(weights.values()) / max(1, len(weights))
-        wanted = {s: weights.get(s, mean) for s in sizes}
-    blocks = {s: -(-n // block) for s, n in sizes.items()}
-    buckets = max(1, -(-total // bucket_rows))
+        given = spark.createDataFrame(list(weights.items()) or [("", 1.0)], "mix_source string, given double")
+        sizes = sizes.join(given, "mix_source", "left").select(
+            "mix_source", "blocks", F.coalesce("given", F.lit(float(mean))).alias("weight"))
+    # As many buckets as exchanges have partitions, so that one source's rows spread evenly.
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // bucket_rows))
     simple = [c for c, kind in df.dtypes if not kind.startswith(("map", "variant"))]
-    rows = df.withColumn("mix_source", own).withColumn("_digest", F.xxhash64(*simple)).withColumn(
+    rows = df.withColumn("mix_source", name).withColumn("_digest", F.xxhash64(*simple)).withColumn(
         "_bucket", F.pmod("_digest", F.lit(buckets)))
     offsets = rows.groupBy("mix_source", "_bucket").agg(F.count("*").alias("_size")).withColumn(
         "_before", F.sum("_size").over(
@@ -213,42 +258,10 @@ def mix(df: DataFrame, weights: dict[str, float] | None = None, power: float = P
         .withColumn("mix_rank", (F.col("_before") + F.col("_rank") - 1).cast("long"))
         .withColumn("mix_block", F.expr(f"mix_rank div {block}"))
     )
-    placed = in_periods(ranked, blocks, wanted, parts) if parts is not None else ranked.withColumn(
-        "mix_slot", tree_slots(spark, blocks, wanted)("mix_source", "mix_block"))
+    placed = ranked.join(slots(spark, sizes, together, range_slots), ["mix_source", "mix_block"])
     return placed.withColumn("mix_position", F.expr(f"mix_slot * {block} + mix_rank % {block}")).select(*df.columns, *new)
 
 
-def tree_slots(spark: SparkSession, blocks: dict[str, int], weights: dict[str, float]):
-    """A function of source and block columns: the block's slot in the tree of all sources."""
-    tree = spark.sparkContext.broadcast(Tree(blocks, weights))
-
-    @F.pandas_udf("long")
-    def slots(source: pd.Series, block: pd.Series) -> pd.Series:
-        out = np.zeros(len(source), "i8")
-        for s, at in source.groupby(source, sort=False).indices.items():
-            few, back = np.unique(block.to_numpy()[at], return_inverse=True)
-            out[at] = tree.value.slots(s, few)[back]
-        return pd.Series(out)
-
-    return slots
-
-
-def in_periods(ranked: DataFrame, blocks: dict[str, int], weights: dict[str, float], parts: int) -> DataFrame:
-    """``ranked`` with mix_slot by a Pfair period of whole parts for each set of active sources."""
-    phases = schedule(blocks, whole_parts(weights, parts)) if blocks else {}
-    # One row per source; its size is set by the numbers of sources and parts.
-    plan = ranked.sparkSession.createDataFrame(
-        [(s, [p[0] for p in ps], ps) for s, ps in phases.items()],
-        "mix_source string, firsts array<long>, phases array<struct<first: long, base: long, d: long, slots: array<int>>>")
-    return (
-        ranked.join(F.broadcast(plan), "mix_source")
-        .withColumn("_phase", F.expr("element_at(phases, size(filter(firsts, f -> f <= mix_block)))"))
-        .withColumn("_turn", F.expr("(mix_block - _phase.first) div size(_phase.slots)"))
-        .withColumn("_place", F.expr("cast((mix_block - _phase.first) % size(_phase.slots) as int)"))
-        .withColumn("mix_slot", F.expr("_phase.base + _turn * _phase.d + _phase.slots[_place]"))
-    )
-
-
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     """Place of every document in the mixed order."""
     mixed = mix(table(spark, folder, "documents"))
