@@ -55,7 +55,6 @@ def components(spark: SparkSession, edges: DataFrame, a: str, b: str) -> DataFra
         .distinct()
     )
     links = stage_table(spark, links, "links")
-    before = None
     while True:
         # Large star: every neighbour above the node is linked to the smallest in the node's neighbourhood.
         both = links.select(F.col("v").alias("n"), F.col("m").alias("o")).unionByName(
@@ -75,12 +74,13 @@ def components(spark: SparkSession, edges: DataFrame, a: str, b: str) -> DataFra
             .select("e.v", "e.m").filter(F.col("v") != F.col("m")).distinct()
         )
         after = stage_table(spark, small, "links")
-        # Done when a round changes no edge.
-        state = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("v", "m").cast("decimal(38,0)")).alias("h")).first()
         drop_stage(spark, links)
         links = after
-        if before == state:
+        # Done when only stars are left: each node has one edge down, and none is both a star's centre and a leaf.
+        ends = links.select(F.col("v").alias("n"), F.lit(1).alias("leaf"), F.lit(0).alias("centre")).unionByName(
+            links.select(F.col("m").alias("n"), F.lit(0).alias("leaf"), F.lit(1).alias("centre")))
+        ends = ends.groupBy("n").agg(F.sum("leaf").alias("leaves"), F.max("centre").alias("centre"))
+        if ends.filter((F.col("leaves") > 1) | ((F.col("leaves") > 0) & (F.col("centre") > 0))).isEmpty():
             break
-        before = state
     roots = links.select(F.col("m").alias("node"), F.col("m").alias("component")).distinct()
     return links.select(F.col("v").alias("node"), F.col("m").alias("component")).unionByName(roots)

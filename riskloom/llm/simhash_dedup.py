@@ -26,6 +26,8 @@ CHUNK = 1 << 16
 COPY_SHINGLE = 5
 COPY_SIMILARITY = 0.8
 COPY_BITS = 22
+# Least hashes kept of a text; each two neighbours among them make a band key.
+MINIMA = 8
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -169,7 +171,7 @@ def sketches(text: str, shingle: int) -> Column:
             grams = np.unique(np.concatenate(pieces)) if pieces else np.zeros(0, "<u8")
             name = xxhash.xxh3_128_digest(b" ".join((x or "").encode().lower().split()))
             out.append((majority(ones, total), *np.frombuffer(name, "<i8").tolist(), len(grams),
-                        grams[:line_dedup.MINIMA].view("<i8").tolist()))
+                        grams[:MINIMA].view("<i8").tolist()))
         return pd.DataFrame(out, columns=["fp", "h1", "h2", "n", "least"])
 
     return F.pandas_udf(run, "fp long, h1 long, h2 long, n int, least array<long>")(text)
@@ -186,11 +188,16 @@ def near_copies(df: DataFrame, key: str, text: str = "text", shingle: int = COPY
     """
     spark = df.sparkSession
     rows = stage_table(spark, df.select(F.col(key), sketches(text, shingle).alias("k")).select(key, "k.*"), "sketches")
-    node = F.struct("h1", "h2").alias("node")
-    distinct = rows.filter(F.col("n") > 0).groupBy("h1", "h2").agg(
-        F.min("fp").alias("fp"), F.min("n").alias("n"),
-        *[F.min(F.get("least", F.lit(i))).alias(f"m{i + 1}") for i in range(line_dedup.MINIMA)])
-    distinct = stage_table(spark, distinct, "distinct-sketches")
+    name = F.struct("h1", "h2")
+    pairs = [F.when(F.get("least", F.lit(i)).isNotNull(), F.xxhash64(F.get("least", F.lit(i - 1)), F.get("least", F.lit(i))))
+             for i in range(1, MINIMA)]
+    only = F.when(F.size("least") == 1, F.xxhash64(F.lit(0), F.get("least", F.lit(0))))
+    distinct = rows.filter(F.col("n") > 0).groupBy(name.alias("name")).agg(
+        F.min("fp").alias("fp"), F.min("n").alias("n"), F.min("least").alias("least"))
+    distinct = stage_table(spark, distinct.select(
+        F.monotonically_increasing_id().alias("node"), "name", "fp", "n",
+        F.array_distinct(F.array_compact(F.array(only, *pairs))).alias("keys")), "distinct-sketches")
+    names = distinct.select("node", "name")
 
     @F.pandas_udf("array<long>")
     def grams(batch: pd.Series) -> pd.Series:
@@ -198,20 +205,22 @@ def near_copies(df: DataFrame, key: str, text: str = "text", shingle: int = COPY
 
     def bodies(nodes: DataFrame) -> DataFrame:
         """Shingle sets of the candidates, from one text each."""
-        one = rows.select(key, node, "n").join(nodes, "node", "left_semi").groupBy("node").agg(
+        one = rows.select(key, name.alias("name"), "n").join(names.join(nodes, "node"), "name").groupBy("node").agg(
             F.min(key).alias(key), F.min("n").alias("n"))
         return df.select(key, F.col(text).alias("_text")).join(one, key).select("node", "n", grams("_text").alias("body"))
 
     def check(pairs: DataFrame, bodies: DataFrame, shingles: line_dedup.Shingles, similarity: float) -> DataFrame:
-        prints = distinct.select(node, "fp")
+        prints = distinct.select("node", "fp")
         near = pairs.join(prints.select(F.col("node").alias("a"), F.col("fp").alias("fa")), "a").join(
             prints.select(F.col("node").alias("b"), F.col("fp").alias("fb")), "b")
         near = near.filter(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= bits).select("a", "b")
         return line_dedup.verified(near, bodies, shingles, similarity)
 
-    found = line_dedup.alike(spark, distinct.drop("fp"), bodies, lambda body: body, similarity, check)
-    return rows.select(key, node).join(found, "node", "left").select(
-        key, "node", F.coalesce("component", "node").alias("component"))
+    found = line_dedup.alike(spark, distinct.select("node", "n", "keys"), bodies, lambda body: body, similarity, check)
+    roots = names.select(F.col("node").alias("component"), F.col("name").alias("root"))
+    found = found.join(names, "node").join(roots, "component").select("name", "root")
+    return rows.select(key, name.alias("name")).join(found, "name", "left").select(
+        key, F.col("name").alias("node"), F.coalesce("root", "name").alias("component"))
 
 
 def op4(spark: SparkSession, folder: str) -> DataFrame:
