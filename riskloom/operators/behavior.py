@@ -115,20 +115,32 @@ def _velocity_bucketed(df: DataFrame, bucket_seconds: int) -> DataFrame:
     )
 
 
-def split_dense(df: DataFrame, dense_rows: int = DENSE_ROWS) -> tuple[DataFrame, DataFrame | None]:
+def _days(df: DataFrame) -> DataFrame:
+    """Payments of each customer and day."""
+    day = F.floor(C.micros(F.col("transaction_ts")) / (HOURS["24h"] * 1_000_000))
+    return df.groupBy("customer_id", day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def volume(df: DataFrame, dense_rows: int = DENSE_ROWS) -> tuple[int, int]:
+    """Rows, and customer days of more than ``dense_rows``: one counting pass, for callers that build several features."""
+    found = _days(df).agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count_if(F.col("_n") > dense_rows)).first()
+    return found[0], found[1]
+
+
+def split_dense(df: DataFrame, dense_rows: int = DENSE_ROWS, known_none: bool = False
+                ) -> tuple[DataFrame, DataFrame | None]:
     """Rows of customers whose days all stay within ``dense_rows``, and those of the others (None when there are none).
 
     A range frame costs the rows inside it for each row, so what counts is a customer's busiest day, not the customer's
-    rows. Days are counted with partial sums before the exchange; the list of busy customers is checkpointed.
+    rows. Days are counted with partial sums before the exchange; a list of busy customers is checkpointed.
+    ``known_none`` says that ``volume`` has found no such day.
     """
-    day = F.floor(C.micros(F.col("transaction_ts")) / (HOURS["24h"] * 1_000_000))
-    busy = df.groupBy("customer_id", day.alias("_day")).agg(F.count(F.lit(1)).alias("_n")).filter(
-        F.col("_n") > dense_rows).select("customer_id").distinct()
+    busy = _days(df).filter(F.col("_n") > dense_rows).select("customer_id").distinct()
+    if known_none or busy.isEmpty():
+        return df, None
     ensure_checkpoint_dir(df.sparkSession)
     busy = busy.checkpoint()
     found = busy.count()
-    if not found:
-        return df, None
     if found <= BROADCAST_KEYS:
         busy = F.broadcast(busy)
     condition = match(df, busy, ["customer_id"])
@@ -138,8 +150,9 @@ def split_dense(df: DataFrame, dense_rows: int = DENSE_ROWS) -> tuple[DataFrame,
 def velocity_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_seconds: int = BUCKET_SECONDS,
                       dense_rows: int = DENSE_ROWS) -> DataFrame:
     """Count and value of the customer's payments in the last 1 h and 24 h, self excluded, ties included."""
-    light, heavy = split_heavy(df, ["customer_id"], max_rows)
-    light, dense = split_dense(light, dense_rows)
+    rows, busy_days = volume(df, dense_rows)
+    light, heavy = split_heavy(df, ["customer_id"], max_rows, rows)
+    light, dense = split_dense(light, dense_rows, busy_days == 0)
     result = _velocity_direct(light)
     for rows in (heavy, dense):
         if rows is not None:
@@ -148,12 +161,14 @@ def velocity_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_s
 
 
 def with_history(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_seconds: int = BUCKET_SECONDS,
-                 rows: int | None = None, dense_rows: int = DENSE_ROWS) -> DataFrame:
+                 rows: int | None = None, dense_rows: int = DENSE_ROWS, busy_days: int | None = None) -> DataFrame:
     """Add the history features next to the columns of ``df``, in place: no key is looked up, so NULL or repeated
     transaction keys lose and multiply nothing. Columns that nobody reads are pruned before the windows.
     """
+    if rows is None and busy_days is None:
+        rows, busy_days = volume(df, dense_rows)
     light, heavy = split_heavy(df, ["customer_id"], max_rows, rows)
-    light, dense = split_dense(light, dense_rows)
+    light, dense = split_dense(light, dense_rows, busy_days == 0)
     table = _novelty(_velocity_direct(_customer_history(light, None)), None)
     if dense is not None:
         table = table.unionByName(_velocity_bucketed(_novelty(_customer_history(dense, None), None), bucket_seconds))
@@ -177,9 +192,12 @@ def with_history(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_second
 
 
 def behavior_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, bucket_seconds: int = BUCKET_SECONDS,
-                      rows: int | None = None) -> DataFrame:
+                      rows: int | None = None, busy_days: int | None = None) -> DataFrame:
     """The full feature table: the payment with its history, velocity, novelty and change flags."""
-    return with_history(df, max_rows, bucket_seconds, rows)
+    return with_history(df, max_rows, bucket_seconds, rows, busy_days=busy_days)
+
+
+RISK_FLAGS_VIEW = "transaction_risk_flags"
 
 
 def risk_flags(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:

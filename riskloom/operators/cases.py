@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskloom.functions import columns as C
 from riskloom.operators.modeling import MODEL_FEATURES
+from riskloom.session import ensure_checkpoint_dir
 
 QUEUE_SIZE = 100
 MAX_BROADCAST_CASES = 10_000
@@ -56,6 +57,27 @@ def case_decisions(scored: DataFrame, threshold: float = C.DECISION_THRESHOLD) -
         C.action(p).alias("action"), C.confusion_label(F.col("is_fraud"), p, threshold).alias("case_type"))
 
 
+CLOSURE_KEYS = ["customer_id", "device_fingerprint", "card_number"]
+
+
+def case_closure(facts: DataFrame, cases: DataFrame) -> DataFrame:
+    """All payments that a case's features are built from: those of its customer, its device or its card.
+
+    One pass over the facts finds the cases' entities, a second one keeps their payments; both meet lists of checked size,
+    so nothing is exchanged before the rows are few. NULL is an entity like others, as it is for the windows. The result
+    is stored, as several windows read it.
+    """
+    ensure_checkpoint_dir(facts.sparkSession)
+    about = facts.join(in_every_task(cases.select("transaction_key")), "transaction_key", "left_semi").select(
+        *CLOSURE_KEYS).checkpoint()
+    kept, marks = facts, []
+    for key in CLOSURE_KEYS:
+        wanted = about.select(F.col(key).alias("_entity"), F.lit(True).alias(f"_{key}")).distinct()
+        kept = kept.join(in_every_task(wanted), F.col(key).eqNullSafe(F.col("_entity")), "left").drop("_entity")
+        marks.append(F.col(f"_{key}").isNotNull())
+    return kept.filter(marks[0] | marks[1] | marks[2]).select(*facts.columns).checkpoint()
+
+
 def case_lookup(base: DataFrame, network: DataFrame, cases: DataFrame) -> DataFrame:
     """Model row and network row of every case."""
     keys = in_every_task(cases.select("transaction_key"))

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import sys
 from dataclasses import dataclass
-from itertools import combinations
-from math import ceil, factorial
+from math import ceil
 from uuid import uuid4
 
 import numpy as np
@@ -35,9 +34,6 @@ LOGISTIC_ITERATIONS = 300
 INVERSE_PENALTY = 1.0
 BOOSTING_ROUNDS = 1000
 PARTITION_ROWS = 20_000
-# Ranges of the probability by which average precision of a prefix is counted.
-AP_BINS = 512
-PATIENCE = 75
 LEARNING_RATE = 0.05
 TREE_DEPTH = 5
 SUBSAMPLE = 0.8
@@ -176,7 +172,12 @@ def train_logistic(train: DataFrame, iterations: int = LOGISTIC_ITERATIONS) -> t
     regression = LogisticRegression(
         labelCol="is_fraud", weightCol="class_weight", maxIter=iterations, regParam=1.0 / (INVERSE_PENALTY * rows),
         elasticNetParam=0.0, standardization=False)
-    return preparation, Pipeline(stages=[indexer, encoder, assembler, regression]).fit(ready)
+    fitted = Pipeline(stages=[indexer, encoder, assembler, regression]).fit(ready)
+    # A fitted regression drags its training rows and session along in a summary; the saved form has coefficients only.
+    ensure_checkpoint_dir(train.sparkSession)
+    path = f"{train.sparkSession.sparkContext.getCheckpointDir()}/logistic-{uuid4().hex}"
+    fitted.write().save(path)
+    return preparation, PipelineModel.load(path)
 
 
 def score_logistic(preparation: Preprocessing, model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -190,24 +191,29 @@ def _tree_inputs(df: DataFrame) -> DataFrame:
     return df.withColumns(made)
 
 
+def _in_fixed_parts(df: DataFrame, key: str) -> DataFrame:
+    """Rows dealt by a hash of the key and sorted, as many to a partition on any machine: rows are subsampled by partition,
+    so the model does not depend on how the table was stored. A round is several short passes: a few large partitions."""
+    parts = max(1, ceil(df.count() / PARTITION_ROWS))
+    return df.repartition(parts, key).sortWithinPartitions(key)
+
+
 def train_gbt(train: DataFrame, validation: DataFrame, rounds: int = BOOSTING_ROUNDS, max_bins: int = 256,
-              patience: int = PATIENCE) -> PipelineModel:
-    """Boosted trees with balanced classes, as many as average precision on the validation rows asks for.
+              tolerance: float = 0.0, key: str = "transaction_key") -> PipelineModel:
+    """Boosted trees with balanced classes, fitted once: as many as the loss on the validation rows asks for.
 
-    Trees are fitted for a number of rounds that doubles until the best prefix is at least ``patience`` rounds back, or
-    ``rounds`` (the most there are) is reached; the seed makes every shorter run a prefix of a longer one. The best prefix is the model.
-    Category domains come from the training rows only, rare categories pooled; an unseen one has its own slot.
+    A round that does not lower the loss on the validation rows by more than ``tolerance`` of it is the last; the trees up
+    to the least loss are the model, ``rounds`` at most. Category domains come from the training rows only, rare
+    categories pooled; an unseen one has its own slot.
     """
     domains = categorical_levels(train.select(*CATEGORICAL_FEATURES))
     pools = {r["feature"]: r["frequent"] for r in domains.filter(F.col("level") != INFREQUENT).groupBy("feature").agg(
         F.sort_array(F.collect_list("category")).alias("frequent")).collect()}
-    weighted = with_class_weight(train, class_weights(train))
-    # A round is several short passes over the rows: a few large partitions instead of many small ones.
-    parts = max(1, ceil(train.count() / PARTITION_ROWS))
-    inputs = _tree_inputs(weighted).select("is_fraud", "class_weight", *MODEL_INPUTS).coalesce(parts).cache()
-    held_out = _tree_inputs(validation).select("is_fraud", *MODEL_INPUTS).coalesce(parts).cache()
-    ensure_checkpoint_dir(train.sparkSession)
-    folder = f"{train.sparkSession.sparkContext.getCheckpointDir()}/boosting-{uuid4().hex}"
+    weights = class_weights(train)
+    columns = ["is_fraud", "class_weight", "held_out", *MODEL_INPUTS]
+    parts = [_tree_inputs(with_class_weight(_in_fixed_parts(rows, key), weights)).withColumn(
+        "held_out", F.lit(held_out)).select(*columns) for rows, held_out in ((train, False), (validation, True))]
+    inputs = parts[0].unionByName(parts[1]).cache()
     categories = [f"c_{c}" for c in CATEGORICAL_FEATURES]
     indexer = StringIndexerModel.from_arrays_of_labels(
         [[*pools.get(c, []), C.MISSING_CATEGORY] if C.MISSING_CATEGORY not in pools.get(c, []) else pools[c]
@@ -215,98 +221,20 @@ def train_gbt(train: DataFrame, validation: DataFrame, rounds: int = BOOSTING_RO
     assembler = VectorAssembler(
         inputCols=[f"n_{c}" for c in NUMERIC_FEATURES] + indexer.getOutputCols(), outputCol="features")
     largest = max(len(labels) for labels in indexer.labelsArray) + 1
-    ready, checked = (assembler.transform(indexer.transform(t)) for t in (inputs, held_out))
-
-    def grown(n: int) -> GBTClassificationModel:
-        return GBTClassifier(
-            labelCol="is_fraud", weightCol="class_weight", maxIter=n, stepSize=LEARNING_RATE, maxDepth=TREE_DEPTH,
-            subsamplingRate=SUBSAMPLE, seed=SEED, maxBins=max(max_bins, largest), featureSubsetStrategy="0.8").fit(ready)
-
-    tried = min(rounds, 2 * patience)
-    while True:
-        trees = grown(tried)
-        scores = prefix_precision(trees, checked, f"{folder}/tried-{tried}")
-        best = max(range(len(scores)), key=lambda i: (scores[i], -i)) + 1
-        if tried - best >= patience or tried == rounds:
-            break
-        tried = min(rounds, 2 * tried)
-    model = PipelineModel([indexer, assembler, trees if best == tried else grown(best)])
+    trees = GBTClassifier(
+        labelCol="is_fraud", weightCol="class_weight", validationIndicatorCol="held_out", validationTol=tolerance,
+        maxIter=rounds, stepSize=LEARNING_RATE, maxDepth=TREE_DEPTH, subsamplingRate=SUBSAMPLE, seed=SEED,
+        maxBins=max(max_bins, largest), featureSubsetStrategy="0.8").fit(assembler.transform(indexer.transform(inputs)))
     inputs.unpersist()
-    held_out.unpersist()
-    return model
-
-
-def _flat_trees(nodes: pd.DataFrame, weights: list[float]) -> list[dict[str, np.ndarray]]:
-    """Each tree as arrays by node: feature, threshold, children, left categories as a mask, weighted value."""
-    out = []
-    for tree, table in nodes.sort_values(["treeID", "id"]).groupby("treeID"):
-        splits = list(table["split"])
-        cats = [s["featureIndex"] >= 0 and s["numCategories"] >= 0 for s in splits]
-        mask = np.zeros((len(splits), max([1, *(s["numCategories"] for s, c in zip(splits, cats) if c)])), bool)
-        for i, (s, c) in enumerate(zip(splits, cats)):
-            if c:
-                mask[i, [int(v) for v in s["leftCategoriesOrThreshold"]]] = True
-        out.append({
-            "feature": np.array([s["featureIndex"] for s in splits]), "cat": np.array(cats), "mask": mask,
-            "cut": np.array([0.0 if c or not len(s["leftCategoriesOrThreshold"]) else s["leftCategoriesOrThreshold"][0]
-                             for s, c in zip(splits, cats)]),
-            "left": table["leftChild"].to_numpy(), "right": table["rightChild"].to_numpy(),
-            "value": table["prediction"].to_numpy() * weights[int(tree)]})
-    return out
-
-
-def _tree_values(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
-    at, rows = np.zeros(len(x), dtype=int), np.arange(len(x))
-    while True:
-        inner = tree["left"][at] >= 0
-        if not inner.any():
-            return tree["value"][at]
-        seen = x[rows, np.maximum(tree["feature"][at], 0)]
-        code = np.clip(seen, 0, tree["mask"].shape[1] - 1).astype(int)
-        goes = np.where(tree["cat"][at], tree["mask"][at, code], seen <= tree["cut"][at])
-        at = np.where(inner, np.where(goes, tree["left"][at], tree["right"][at]), at)
-
-
-def prefix_precision(trees: GBTClassificationModel, ready: DataFrame, folder: str, bins: int = AP_BINS) -> list[float]:
-    """Average precision on ``ready`` of every prefix of the trees, over ``bins`` equal ranges of the probability.
-
-    Each task walks its rows down all trees and counts labels by prefix and range; the counts that are added up and
-    brought back number prefixes times ranges, however many rows there are.
-    """
-    context = ready.sparkSession.sparkContext
-    flat = context.broadcast(_flat_trees(tree_nodes(trees, folder), list(trees.treeWeights)))
-    rounds = len(trees.treeWeights)
+    return PipelineModel([indexer, assembler, trees])
 
-    def count(batches):
-        sums = np.zeros((2, rounds, bins), dtype="i8")
-        for batch in batches:
-            x = np.array(batch["x"].tolist(), dtype=float).reshape(len(batch), -1)
-            label, margin = batch["is_fraud"].to_numpy() == 1, np.zeros(len(batch))
-            for k, tree in enumerate(flat.value):
-                margin = margin + _tree_values(tree, x)
-                place = np.minimum((bins / (1 + np.exp(-2 * margin))).astype(int), bins - 1)
-                sums[1, k] += np.bincount(place[label], minlength=bins)
-                sums[0, k] += np.bincount(place[~label], minlength=bins)
-        k, place = np.nonzero(sums.sum(0))
-        yield pd.DataFrame({"k": k, "place": place, "fraud": sums[1, k, place], "other": sums[0, k, place]})
-
-    rows = ready.select("is_fraud", vector_to_array("features").alias("x")).mapInPandas(
-        count, "k long, place long, fraud long, other long")
-    found = rows.groupBy("k", "place").agg(F.sum("fraud").alias("fraud"), F.sum("other").alias("other")).toPandas()
-    out = []
-    for k in range(rounds):
-        part = found[found["k"] == k].sort_values("place", ascending=False)
-        hits, seen = part["fraud"].cumsum(), (part["fraud"] + part["other"]).cumsum()
-        out.append(float((part["fraud"] * hits / seen).sum() / max(1, part["fraud"].sum())))
-    return out
-
-
-def validation_precision(model: PipelineModel, df: DataFrame, folder: str) -> list[float]:
-    """Average precision on ``df`` of every prefix of the trees."""
-    inputs = _tree_inputs(df)
+
+def validation_losses(model: PipelineModel, train: DataFrame, validation: DataFrame) -> list[float]:
+    """Weighted log loss on the validation rows after each tree, from the model's own staged evaluation."""
+    inputs = _tree_inputs(with_class_weight(validation, class_weights(train)))
     for stage in model.stages[:-1]:
         inputs = stage.transform(inputs)
-    return prefix_precision(model.stages[-1], inputs, folder)
+    return list(model.stages[-1].evaluateEachIteration(inputs))
 
 
 POLICY = "trained on the train period; identifiers, supplied velocity and network features are no inputs"
@@ -390,27 +318,29 @@ def _passes(values: np.ndarray, tests: list[tuple]) -> np.ndarray:
 def leaf_contributions(x: np.ndarray, rules: list[LeafRule]) -> tuple[np.ndarray, float]:
     """Shapley values of a sum of leaves for a batch of rows, and the base value.
 
-    A leaf pays its value when every feature test passes; a feature left out passes with the share
-    of training rows that did. For such a product the Shapley value of a feature is a short sum
-    over the subsets of the leaf's other features, at most as many as the tree is deep.
+    A leaf pays its value when every feature test passes; a feature left out passes with the share of training rows that
+    did. For such a product a feature's Shapley value is (passed - share) times the integral over t from 0 to 1 of the
+    other features' share + t * (passed - share): choosing each with probability t gives every order its weight. The
+    integrand is a polynomial, so a few Gauss points are exact; products of all but one come from running products. The
+    time is the square of a leaf's features, the subsets are never listed.
     """
     total = np.zeros(x.shape)
     base = 0.0
     for value, features, tests, shares in rules:
         m = len(features)
         base += value * float(np.prod(shares)) if m else value
-        held = [_passes(x[:, f], t) for f, t in zip(features, tests)]
-        for i in range(m):
-            others = [j for j in range(m) if j != i]
-            weight = np.zeros(len(x))
-            for size in range(m):
-                fraction = factorial(size) * factorial(m - size - 1) / factorial(m)
-                for chosen in combinations(others, size):
-                    term = np.full(len(x), fraction)
-                    for j in others:
-                        term = term * (held[j] if j in chosen else shares[j])
-                    weight += term
-            total[:, features[i]] += value * (held[i] - shares[i]) * weight
+        if not m:
+            continue
+        points, point_weights = np.polynomial.legendre.leggauss((m + 1) // 2)
+        gaps = [_passes(x[:, f], t) - share for f, t, share in zip(features, tests, shares)]
+        terms = [share + np.outer((points + 1) / 2, gap) for gap, share in zip(gaps, shares)]
+        before, after = [np.ones_like(terms[0])], [np.ones_like(terms[0])]
+        for term in terms[:-1]:
+            before.append(before[-1] * term)
+        for term in reversed(terms[1:]):
+            after.append(after[-1] * term)
+        for i, f in enumerate(features):
+            total[:, f] += value * gaps[i] * (point_weights / 2 @ (before[i] * after[m - 1 - i]))
     return total, base
 
 

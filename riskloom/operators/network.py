@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from riskloom.functions import columns as C
 from riskloom.operators.behavior import EVENT_ORDER
 from riskloom.operators.skew import MAX_ROWS_PER_TASK, per_entity, running
-from riskloom.session import ensure_checkpoint_dir
 
 
 LINK_INPUTS = [
@@ -37,11 +36,13 @@ def _card_history(df: DataFrame, chunk: str | None) -> DataFrame:
     }, chunk)
 
 
-def network_history(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, rows: int | None = None) -> DataFrame:
-    """The network features alone, one row per ``transaction_key``; two exchanges of six columns: device, card."""
+def network_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, rows: int | None = None) -> DataFrame:
+    """Rows with their earlier device and card use, and the flags built on it, in place: one exchange by device and one
+    by card carry the row along. No key is looked up, so NULL or repeated keys lose and multiply nothing, and none has to
+    be counted first. Columns that nobody reads are pruned before the exchanges.
+    """
     rows = df.count() if rows is None else rows
-    table = per_entity(
-        df.select(*LINK_INPUTS), ["device_fingerprint"], EVENT_ORDER, _device_history, max_rows, rows)
+    table = per_entity(df, ["device_fingerprint"], EVENT_ORDER, _device_history, max_rows, rows)
     table = per_entity(table, ["card_number"], EVENT_ORDER, _card_history, max_rows, rows)
     known_device = F.col("prior_device_transactions") > 0
     return table.withColumns({
@@ -53,30 +54,7 @@ def network_history(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, rows: int
         "device_shared_by_multiple_customers_flag": C.flag(F.col("prior_customers_on_device") >= 2),
         "device_shared_by_multiple_cards_flag": C.flag(F.col("prior_cards_on_device") >= 2),
         "card_used_across_multiple_devices_flag": C.flag(F.col("prior_devices_on_card") >= 2),
-    }).drop("_links_customer", "_links_card", "_links_merchant", *LINK_INPUTS[1:])
-
-
-def network_features(df: DataFrame, max_rows: int = MAX_ROWS_PER_TASK, rows: int | None = None,
-                     payments: DataFrame | None = None) -> DataFrame:
-    """Rows with their earlier device and card use, and the flags built on it.
-
-    ``payments`` is the table the links are read from, where ``df`` is derived from it and costly
-    to compute twice. Behaviour features arrive laid out by ``transaction_key``, so joining them
-    here moves only the narrow side.
-    """
-    source = df if payments is None else payments
-    key = F.col("transaction_key")
-    counted = source.agg(F.count(F.lit(1)), F.count_distinct(key)).first()
-    if counted[0] == counted[1]:
-        return df.join(network_history(source, max_rows, rows), "transaction_key", "left")
-    # NULL or repeated keys: the rows are stored under a number of their own, and that is looked up.
-    ensure_checkpoint_dir(df.sparkSession)
-    numbered = df.withColumn("_row", F.concat(F.lit("row-"), F.monotonically_increasing_id().cast("string"))).checkpoint()
-    # Ties of a time keep the order of the published key, then of the row.
-    order = F.concat_ws(" ", F.coalesce(key, F.lit("\uffff")), F.col("_row"))
-    named = numbered.withColumn("_row", order)
-    history = network_history(named.withColumn("transaction_key", F.col("_row")), max_rows, rows)
-    return named.join(history.withColumnRenamed("transaction_key", "_row"), "_row", "left").drop("_row")
+    }).drop("_links_customer", "_links_card", "_links_merchant")
 
 
 def _edges(df: DataFrame, linked: str, counted: str, counted_as: str) -> DataFrame:

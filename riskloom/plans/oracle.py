@@ -597,6 +597,11 @@ ORACLE: dict[str, str] = {
     "scan_raw_csv": with_tables("tx_raw", f"select {', '.join(f"nullif({c}, '') as {c}" for c in RAW_TEXT)} from tx_raw"),
     "materialize_stage": with_tables("tx_raw", """select 'raw.transactions' as table_name, count(*) as rows from tx_raw
         union all select 'analytics.transactions_clean', count(*) from tx_raw"""),
+    "stage_quality": with_tables("tx_raw", f"""select count(*) as rows, count(*) as observed_rows,
+        count(*) filter ({BLANK.format('transaction_id')} is null) as missing_transaction_id,
+        count(*) filter (try_cast(amount as double) is null) as missing_amount,
+        count(*) filter ({LABEL} is null)
+        as missing_is_fraud from tx_raw"""),
     "split_tables": with_tables("tx_split", "select data_split as table_name, count(*) as rows from tx_split group by 1"),
     "write_scores": with_tables("tx_scored", """select transaction_key, is_fraud, round(fraud_probability, 9) as fraud_probability
         from tx_scored"""),
@@ -661,7 +666,9 @@ ORACLE: dict[str, str] = {
         union all select distinct * from tx_reused where (select count(*) from conflicts) = 0""", {
             "conflicts": "select transaction_id from (select distinct * from tx_reused) d group by 1 having count(*) > 1"}),
     # Facts of the trained models that any engine can state.
-    "train_gbt_facts": "select 0::bigint as better_prefixes, 0 as rounds_over_limit",
+    "train_gbt_facts": with_tables("tx_split", """select count(*) filter (data_split = 'train') as training_rows,
+        count(*) filter (data_split = 'validation') as validation_rows, 0::bigint as better_prefixes, 0 as rounds_over_limit
+        from tx_split"""),
     "model_metadata_facts": with_tables("tx_split", f"""select {len(MODEL_FEATURES)} as feature_count,
         count(*) filter (data_split = 'train') as training_rows, count(*) filter (data_split = 'validation') as validation_rows
         from tx_split"""),
@@ -844,6 +851,7 @@ ORACLE: dict[str, str] = {
     "class_weights": with_tables("tx", f"""select is_fraud, count(*) as transactions,
         round(sum(count(*)) over ()::double / (2 * count(*)), 9) as class_weight from tx where transaction_ts < {V} group by 1"""),
     "model_roundtrip": with_tables("tx", f"select count(*) as rows, cast(0 as bigint) as different from tx where transaction_ts >= {T}"),
+    "logistic_roundtrip": with_tables("tx", f"select count(*) as rows, cast(0 as bigint) as different from tx where transaction_ts >= {T}"),
     "preprocess_numeric": _numeric_preprocessing(),
     "preprocess_categorical": _levels(),
     "contributions": with_tables("bf tx_scored", """select transaction_key, round(base_value, 6) as base_value, feature,
@@ -879,6 +887,8 @@ ORACLE: dict[str, str] = {
         customer_id, card_number, device_fingerprint, ip_address, transaction_ts, prior_customers_on_device, prior_cards_on_device,
         prior_devices_on_card, prior_merchants_on_device, new_customer_on_existing_device_flag, new_card_on_existing_device_flag,
         device_shared_by_multiple_customers_flag, device_shared_by_multiple_cards_flag from nf join queue using (transaction_key)"""),
+    "payment_by_key": with_tables("tx tx_scored", """select transaction_key, customer_id, card_number, amount, merchant, channel, is_fraud
+        from tx where transaction_key = (select transaction_key from tx_scored order by fraud_probability desc, transaction_key limit 1)"""),
     "customer_history": with_tables("tx queue", """select * from (select c.transaction_key as case_key, h.transaction_ts as timestamp,
         h.transaction_key, h.amount, h.currency, h.merchant, h.channel, h.country,
         case when h.is_fraud = 1 then 'Fraud' else 'Legitimate' end as outcome,

@@ -21,6 +21,7 @@ from riskloom.operators import modeling as M
 from riskloom.operators import monitoring as R
 from riskloom.operators import network as N
 from riskloom.operators import profiles as P
+from riskloom.operators import saved
 from riskloom.sources import fixtures as X
 from riskloom.sources import tables as S
 
@@ -60,15 +61,15 @@ def behavior(spark: SparkSession, folder: str) -> DataFrame:
 def network(spark: SparkSession, folder: str) -> DataFrame:
     """The same with network features."""
     payments = X.tx(spark, folder)
-    rows = payments.count()
-    return N.network_features(B.with_history(payments, rows=rows), rows=rows, payments=payments)
+    rows, busy_days = B.volume(payments)
+    return N.network_features(B.with_history(payments, rows=rows, busy_days=busy_days), rows=rows)
 
 
 def feature_table(spark: SparkSession, folder: str) -> DataFrame:
     """All columns of all features: the wide rows move once."""
     payments = X.tx(spark, folder)
-    rows = payments.count()
-    return N.network_features(B.behavior_features(payments, rows=rows), rows=rows, payments=payments)
+    rows, busy_days = B.volume(payments)
+    return N.network_features(B.behavior_features(payments, rows=rows, busy_days=busy_days), rows=rows)
 
 
 def network_only(spark: SparkSession, folder: str) -> DataFrame:
@@ -127,12 +128,22 @@ def scan_raw_csv(spark: SparkSession, folder: str) -> DataFrame:
 def materialize_stage(spark: SparkSession, folder: str) -> DataFrame:
     """Stage tables written by namespace and read back, with their row counts."""
     root = S.scratch_folder(spark)
-    S.write_stage(X.tx_raw(spark, folder), root, "raw", "transactions")
-    S.write_stage(L.clean(S.read_stage(spark, root, "raw", "transactions")), root, "analytics", "transactions_clean")
-    return P.table_counts({
-        "raw.transactions": S.read_stage(spark, root, "raw", "transactions"),
-        "analytics.transactions_clean": S.read_stage(spark, root, "analytics", "transactions_clean"),
-    })
+    raw = S.write_stage(X.tx_raw(spark, folder), root, "raw", "transactions")
+    # Written twice: readers get the later version.
+    S.write_stage(S.read_stage(spark, root, "raw", "transactions").limit(1), root, "analytics", "transactions_clean")
+    clean = S.write_stage(L.clean(S.read_stage(spark, root, "raw", "transactions")), root, "analytics", "transactions_clean")
+    counts = [("raw.transactions", raw["rows"]), ("analytics.transactions_clean", clean["rows"])]
+    return spark.createDataFrame(counts, "table_name string, rows bigint")
+
+
+def stage_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows, missing keys, amounts and labels of the clean table, observed while it is written, beside what is read back."""
+    root = S.scratch_folder(spark)
+    missing = {f"missing_{c}": F.count_if(F.col(c).isNull()) for c in ("transaction_id", "amount", "is_fraud")}
+    seen = S.write_stage(L.clean(X.tx_raw(spark, folder)), root, "analytics", "transactions_clean", measures=missing)
+    read = S.read_stage(spark, root, "analytics", "transactions_clean")
+    return read.agg(F.count(F.lit(1)).alias("rows"), F.lit(seen["rows"]).cast("bigint").alias("observed_rows"),
+                    *[F.lit(seen[name]).cast("bigint").alias(name) for name in missing])
 
 
 def split_tables(spark: SparkSession, folder: str) -> DataFrame:
@@ -234,11 +245,15 @@ def train_gbt(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def train_gbt_facts(spark: SparkSession, folder: str) -> DataFrame:
-    """What must hold of any training: no shorter prefix is better on validation, and none is longer than asked for."""
+    """What must hold of any training: rows of both periods, no shorter prefix is better on validation, and none is longer
+    than asked for."""
     model, table = boosted(spark, folder)
-    scores = ml.validation_precision(model, split(table, "validation"), f"{S.scratch_folder(spark)}/model")
-    facts = [(sum(x > scores[-1] for x in scores[:-1]), int(len(scores) > ml.BOOSTING_ROUNDS))]
-    return spark.createDataFrame(facts, "better_prefixes long, rounds_over_limit int")
+    train, validation = split(table, "train"), split(table, "validation")
+    losses = ml.validation_losses(model, train, validation)
+    facts = [(train.count(), validation.count(), sum(x < losses[-1] - 1e-12 for x in losses[:-1]),
+              int(len(losses) > ml.BOOSTING_ROUNDS))]
+    return spark.createDataFrame(
+        facts, "training_rows long, validation_rows long, better_prefixes long, rounds_over_limit int")
 
 
 def model_metadata(spark: SparkSession, folder: str) -> DataFrame:
@@ -280,6 +295,20 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("fraud_probability") != F.col("reloaded")).alias("different"))
 
 
+def logistic_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The saved and reloaded logistic model, preprocessing included, scores the test period; rows where it disagrees."""
+    table = stored_base(spark, folder)
+    test = split(table, "test")
+    path = f"{S.scratch_folder(spark)}/logistic"
+    model = saved.logistic_pipeline(split(table, "train"))
+    model.write().save(path)
+    before = saved.score(model, test).select("transaction_key", "fraud_probability")
+    after = saved.score(saved.load(spark, path), test).select(
+        "transaction_key", F.col("fraud_probability").alias("reloaded"))
+    return before.join(after, "transaction_key").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("fraud_probability") != F.col("reloaded")).alias("different"))
+
+
 def feature_importance(spark: SparkSession, folder: str) -> DataFrame:
     model, table = boosted(spark, folder)
     return ml.feature_importance(model, f"{S.scratch_folder(spark)}/model", table)
@@ -413,9 +442,28 @@ def high_risk_cases(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def case_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    features = network(spark, folder)
+    """Features of the cases alone, from the payments of their customers, devices and cards."""
+    cases = high_risk_cases(spark, folder)
+    payments = K.case_closure(X.tx(spark, folder), cases)
+    rows, busy_days = B.volume(payments)
+    features = N.network_features(B.with_history(payments, rows=rows, busy_days=busy_days), rows=rows)
     model = M.model_base(features, X.VALIDATION_START, X.TEST_START)
-    return round_doubles(K.case_lookup(model, features, high_risk_cases(spark, folder)))
+    return round_doubles(K.case_lookup(model, features, cases))
+
+
+def risk_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """The flags through their view, as a reader of the clean table would ask for them."""
+    S.publish_view(B.risk_flags(X.tx(spark, folder)), B.RISK_FLAGS_VIEW)
+    columns = ", ".join(_flag_columns())
+    return spark.sql(f"select {columns} from {B.RISK_FLAGS_VIEW}")
+
+
+def payment_by_key(spark: SparkSession, folder: str) -> DataFrame:
+    """One payment by its key, the case of the highest risk: a bound parameter over a view."""
+    case = K.queue_high_risk(X.tx_scored(spark, folder), 1).first()
+    S.publish_view(X.tx(spark, folder), "payments")
+    return S.select_by_key(spark, "payments", "transaction_key", case.transaction_key if case else None).select(
+        "transaction_key", "customer_id", "card_number", "amount", "merchant", "channel", "is_fraud")
 
 
 def customer_history(spark: SparkSession, folder: str) -> DataFrame:
@@ -446,6 +494,7 @@ QUERIES: dict[str, Query] = {
     # sources, sinks, stages
     "scan_raw_csv": scan_raw_csv,
     "materialize_stage": materialize_stage,
+    "stage_quality": stage_quality,
     "split_tables": split_tables,
     "write_report": write_report,
     "write_scores": write_scores,
@@ -497,7 +546,7 @@ QUERIES: dict[str, Query] = {
         "transaction_key", "calculated_txn_count_1h", "calculated_amount_1h", "calculated_txn_count_24h",
         "calculated_amount_24h"))),
     "behavior_features": _on(X.tx, lambda t: round_doubles(B.behavior_features(t))),
-    "risk_flags": _on(X.tx, lambda t: B.risk_flags(t).select(*_flag_columns())),
+    "risk_flags": risk_flags,
     "behavior_summary": _on(behavior, P.behavior_summary),
     "behavior_signals": _on(behavior, P.behavior_signals),
     "audit_signals": _on(behavior, P.audit_signals),
@@ -569,6 +618,7 @@ QUERIES: dict[str, Query] = {
     "tree_contributions_facts": tree_contributions_facts,
     "score_test": score_test,
     "model_roundtrip": model_roundtrip,
+    "logistic_roundtrip": logistic_roundtrip,
     "feature_importance": feature_importance,
     "tree_contributions": tree_contributions,
     "contributions": contributions_long,
@@ -585,6 +635,7 @@ QUERIES: dict[str, Query] = {
     "random_queue": _on(X.tx_scored, lambda t: round_doubles(K.random_queue(t))),
     "case_decisions": _on(X.tx_scored, lambda t: round_doubles(K.case_decisions(t))),
     "case_lookup": case_lookup,
+    "payment_by_key": payment_by_key,
     "customer_history": customer_history,
     "linked_customers": linked_customers,
     "linked_cards": linked_cards,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,8 @@ RAW_COLUMNS = [
     "weekend_transaction", "velocity_last_hour", "is_fraud",
 ]
 NAMESPACES = ["raw", "staging", "analytics", "modeling"]
+# Pointer file of a stage table.
+CURRENT = "current"
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -72,18 +74,73 @@ def stage_path(root: str, namespace: str, table: str) -> str:
     return f"{root}/{namespace}/{table}"
 
 
-def write_stage(df: DataFrame, root: str, namespace: str, table: str, partition_by: list[str] | None = None) -> int:
-    """Replace a stage table and return its row count, read from the file footers of what was written."""
-    path = stage_path(root, namespace, table)
-    writer = df.write.mode("overwrite")
+def _switch(spark: SparkSession, path: str, version: str) -> str | None:
+    """Make ``version`` the current one of a stage table by renaming a pointer file into place; returns the one before."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    pointer, fresh = hadoop.Path(f"{path}/{CURRENT}"), hadoop.Path(f"{path}/_{version}")
+    files = pointer.getFileSystem(spark._jsc.hadoopConfiguration())
+    before = current_version(spark, path)
+    out = files.create(fresh, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    over = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    over[0] = hadoop.Options.Rename.OVERWRITE
+    hadoop.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration()).rename(fresh, pointer, over)
+    return before
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """Name of the version readers get, None for a table that was never written to the end."""
+    pointer = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{CURRENT}")
+    if not pointer.getFileSystem(spark._jsc.hadoopConfiguration()).exists(pointer):
+        return None
+    return spark.read.text(pointer.toString()).first()[0]
+
+
+def write_stage(df: DataFrame, root: str, namespace: str, table: str, partition_by: list[str] | None = None,
+                measures: dict[str, Column] | None = None) -> dict[str, int]:
+    """Replace a stage table; returns ``rows`` and the ``measures`` (aggregates), observed while it is written.
+
+    The rows go to a folder of their own; only when all are there does the pointer file switch to it, in one rename. A
+    job that fails leaves the old rows in place, and readers never meet a missing or half-written table. The version
+    before the last stays for readers that have opened it; older ones go.
+    """
+    spark, path = df.sparkSession, stage_path(root, namespace, table)
+    version = f"version-{uuid.uuid4().hex}"
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), *[
+        c.alias(name) for name, c in (measures or {}).items()]).write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    writer.parquet(f"{path}/{version}")
+    before = _switch(spark, path, version)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    for entry in files.listStatus(folder):
+        name = entry.getPath().getName()
+        if name.startswith("version-") and name not in (version, before):
+            files.delete(entry.getPath(), True)
+    return seen.get
 
 
 def read_stage(spark: SparkSession, root: str, namespace: str, table: str) -> DataFrame:
-    return spark.read.parquet(stage_path(root, namespace, table))
+    path = stage_path(root, namespace, table)
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"no stage table at {path}")
+    return spark.read.parquet(f"{path}/{version}")
+
+
+def publish_view(df: DataFrame, name: str) -> None:
+    """A named view for SQL; the name may be read at once, and replacing it changes later readers only."""
+    df.createOrReplaceTempView(name)
+
+
+def select_by_key(spark: SparkSession, view: str, column: str, value: object) -> DataFrame:
+    """Rows of a view with one key. The names must be those of the view; the value is bound, never part of the text."""
+    if column not in spark.table(view).columns:
+        raise ValueError(f"{view} has no column {column}")
+    return spark.sql(f"select * from `{view}` where `{column}` = :value", args={"value": value})
 
 
 def write_scores(scored: DataFrame, path: str) -> None:

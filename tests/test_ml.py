@@ -4,9 +4,10 @@ from itertools import permutations
 
 import numpy as np
 import pytest
+from conftest import rows_of
 from pyspark.sql import functions as F
 
-from riskloom.operators import explain, ml, modeling
+from riskloom.operators import explain, ml, modeling, saved
 from riskloom.plans import queries
 from riskloom.sources import tables
 
@@ -84,6 +85,38 @@ def test_leaf_contributions_are_shapley_values():
         assert got[row] == pytest.approx(want)
 
 
+def test_many_features_in_a_leaf_give_shapley_values():
+    """A leaf of six features: points enough for the polynomial, and runs of zeros and ones in the tests."""
+    r = np.random.default_rng(4)
+    shares = [float(x) for x in r.uniform(0.05, 0.95, 6)]
+    rules = [(1.5, list(range(6)), [[("le", 0.5, True)]] * 6, shares)]
+    x = r.uniform(0, 1, (8, 6))
+    got, base = ml.leaf_contributions(x, rules)
+    for row in range(8):
+        held = [float(v <= 0.5) for v in x[row]]
+        want = np.zeros(6)
+        for order in permutations(range(6)):
+            terms = list(shares)
+            for f in order:
+                before, terms[f] = np.prod(terms), held[f]
+                want[f] += 1.5 * (np.prod(terms) - before) / 720
+        assert got[row] == pytest.approx(want)
+        assert got[row].sum() + base == pytest.approx(1.5 * np.prod(held))
+
+
+@pytest.mark.parametrize("levels", [10_000, 3])
+def test_logistic_model_is_saved_with_its_preprocessing(spark, base, tmp_path, monkeypatch, levels):
+    monkeypatch.setattr(ml, "MAX_LEVELS", levels)
+    train, test = queries.split(base, "train"), queries.split(base, "test")
+    model = saved.logistic_pipeline(train, 5)
+    assert (model.stages[0].fitted.wide is None) == (levels > 3)
+    model.write().save(f"{tmp_path}/model")
+    again = saved.load(spark, f"{tmp_path}/model")
+    names = ["transaction_key", "fraud_probability"]
+    assert rows_of(saved.score(model, test).select(*names)) == rows_of(saved.score(again, test).select(*names))
+    assert saved.PreprocessingEstimator().fit(train).fitted.numeric == again.stages[0].fitted.numeric
+
+
 def test_split_counts_match_the_trees(spark, base, boosted):
     report = ml.feature_importance(boosted, tables.scratch_folder(spark), base)
     splits = sum((t.numNodes - 1) // 2 for t in boosted.stages[-1].trees)

@@ -4,10 +4,10 @@ import math
 
 import numpy as np
 import pytest
-from conftest import rows_of
+from conftest import rows_of, same_rows
 from pyspark.sql import functions as F
 
-from riskloom.operators import cases, decisions, duplicates, metrics, modeling, monitoring, profiles
+from riskloom.operators import behavior, cases, decisions, duplicates, metrics, modeling, monitoring, network, profiles
 from riskloom.sources import fixtures as X
 from riskloom.sources import tables
 
@@ -140,7 +140,7 @@ def test_case_studies_have_at_most_five_per_type(spark, folder):
 
 def test_stage_partitions_are_pruned(spark, folder, tmp_path):
     tx = X.tx(spark, folder).withColumn("data_split", modeling.chrono_split(X.VALIDATION_START, X.TEST_START))
-    assert tables.write_stage(tx, str(tmp_path), "modeling", "splits", ["data_split"]) == tx.count()
+    assert tables.write_stage(tx, str(tmp_path), "modeling", "splits", ["data_split"])["rows"] == tx.count()
     test = tables.read_stage(spark, str(tmp_path), "modeling", "splits").filter("data_split = 'test'")
     assert test.count() == X.tx_scored(spark, folder).count()
     plan = test._jdf.queryExecution().executedPlan().toString()
@@ -149,6 +149,47 @@ def test_stage_partitions_are_pruned(spark, folder, tmp_path):
         tables.stage_path(str(tmp_path), "other", "x")
 
 
+def test_a_failed_write_leaves_the_old_rows(spark, tmp_path):
+    root, three = str(tmp_path), spark.range(3)
+    with pytest.raises(FileNotFoundError):
+        tables.read_stage(spark, root, "staging", "ids")
+    assert tables.write_stage(three, root, "staging", "ids", measures={"most": F.max("id")}) == {"rows": 3, "most": 2}
+    opened = tables.read_stage(spark, root, "staging", "ids")
+    broken = spark.range(0, 100, 1, 4).select(F.when(F.col("id") == 77, F.raise_error("lost")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_stage(broken, root, "staging", "ids")
+    assert rows_of(tables.read_stage(spark, root, "staging", "ids")) == rows_of(three)
+    # A table may be rewritten from itself, and who has opened it reads on.
+    tables.write_stage(tables.read_stage(spark, root, "staging", "ids").filter("id > 0"), root, "staging", "ids")
+    assert rows_of(tables.read_stage(spark, root, "staging", "ids")) == [(1,), (2,)] and opened.count() == 3
+    for n in (7, 8):
+        tables.write_stage(spark.range(n), root, "staging", "ids")
+    versions = [x for x in (tmp_path / "staging" / "ids").iterdir() if x.name.startswith("version-")]
+    assert tables.read_stage(spark, root, "staging", "ids").count() == 8 and len(versions) == 2
+
+
+def test_keys_are_bound_not_pasted(spark):
+    tables.publish_view(spark.createDataFrame([("a", 1), ("b' or '1' = '1", 2)], "k string, n int"), "keyed")
+    assert [r.n for r in tables.select_by_key(spark, "keyed", "k", "b' or '1' = '1").collect()] == [2]
+    assert tables.select_by_key(spark, "keyed", "k", None).count() == 0
+    with pytest.raises(ValueError):
+        tables.select_by_key(spark, "keyed", "k = 'a' or k", "a")
+
+
+def test_a_case_needs_only_the_payments_of_its_entities(spark, folder):
+    payments = X.tx(spark, folder).withColumn(
+        "device_fingerprint", F.when(F.col("device_fingerprint") != "D7", F.col("device_fingerprint")))
+    few = payments.filter("transaction_key in ('TX_3', 'TX_500', 'TX_900')").select("transaction_key")
+    odd = payments.filter(F.col("device_fingerprint").isNull()).select("transaction_key").limit(1)
+    chosen = few.unionByName(odd)
+    closure = cases.case_closure(payments, chosen)
+    assert closure.count() < payments.count() and closure.columns == payments.columns
+    whole, part = (network.network_features(behavior.behavior_features(t)).join(chosen, "transaction_key", "left_semi")
+                   for t in (payments, closure))
+    assert same_rows(whole, part) and part.count() >= 3
+    assert cases.case_closure(payments, chosen.limit(0)).count() == 0
+
+
 def test_report_is_one_file(spark, folder, tmp_path):
     path = tmp_path / "report"
     tables.write_report(profiles.daily_trend(X.tx(spark, folder)), str(path))
