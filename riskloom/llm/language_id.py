@@ -35,6 +35,15 @@ MIN_POSTERIOR = 0.5
 # Suffixes that suggest a language, and path parts do so by the language's own code.
 SUFFIX = {"de": "de", "at": "de", "fr": "fr", "es": "es", "mx": "es", "ar": "es", "uk": "en", "us": "en", "au": "en",
           "it": "it", "pt": "pt", "br": "pt", "nl": "nl", "pl": "pl", "ru": "ru", "jp": "ja", "cn": "zh", "kr": "ko"}
+# The two-letter codes of ISO 639-1. Any other code that a label, declaration or path names is unknown, so
+# the languages to choose from are these at most, whatever a crawl declares.
+CODES = frozenset("""
+aa ab ae af ak am an ar as av ay az ba be bg bh bi bm bn bo br bs ca ce ch co cr cs cu cv cy da de dv dz ee el en eo es et
+eu fa ff fi fj fo fr fy ga gd gl gn gu gv ha he hi ho hr ht hu hy hz ia id ie ig ii ik io is it iu ja jv ka kg ki kj kk kl
+km kn ko kr ks ku kv kw ky la lb lg li ln lo lt lu lv mg mh mi mk ml mn mr ms mt my na nb nd ne ng nl nn no nr nv ny oc oj
+om or os pa pi pl ps pt qu rm rn ro ru rw sa sc sd se sg si sk sl sm sn so sq sr ss st su sv sw ta te tg th ti tk tl tn to
+tr ts tt tw ty ug uk ur uz ve vi vo wa wo xh yi yo za zh zu
+""".split())
 _TAG = re.compile(r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 _CHUNK = 1 << 20
 
@@ -66,18 +75,18 @@ def gram_counts(text: str | None) -> np.ndarray:
 
 
 def named_languages(pages: DataFrame, html: str = "html", url: str = "url") -> set[str]:
-    """Languages that pages declare or whose suffix suggests one, by a grouped count."""
+    """Known languages that pages declare or whose suffix suggests one, by a grouped count."""
     _, _, suffix = address(F.col(url))
     names = F.create_map(*[F.lit(x) for pair in SUFFIX.items() for x in pair])
     said = F.array(declared_language(F.col(html)), F.try_element_at(names, suffix))
-    found = pages.select(F.explode(said).alias("lang")).filter(F.col("lang") != "").groupBy("lang").count()
+    found = pages.select(F.explode(said).alias("lang")).filter(F.col("lang").isin(*sorted(CODES))).groupBy("lang").count()
     return {r.lang for r in found.collect()}
 
 
 def train_text(documents: DataFrame, label: str = "lang", rows: int = TRAIN_ROWS, named: set[str] = frozenset()) -> TextModel:
-    """N-gram likelihoods of every language that labels name, from a bounded sample of each; those only ``named``
+    """N-gram likelihoods of every known language that labels name, from a bounded sample of each; those only ``named``
     elsewhere, or without text, follow with a neutral likelihood. Counts are summed in the tasks, then by language."""
-    labelled = documents.filter(F.col(label).isNotNull())
+    labelled = documents.filter(F.col(label).isin(*sorted(CODES)))
     with_text = F.col("text").isNotNull() & (F.col("text") != "")
     found = {r.lang: r.n for r in labelled.groupBy(F.col(label).alias("lang")).agg(
         F.count_if(with_text).alias("n")).collect()}
@@ -101,7 +110,8 @@ def train_text(documents: DataFrame, label: str = "lang", rows: int = TRAIN_ROWS
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"]):
                 sums[lang] = sums.get(lang, 0) + gram_counts(text)
-        yield pd.DataFrame({"lang": list(sums), "counts": [c.astype("<i8").tobytes() for c in sums.values()]})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "counts": [c.astype("<i8").tobytes() for c in sums.values()]})
 
     def add(parts: pd.DataFrame) -> pd.DataFrame:
         whole = sum(np.frombuffer(c, "<i8") for c in parts["counts"])
@@ -150,40 +160,45 @@ def declared_language(html: Column) -> Column:
     return F.lower(F.coalesce(found, F.lit("")))
 
 
-def voice(code: Column, languages: list[str], trust: float) -> list[Column]:
-    """Log-likelihood of a named code under each language; nothing said, or a language unknown here, weighs nothing."""
+def voice(code: Column, languages: list[str], trust: float) -> Column:
+    """Log-likelihoods of a named code under the languages; nothing said, or a language unknown here, weighs nothing."""
     rest = math.log((1 - trust) / max(1, len(languages) - 1)) if len(languages) > 1 else 0.0
-    heard = code.isin(languages)
-    return [F.when(heard & (code == x), math.log(trust)).when(heard, rest).otherwise(0.0) for x in languages]
+    heard = F.coalesce(code.isin(languages), F.lit(False))
+    return F.transform(F.lit(languages), lambda x: F.when(~heard, 0.0).when(x == code, math.log(trust)).otherwise(rest))
 
 
 def fuse(rows: DataFrame, languages: list[str], key_columns: list[str]) -> DataFrame:
     """Posterior from evidence ``e`` (text, markup and suffix, as logs by language) and host priors.
 
     Grouped sums of the evidence's own posteriors by host give the host counts, their sums the domain counts, and those
-    the whole table's. Each level's prior is smoothed by the one above: (counts + m * prior above) / (rows + m).
+    the whole table's. Each level's prior is smoothed by the one above: (counts + m * prior above) / (rows + m). A row's
+    own vote is taken out of all three counts, so its evidence counts once. Of equal posteriors the language that comes
+    first in ``languages`` is named.
     """
     spark = rows.sparkSession
     k = len(languages)
     top = F.array_max("e")
     raw = F.transform("e", lambda v: F.exp(v - top))
     rows = rows.withColumn("raw", raw).withColumn(
-        "soft", F.expr("transform(raw, v -> v / aggregate(raw, 0D, (a, b) -> a + b))"))
-    sums = [F.sum(F.round(F.col("soft")[i], 6).cast("decimal(28,6)")).alias(f"c{i}") for i in range(k)]
+        "soft", F.expr("transform(raw, v -> round(v / aggregate(raw, 0D, (a, b) -> a + b), 6))"))
+    sums = [F.sum(F.col("soft")[i].cast("decimal(28,6)")).alias(f"c{i}") for i in range(k)]
     hosts = stage_table(spark, rows.groupBy("domain", "host").agg(F.count("*").alias("n"), *sums), "host-counts")
     up = [F.sum(f"c{i}").alias(f"d{i}") for i in range(k)]
     domains = hosts.groupBy("domain").agg(F.sum("n").alias("m"), *up)
     whole = domains.agg(F.sum("m"), *[F.sum(f"d{i}") for i in range(k)]).first()
-    n = float(whole[0] or 0)
-    base = [(float(whole[i + 1] or 0) + PRIOR_ROWS[0] / k) / (n + PRIOR_ROWS[0]) for i in range(k)]
-    middle = domains.select("domain", F.array(*[
-        (F.col(f"d{i}").cast("double") + PRIOR_ROWS[1] * base[i]) / (F.col("m") + PRIOR_ROWS[1])
-        for i in range(k)]).alias("above"))
-    priors = hosts.join(middle, "domain").select("host", F.array(*[
-        (F.col(f"c{i}").cast("double") + PRIOR_ROWS[2] * F.col("above")[i]) / (F.col("n") + PRIOR_ROWS[2])
-        for i in range(k)]).alias("prior"))
-    # A row's own vote is in its host's count; it is one of n + 10 there.
-    joined = rows.join(priors, "host")
+    total, sums_ = float(whole[0] or 0), [float(x or 0) for x in whole[1:]]
+    middle = domains.select("domain", "m", F.array(*[F.col(f"d{i}").cast("double") for i in range(k)]).alias("d"))
+    counts = hosts.join(middle, "domain").select(
+        "host", "n", "m", "d", F.array(*[F.col(f"c{i}").cast("double") for i in range(k)]).alias("c"))
+    joined = rows.join(counts, "host").withColumn("w", F.lit(sums_))
+    table_, domain_, host_ = PRIOR_ROWS
+    # A vote that was rounded up may leave a hair less than nothing.
+    prior = f"""transform(w, (x, i) ->
+        (greatest(c[i] - soft[i], 0D) + {host_}D * (
+            greatest(d[i] - soft[i], 0D) + {domain_}D * (
+                greatest(x - soft[i], 0D) + {table_}D / {k}) / ({total}D - 1 + {table_}D)
+        ) / (m - 1 + {domain_}D)) / (n - 1 + {host_}D))"""
+    joined = joined.withColumn("prior", F.expr(prior))
     joined = joined.withColumn("all", F.zip_with("e", "prior", lambda a, b: a + F.log(b)))
     joined = joined.withColumn("raw", F.expr("transform(all, v -> exp(v - array_max(all)))")).withColumn(
         "post", F.expr("transform(raw, v -> v / aggregate(raw, 0D, (a, b) -> a + b))"))
@@ -203,8 +218,9 @@ def identify(df: DataFrame, model: TextModel, key: str, text: str, url: str | No
     towards its domain and the whole table. The text is read once; evidence, a few numbers a row, is written to the
     shared folder, counted by host with partial sums before the exchange, and joined with the host's prior.
 
-    Null texts and addresses say nothing; a row without any evidence gets the whole table's prior, `und` if that is
-    below one half. Repeated rows count and appear each; an empty table or a model without languages gives no rows or
+    Null texts and addresses say nothing; a row without any evidence gets the prior of the other rows, `und` if that is
+    below one half. Very long texts are read whole, piece by piece. Ties go to the language that comes first in the
+    model: the modelled ones by code, then the others by code. Repeated rows count and appear each; an empty table or a model without languages gives no rows or
     `und` with posterior 0. Other columns are ignored. A host with a third of all rows is one row of the counts.
     """
     spark = df.sparkSession
@@ -220,10 +236,9 @@ def identify(df: DataFrame, model: TextModel, key: str, text: str, url: str | No
     if not model.languages:
         return base.select(key, "declared", "suffix", "host", F.lit("und").alias("language"),
                            F.lit(0.0).alias("posterior"))
-    rows = base.select(key, "declared", "suffix", "host", "domain", F.array(*[
-        F.col("text_e")[i] + a + b for i, (a, b) in enumerate(zip(
-            voice(F.col("declared"), model.languages, DECLARED_TRUST),
-            voice(F.col("suffix"), model.languages, SUFFIX_TRUST)))]).alias("e"))
+    said = F.zip_with(voice(F.col("declared"), model.languages, DECLARED_TRUST),
+                      voice(F.col("suffix"), model.languages, SUFFIX_TRUST), lambda a, b: a + b)
+    rows = base.select(key, "declared", "suffix", "host", "domain", F.zip_with("text_e", said, lambda a, b: a + b).alias("e"))
     return fuse(stage_table(spark, rows, "evidence"), model.languages, [key])
 
 

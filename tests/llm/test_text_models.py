@@ -99,13 +99,41 @@ def test_documents_that_lose_too_much_go(spark):
     assert [got[i].kept for i in (1, 2, 3)] == [True, False, True] and got[3].clean_text == good
 
 
-def test_languages_of_pages_and_documents(spark):
+def test_languages_without_the_path_and_outside_the_sample(spark):
+    """Documents that the text model has not seen; pages whose path no longer names the language."""
     documents, pages = table(spark, SF, "documents"), table(spark, SF, "pages")
-    model = I.train_text(documents)
-    got = I.identify(documents, model, "doc_id", "text", host="source").join(documents.select("doc_id", "lang"), "doc_id")
-    assert np.mean([r.language == r.lang for r in got.collect()]) > 0.98
-    got = I.identify(pages, model, "page_id", "html", url="url", markup=True).join(pages.select("page_id", "url"), "page_id")
-    assert np.mean([f"/{r.language}/" in r.url for r in got.collect()]) > 0.98
+    model = I.train_text(documents.filter("doc_id % 2 = 0"), named=I.named_languages(pages))
+    unseen = documents.filter("doc_id % 2 = 1")
+    got = I.identify(unseen, model, "doc_id", "text").join(documents.select("doc_id", "lang"), "doc_id").collect()
+    assert len(got) > 400 and np.mean([r.language == r.lang for r in got]) > 0.97
+    masked = pages.withColumn("url", F.regexp_replace("url", "/[a-z]{2}/", "/x1/"))
+    got = I.identify(masked, model, "page_id", "html", url="url", markup=True).join(
+        pages.select("page_id", F.col("url").alias("whole")), "page_id").collect()
+    right = np.mean([f"/{r.language}/" in r.whole for r in got])
+    print("pages named without their path:", right)
+    assert all(r.suffix == "" or r.suffix in I.SUFFIX.values() for r in got) and right > 0.9
+
+
+def test_junk_codes_are_no_languages(spark):
+    rows = [(i, f"http://h{i}.com/", f'<html lang="{a}{b}x">text', "q") for i, (a, b) in enumerate(
+        (a, b) for a in "abcdefghij" for b in "klmnopqrst")]
+    pages = spark.createDataFrame([*rows, (500, "http://z.com/qq/", '<html lang="de">ein text', None)],
+                                  "page_id long, url string, html string, host string")
+    assert I.named_languages(pages) == {"de"}
+    model = I.train_text(spark.createDataFrame([(1, "some words here", "en"), (2, "words", "junk")],
+                                               "doc_id long, text string, lang string"), named=I.named_languages(pages))
+    assert model.languages == ["en", "de"]
+    got = {r.page_id: r for r in I.identify(pages, model, "page_id", "html", url="url", markup=True).collect()}
+    assert len(got) == 101 and got[500].declared == "de" and got[0].declared == "akx"
+
+
+def test_long_texts_and_ties(spark):
+    model = I.TextModel(["de", "en"], np.log(np.full((2, I.CELLS), 1.0 / I.CELLS)))
+    rows = [(i, t) for i, t in enumerate(["the word " * 400_000, "a", None, ""])]
+    got = {r.doc_id: r for r in I.identify(spark.createDataFrame(rows, "doc_id long, text string"), model, "doc_id", "text").collect()}
+    assert all(r.language == "de" and r.posterior == 0.5 for r in got.values()) and len(got) == 4
+    many = I.gram_counts("the word " * 400_000)
+    assert many.sum() == 9 * 400_000 - I.GRAM + 1
 
 
 def test_posterior_matches_the_formula(spark):
@@ -121,19 +149,22 @@ def test_posterior_matches_the_formula(spark):
     like = np.array([np.multiply(say[a], hint[b]) for a, b, _, _ in facts], float)
     soft = np.round(like / like.sum(1, keepdims=True), 6)
     m = I.PRIOR_ROWS
-    base = (soft.sum(0) + m[0] / 2) / (len(facts) + m[0])
 
-    def prior(host, domain):
-        rows_d = soft[[f[3] == domain for f in facts]]
-        above = (rows_d.sum(0) + m[1] * base) / (len(rows_d) + m[1])
-        rows_h = soft[[f[2] == host and f[3] == domain for f in facts]]
-        return (rows_h.sum(0) + m[2] * above) / (len(rows_h) + m[2])
+    def prior(row, host, domain):
+        """All counts without the row's own vote."""
+        others = [i for i in range(len(facts)) if i != row]
+        votes = lambda chosen: soft[chosen].sum(0) if chosen else np.zeros(2)
+        base = (votes(others) + m[0] / 2) / (len(others) + m[0])
+        near = [i for i in others if facts[i][3] == domain]
+        above = (votes(near) + m[1] * base) / (len(near) + m[1])
+        same = [i for i in near if facts[i][2] == host]
+        return (votes(same) + m[2] * above) / (len(same) + m[2])
 
     want = []
-    for (i, _, _), e, f in zip(rows, like, facts):
-        post = e * prior(f[2], f[3])
+    for at, ((i, _, _), e, f) in enumerate(zip(rows, like, facts)):
+        post = e * prior(at, f[2], f[3])
         post /= post.sum()
-        want.append((i, ["de", "en"][int(post.argmax())] if post.max() >= 0.5 else "und", round(float(post.max()), 5)))
+        want.append((i, ["de", "en"][int(post.argmax())] if post.max() >= 0.5 else "und", round(round(float(post.max()), 6), 5)))
     assert sorted(((r.page_id, r.language, round(r.posterior, 5)) for r in got), key=repr) == sorted(want, key=repr)
 
 
