@@ -150,10 +150,16 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def ascending(hashes: np.ndarray) -> np.ndarray:
+    """Distinct values in order."""
+    out = np.sort(hashes)
+    return out[np.append(True, out[1:] != out[:-1])] if len(out) else out
+
+
 def gram_set(text: str | None, shingle: int = COPY_SHINGLE, seed: int = SEED) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles."""
-    pieces = [np.unique(x) for x in gram_hashes(text, shingle, seed)]
-    return np.unique(np.concatenate(pieces)).view("<i8") if pieces else np.zeros(0, "i8")
+    pieces = [ascending(x) for x in gram_hashes(text, shingle, seed)]
+    return ascending(np.concatenate(pieces)).view("<i8") if pieces else np.zeros(0, "i8")
 
 
 def sketches(text: str, shingle: int) -> Column:
@@ -167,8 +173,8 @@ def sketches(text: str, shingle: int) -> Column:
             for hashes in gram_hashes(x, shingle, SEED):
                 ones += bit_counts(hashes)
                 total += len(hashes)
-                pieces.append(np.unique(hashes))
-            grams = np.unique(np.concatenate(pieces)) if pieces else np.zeros(0, "<u8")
+                pieces.append(ascending(hashes))
+            grams = ascending(np.concatenate(pieces)) if pieces else np.zeros(0, "<u8")
             name = xxhash.xxh3_128_digest(b" ".join((x or "").encode().lower().split()))
             out.append((majority(ones, total), *np.frombuffer(name, "<i8").tolist(), len(grams),
                         grams[:MINIMA].view("<i8").tolist()))
