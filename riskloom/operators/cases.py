@@ -128,6 +128,15 @@ def linked_cards(edges: DataFrame, facts: DataFrame, cases: DataFrame, limit: in
         "card_number", C.mask_card(F.col("card_number")))
 
 
+def case_devices(facts: DataFrame, cases: DataFrame, limit: int = MAX_BROADCAST_CASES) -> list[str | None]:
+    """Devices of a case list of checked size, for a lookup in stored edges."""
+    found = facts.join(in_every_task(cases, limit), "transaction_key", "left_semi").select("device_fingerprint").distinct()
+    devices = [r[0] for r in found.limit(limit + 1).collect()]
+    if len(devices) > limit:
+        raise ValueError(f"more than {limit} devices: join the edges instead of looking them up")
+    return devices
+
+
 def case_studies(scored: DataFrame, per_type: int = 5, threshold: float = C.DECISION_THRESHOLD) -> DataFrame:
     """The best examples of each kind of outcome: four ranked classes from one scan.
 

@@ -1,8 +1,9 @@
 """Exact order statistics without collecting a group: collapse to distinct values, then running totals.
 
 Ranks, quantiles and curve areas only need the counts per distinct value and the totals of all
-smaller values. Small inputs use one window. Larger ones cut the values of each group into
-equal-sized ranges, sum inside the ranges in parallel and add the totals of the ranges before.
+smaller values. Small inputs use one window. Larger ones are cut into ranges of the sorted values,
+summed inside the ranges in parallel; the totals of the ranges before are running totals again, of a
+table as much shorter as a range is long, found in the same way.
 """
 
 from __future__ import annotations
@@ -12,11 +13,9 @@ from math import ceil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.operators.skew import MAX_ROWS_PER_TASK, attach
+from riskloom.operators.skew import BROADCAST_KEYS, MAX_ROWS_PER_TASK, attach
 from riskloom.session import ensure_checkpoint_dir
 
-MAX_RANGES = 1024
-
 
 def running_totals(df: DataFrame, groups: list[str], value: str, measures: list[str], rows: int,
                    max_rows: int = MAX_ROWS_PER_TASK) -> DataFrame:
@@ -31,25 +30,29 @@ def running_totals(df: DataFrame, groups: list[str], value: str, measures: list[
         )
         return df.withColumns({f"before_{m}": F.coalesce(F.sum(m).over(before), F.lit(0)) for m in measures})
 
-    ranges = min(MAX_RANGES, max(2, ceil(2 * rows / max_rows)))
-    cuts = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    # Four rows a range at least, so that each level is shorter than the one below.
+    ranges = max(2, ceil(2 * rows / max(8, max_rows)))
     keys = groups or ["_all"]
     base = df if groups else df.withColumn("_all", F.lit(0))
-    edges = base.groupBy(*keys).agg(F.percentile_approx(value, cuts, F.lit(10 * ranges)).alias("_edges"))
-    # One row per group, each a bounded array: groups are features and days, never entities.
-    placed = attach(base, F.broadcast(edges), keys)
-    placed = placed.withColumn("_range", F.size(F.filter("_edges", lambda e: e < F.col(value)))).drop("_edges")
+    # Ranges of group and value together: a long group has many, short groups share one. The checkpoint fixes them, as
+    # the number of a range must not change if a task is run again.
+    ensure_checkpoint_dir(df.sparkSession)
+    placed = base.repartitionByRange(ranges, *[F.col(c).asc_nulls_last() for c in [*keys, value]]).withColumn(
+        "_range", F.spark_partition_id()).checkpoint()
     inside = (
         Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     )
-    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        placed.groupBy(*keys, "_range").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
-        .select(*keys, "_range",
-                *[F.coalesce(F.sum(f"_t_{m}").over(earlier), F.lit(0)).alias(f"_o_{m}") for m in measures])
-    )
+    totals = placed.groupBy(*keys, "_range").agg(*[F.sum(m).alias(f"_t_{m}") for m in measures])
+    # One row for each range, and one more for each group that begins inside a range.
+    pieces = totals.count()
+    if pieces >= rows:  # groups so short that ranges do not shorten anything: one window holds them
+        max_rows = pieces
+    totals = totals.withColumnRenamed("_range", "_place")
+    offsets = running_totals(totals, keys, "_place", [f"_t_{m}" for m in measures], pieces, max_rows).select(
+        *keys, F.col("_place").alias("_range"), *[F.col(f"before__t_{m}").alias(f"_o_{m}") for m in measures])
+    offsets = F.broadcast(offsets) if ranges <= BROADCAST_KEYS else offsets
     local = placed.withColumns({f"_i_{m}": F.coalesce(F.sum(m).over(inside), F.lit(0)) for m in measures})
-    joined = attach(local, F.broadcast(offsets), [*keys, "_range"])
+    joined = attach(local, offsets, [*keys, "_range"])
     return joined.select(
         *df.columns, *[(F.col(f"_i_{m}") + F.col(f"_o_{m}")).alias(f"before_{m}") for m in measures]
     )

@@ -602,6 +602,15 @@ ORACLE: dict[str, str] = {
         count(*) filter (try_cast(amount as double) is null) as missing_amount,
         count(*) filter ({LABEL} is null)
         as missing_is_fraud from tx_raw"""),
+    "sketched_profile": with_tables("tx", " union all ".join(
+        f"select '{period}' as period, '{name}' as measure, count(distinct {column}) as exact_count, 1 as within from tx{where}"
+        for period, where in (("all", ""), ("test", f" where transaction_ts >= {T}"))
+        for name, column in {"customers": "customer_id", "cards": "card_number", "devices": "device_fingerprint",
+                             "ips": "ip_address", "transactions": "transaction_key"}.items())),
+    "sketched_devices": with_tables("tx", """select count(*) as entities, count(*) filter (n > 1) as reused,
+        count(*) filter (customers > 1) as shared_by_customers, count(*) filter (cards > 1) as shared_by_cards
+        from (select count(*) as n, count(distinct customer_id) as customers, count(distinct card_number) as cards
+              from tx group by device_fingerprint) d"""),
     "split_tables": with_tables("tx_split", "select data_split as table_name, count(*) as rows from tx_split group by 1"),
     "write_scores": with_tables("tx_scored", """select transaction_key, is_fraud, round(fraud_probability, 9) as fraud_probability
         from tx_scored"""),
@@ -895,6 +904,11 @@ ORACLE: dict[str, str] = {
         row_number() over (partition by c.transaction_key order by h.transaction_ts desc, h.transaction_key desc) as position
         from queue q join tx c using (transaction_key) join tx h on h.customer_id = c.customer_id and h.transaction_ts <= c.transaction_ts) r
         where position <= 20"""),
+    "linked_customers_stored": with_tables("customer_edges tx tx_scored", """select * from (select c.transaction_key as case_key,
+        e.* exclude (device_fingerprint),
+        row_number() over (partition by c.transaction_key order by fraud_transactions desc, transactions desc, e.customer_id) as position
+        from (select transaction_key from tx_scored order by fraud_probability desc, transaction_key limit 5) q
+        join tx c using (transaction_key) join customer_edges e using (device_fingerprint)) r where position <= 50"""),
     "linked_customers": with_tables("customer_edges queue tx", """select * from (select c.transaction_key as case_key, e.* exclude (device_fingerprint),
         row_number() over (partition by c.transaction_key order by fraud_transactions desc, transactions desc, e.customer_id) as position
         from queue q join tx c using (transaction_key) join customer_edges e using (device_fingerprint)) r where position <= 50"""),

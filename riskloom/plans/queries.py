@@ -22,6 +22,7 @@ from riskloom.operators import monitoring as R
 from riskloom.operators import network as N
 from riskloom.operators import profiles as P
 from riskloom.operators import saved
+from riskloom.operators import sketches as H
 from riskloom.sources import fixtures as X
 from riskloom.sources import tables as S
 
@@ -176,6 +177,28 @@ def table_counts(spark: SparkSession, folder: str) -> DataFrame:
         "tx_scored": X.tx_scored(spark, folder)})
 
 
+SKETCHED = {"customers": "customer_id", "cards": "card_number", "devices": "device_fingerprint", "ips": "ip_address",
+            "transactions": "transaction_key"}
+
+
+def sketched_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Distinct counts from stored daily sketches, merged over the test period and over all days, against exact ones."""
+    facts = X.tx(spark, folder)
+    days = stored(H.daily_sketches(facts, SKETCHED), "daily_sketches")
+    test = facts.filter(F.col("transaction_ts") >= M.timestamp(X.TEST_START))
+    parts = [("all", facts, None), ("test", test, X.TEST_START[:10])]
+    found = [H.against_exact(rows, H.merged_sketches(days, list(SKETCHED), start=start), SKETCHED).select(
+        F.lit(name).alias("period"), "*") for name, rows, start in parts]
+    return found[0].unionByName(found[1])
+
+
+def sketched_devices(spark: SparkSession, folder: str) -> DataFrame:
+    """Reused and shared devices from sketches stored by device and day."""
+    names = {"customers": "customer_id", "cards": "card_number"}
+    days = stored(H.daily_sketches(X.tx(spark, folder), names, ["device_fingerprint"]), "device_sketches")
+    return H.shared_entities(days, "device_fingerprint", list(names))
+
+
 # --- cleaning ----------------------------------------------------------------------------------
 
 def cleaned(spark: SparkSession, folder: str) -> DataFrame:
@@ -475,6 +498,17 @@ def linked_customers(spark: SparkSession, folder: str) -> DataFrame:
     return K.linked_customers(N.device_customer_edges(facts), facts, high_risk_cases(spark, folder))
 
 
+def linked_customers_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The same for five cases, from edges that are stored in buckets by device."""
+    facts = X.tx(spark, folder)
+    path = f"{S.scratch_folder(spark)}/edges"
+    name = f"device_customer_edges_{path.split('-')[-1].split('/')[0]}"
+    S.write_bucketed(N.device_customer_edges(facts), name, path, "device_fingerprint")
+    cases = K.queue_high_risk(X.tx_scored(spark, folder), 5).select("transaction_key")
+    edges = S.read_buckets(spark, name, "device_fingerprint", K.case_devices(facts, cases))
+    return K.linked_customers(edges, facts, cases)
+
+
 def linked_cards(spark: SparkSession, folder: str) -> DataFrame:
     facts = X.tx(spark, folder)
     return K.linked_cards(N.device_card_edges(facts), facts, high_risk_cases(spark, folder))
@@ -495,6 +529,8 @@ QUERIES: dict[str, Query] = {
     "scan_raw_csv": scan_raw_csv,
     "materialize_stage": materialize_stage,
     "stage_quality": stage_quality,
+    "sketched_profile": sketched_profile,
+    "sketched_devices": sketched_devices,
     "split_tables": split_tables,
     "write_report": write_report,
     "write_scores": write_scores,
@@ -638,6 +674,7 @@ QUERIES: dict[str, Query] = {
     "payment_by_key": payment_by_key,
     "customer_history": customer_history,
     "linked_customers": linked_customers,
+    "linked_customers_stored": linked_customers_stored,
     "linked_cards": linked_cards,
 }
 

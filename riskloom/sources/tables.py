@@ -18,6 +18,8 @@ RAW_COLUMNS = [
     "weekend_transaction", "velocity_last_hour", "is_fraud",
 ]
 NAMESPACES = ["raw", "staging", "analytics", "modeling"]
+# Buckets of a table that is looked up by key.
+BUCKETS = 64
 # Pointer file of a stage table.
 CURRENT = "current"
 
@@ -143,6 +145,19 @@ def select_by_key(spark: SparkSession, view: str, column: str, value: object) ->
     return spark.sql(f"select * from `{view}` where `{column}` = :value", args={"value": value})
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, key: str, buckets: int = BUCKETS) -> None:
+    """A table of the catalog, its files in ``buckets`` by a hash of the key and sorted by it. A lookup of some keys opens
+    their buckets only, and a join or grouping by the key needs no exchange on this side."""
+    df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+
+
+def read_buckets(spark: SparkSession, name: str, key: str, values: list) -> DataFrame:
+    """Rows of a bucketed table with one of the keys; NULL among them finds the rows of no key."""
+    known = [v for v in values if v is not None]
+    wanted = F.col(key).isin(known)
+    return spark.table(name).filter(wanted if len(known) == len(values) else wanted | F.col(key).isNull())
+
+
 def write_scores(scored: DataFrame, path: str) -> None:
     """Scored rows as parquet, one folder per day: daily reports read only their days."""
     scored.write.mode("overwrite").partitionBy("transaction_date").parquet(path)

@@ -7,7 +7,7 @@ import pytest
 from conftest import rows_of, same_rows
 from pyspark.sql import functions as F
 
-from riskloom.operators import behavior, cases, decisions, duplicates, metrics, modeling, monitoring, network, profiles
+from riskloom.operators import behavior, cases, decisions, duplicates, metrics, modeling, monitoring, network, profiles, sketches
 from riskloom.sources import fixtures as X
 from riskloom.sources import tables
 
@@ -190,6 +190,46 @@ def test_a_case_needs_only_the_payments_of_its_entities(spark, folder):
     assert cases.case_closure(payments, chosen.limit(0)).count() == 0
 
 
+def test_sketches_of_days_merge_to_those_of_all_rows(spark):
+    """Estimates stay within the promised error, whatever days are merged, and few values are counted exactly."""
+    rows = spark.range(60_000).select(
+        F.expr("date'2024-01-01' + cast(id % 9 as int)").alias("transaction_date"), (F.col("id") % 23_000).alias("a"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 7).alias("b"), (F.col("id") % 400).alias("device"))
+    counted = {"a": "a", "b": "b"}
+    days = sketches.daily_sketches(rows, counted)
+    assert days.count() == 9
+    for start, end in ((None, None), ("2024-01-03", "2024-01-05"), ("2024-01-09", None)):
+        part = rows.filter(f"transaction_date >= '{start or '2000-01-01'}' and transaction_date < '{end or '2100-01-01'}'")
+        merged = sketches.merged_sketches(days, ["a", "b"], start=start, end=end)
+        found = {r.measure: r for r in sketches.against_exact(part, merged, counted).collect()}
+        assert found["a"].within == found["b"].within == 1 and found["b"].exact_count == 7
+        assert merged.first().rows == part.count()
+    by_device = sketches.daily_sketches(rows, counted, ["device"])
+    shared = sketches.shared_entities(by_device, "device", ["a", "b"]).first()
+    exact = rows.groupBy("device").agg(F.count_distinct("b").alias("b")).filter("b > 1").count()
+    assert (shared.entities, shared.reused, shared.shared_by_b) == (400, 400, exact)
+    nothing = sketches.merged_sketches(sketches.daily_sketches(rows.limit(0), counted), ["a", "b"])
+    assert [r.exact_count for r in sketches.against_exact(rows.limit(0), nothing, counted).collect()] == [0, 0]
+    assert 0.06 < sketches.relative_error(12) < 0.07
+
+
+def test_a_lookup_opens_its_buckets_and_exchanges_no_edges(spark, folder, tmp_path):
+    facts = X.tx(spark, folder)
+    edges = network.device_customer_edges(facts)
+    tables.write_bucketed(edges, "edges_for_test", f"{tmp_path}/edges", "device_fingerprint", 16)
+    some = [r[0] for r in facts.select("device_fingerprint").distinct().limit(1).collect()]
+    found = tables.read_buckets(spark, "edges_for_test", "device_fingerprint", some)
+    assert rows_of(found) == rows_of(edges.filter(F.col("device_fingerprint") == some[0]))
+    plan = found.groupBy("device_fingerprint").count()._jdf.queryExecution().executedPlan().toString()
+    assert "SelectedBucketsCount: 1 out of 16" in plan and "Exchange" not in plan
+    assert tables.read_buckets(spark, "edges_for_test", "device_fingerprint", [*some, None]).count() == found.count()
+    chosen = facts.select("transaction_key").limit(3)
+    assert None not in cases.case_devices(facts, chosen) and len(cases.case_devices(facts, chosen)) <= 3
+    with pytest.raises(ValueError):
+        cases.case_devices(facts, facts.select("transaction_key"), 2)
+    spark.sql("DROP TABLE edges_for_test")
+
+
 def test_report_is_one_file(spark, folder, tmp_path):
     path = tmp_path / "report"
     tables.write_report(profiles.daily_trend(X.tx(spark, folder)), str(path))

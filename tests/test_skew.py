@@ -102,6 +102,15 @@ def test_running_totals_in_ranges(spark, folder):
     assert same_rows(one, many)
 
 
+def test_running_totals_of_many_levels(spark):
+    """More ranges than one task may hold: their totals are running totals themselves; NULL groups are groups."""
+    rows = spark.range(600).select(F.when(F.col("id") % 4 > 0, F.col("id") % 2).alias("g"), (F.col("id") * 7).alias("v"),
+                                   (F.col("id") % 5).alias("n"))
+    for groups in (["g"], []):
+        one = ordered.running_totals(rows, groups, "v", ["n"], 10)
+        assert same_rows(one, ordered.running_totals(rows, groups, "v", ["n"], 600, max_rows=12))
+
+
 def test_quantiles_and_areas_in_ranges(spark, folder):
     tx, scored = X.tx(spark, folder), X.tx_scored(spark, folder)
     columns, points = ["amount", "distance_from_home", "transaction_hour"], [0.0, 0.05, 0.3, 0.5, 0.95, 1.0]
