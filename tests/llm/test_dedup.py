@@ -5,6 +5,7 @@ import re
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from riskloom.llm import line_dedup as L
 from riskloom.llm import simhash_dedup as D
@@ -224,3 +225,31 @@ def test_stage_keeps_unlike_documents_of_null_and_repeated_ids(spark):
                                  "doc_id long, text string, lang string, source string, n_chars long")
     kept = [(x.doc_id, x.text) for x in corpus_pipeline.dedup_documents(spark, docs, "").collect()]
     assert sorted(kept, key=repr) == sorted([(None, a), (None, b), (3, c), (7, d), (9, e), (9, "")], key=repr)
+
+
+def test_marks_and_shown_shingles_take_out_unlike_pairs_alone(spark):
+    r = random.Random(11)
+    letters = "abcdefghij "
+    lines = []
+    for _ in range(60):
+        line = "".join(r.choice(letters) for _ in range(r.choice([3, 30, 120, 900])))
+        lines.append(line)
+        for _ in range(2):
+            at, width = r.randrange(len(line)), r.choice([1, 5, len(line) // 8, len(line) // 3])
+            lines.append(line[:at] + "".join(r.choice(letters) for _ in range(width)) + line[at + width:])
+    rows = [(i, len(L.grams(x)), x) for i, x in enumerate(lines)]
+    bodies = spark.createDataFrame(rows, "node long, n int, body string").withColumn("marks", L.marks("body"))
+    pairs = [(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines))]
+    passed = {tuple(x) for x in L.sifted(
+        spark.createDataFrame(pairs, "a long, b long"), bodies, 0.8).collect()}
+    sets = [L.grams(x) for x in lines]
+    near = {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert near and near <= passed and len(passed) < len(pairs) / 4
+    # The same lines by their rare shingles: each alike pair shows, with a line of its bucket that comes first or itself.
+    nodes = bodies.select("node")
+    parts = L.with_leader(
+        L.rare_buckets(nodes, bodies, L.shingle_set, 0.8), "gram", F.col("own_share"))
+    none = spark.createDataFrame([], "node long, component long")
+    stars = {tuple(sorted(x)) for x in L.star_pairs(parts, 0.8).collect()}
+    crosses = {tuple(x) for x in L.cross_pairs(parts, none, "gram", 0.8, L.SHOWN).collect()}
+    assert near <= stars | crosses
