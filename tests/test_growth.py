@@ -1,8 +1,12 @@
 """What a task holds and what is exchanged grows no faster than the input; results stay those of the plain form."""
 
+from functools import partial
+
 import pytest
+from conftest import same_rows
 
-from riskloom.operators import duplicates
+from riskloom.operators import behavior, duplicates, skew
+from riskloom.sources import fixtures as X
 
 KIND = ("transaction_id string, customer_id long, card_number long, transaction_ts timestamp, merchant string, "
         "amount double, device_fingerprint string, ip_address string, is_fraud int")
@@ -29,3 +33,12 @@ def test_conflict_scores_exchange_a_row_once(spark, array_rows, per_task):
     assert {r["conflict_score"] for r in every.filter("transaction_id = 'a'").collect()} == {7}
     if array_rows > 40:
         assert "Expand" not in plan_of(found)
+
+
+def test_customer_windows_are_dealt_by_rows(spark, folder, monkeypatch):
+    table = X.tx(spark, folder)
+    whole = behavior.behavior_features(table)
+    monkeypatch.setattr(behavior, "dealt", partial(skew.dealt, per_task=100))
+    parts = behavior.behavior_features(table)
+    assert parts.rdd.getNumPartitions() == -(-table.count() // 100)
+    assert same_rows(whole, parts)
