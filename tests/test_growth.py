@@ -3,9 +3,9 @@
 from functools import partial
 
 import pytest
-from conftest import same_rows
+from conftest import rows_of, same_rows
 
-from riskloom.operators import behavior, duplicates, skew
+from riskloom.operators import behavior, duplicates, network, skew
 from riskloom.sources import fixtures as X
 
 KIND = ("transaction_id string, customer_id long, card_number long, transaction_ts timestamp, merchant string, "
@@ -42,3 +42,12 @@ def test_customer_windows_are_dealt_by_rows(spark, folder, monkeypatch):
     parts = behavior.behavior_features(table)
     assert parts.rdd.getNumPartitions() == -(-table.count() // 100)
     assert same_rows(whole, parts)
+
+
+def test_device_and_card_windows_are_dealt_by_rows(spark, folder, monkeypatch):
+    table = X.tx(spark, folder).select(*network.LINK_INPUTS, "is_fraud")
+    whole = network.network_features(table)
+    monkeypatch.setattr(skew, "dealt", partial(skew.dealt, per_task=100))
+    parts = network.network_features(table)
+    assert parts.rdd.getNumPartitions() == -(-table.count() // 100)
+    assert rows_of(whole) == rows_of(parts)
