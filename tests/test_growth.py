@@ -5,7 +5,8 @@ from functools import partial
 import pytest
 from conftest import rows_of, same_rows
 
-from riskloom.operators import behavior, duplicates, network, skew
+from riskloom.operators import behavior, duplicates, ml, network, skew
+from riskloom.plans import queries
 from riskloom.sources import fixtures as X
 
 KIND = ("transaction_id string, customer_id long, card_number long, transaction_ts timestamp, merchant string, "
@@ -51,3 +52,12 @@ def test_device_and_card_windows_are_dealt_by_rows(spark, folder, monkeypatch):
     parts = network.network_features(table)
     assert parts.rdd.getNumPartitions() == -(-table.count() // 100)
     assert rows_of(whole) == rows_of(parts)
+
+
+def test_training_keeps_assembled_features_alone(spark, folder, monkeypatch):
+    base = queries.stored_base(spark, folder)
+    seen = []
+    fit = ml.GBTClassifier.fit
+    monkeypatch.setattr(ml.GBTClassifier, "fit", lambda self, df: seen.append(df) or fit(self, df))
+    ml.train_gbt(queries.split(base, "train"), queries.split(base, "validation"), 1)
+    assert seen[0].columns == ["is_fraud", "class_weight", "held_out", "features"]
