@@ -61,3 +61,16 @@ def test_training_keeps_assembled_features_alone(spark, folder, monkeypatch):
     monkeypatch.setattr(ml.GBTClassifier, "fit", lambda self, df: seen.append(df) or fit(self, df))
     ml.train_gbt(queries.split(base, "train"), queries.split(base, "validation"), 1)
     assert seen[0].columns == ["is_fraud", "class_weight", "held_out", "features"]
+
+
+def test_contributions_leave_python_as_numbers(spark, folder, tmp_path):
+    base = queries.stored_base(spark, folder)
+    model = ml.train_gbt(queries.split(base, "train"), queries.split(base, "validation"), 2)
+    test = queries.split(base, "test")
+    parts = ml.tree_contributions(model, test, f"{tmp_path}/model", ["transaction_key", "amount"])
+    assert "MapInArrow" in plan_of(parts)
+    found = parts.collect()
+    assert len(found) == test.count() > 0
+    for row in found[:50]:
+        assert [e["feature"] for e in row["contributions"]] == [*ml.NUMERIC_FEATURES, *ml.CATEGORICAL_FEATURES]
+        assert row["contributions"][0]["value"] == row["amount"]
