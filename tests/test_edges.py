@@ -120,3 +120,24 @@ def test_boosting_keeps_the_best_prefix_of_a_learnable_label(spark):
     again = ml.train_gbt(train.repartition(7, "amount"), validation.repartition(3), rounds=4)
     once = ml.train_gbt(train, validation, rounds=4)
     assert again.stages[-1].toDebugString.split("\n")[1:] == once.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_boosting_goes_on_past_a_round_that_raises_the_loss(spark, monkeypatch):
+    value = lambda name: F.pmod(F.xxhash64("id", F.lit(name)), F.lit(1000)) / 1000
+    rows = spark.range(1200).select(
+        F.col("id").cast("string").alias("transaction_key"), (F.col("id") % 3 == 0).alias("late"),
+        *[value(c).alias(c) for c in M.NUMERIC_FEATURES],
+        *[F.when(value(c) < 0.5, "a").otherwise("b").alias(c) for c in M.CATEGORICAL_FEATURES],
+        (value("n1") < 0.3 + 0.6 * value(M.NUMERIC_FEATURES[0])).cast("int").alias("is_fraud")).cache()
+    train, validation = rows.filter("not late"), rows.filter("late")
+    fitted = []
+    fit = ml.GBTClassifier.fit
+    monkeypatch.setattr(ml.GBTClassifier, "fit", lambda self, df: fitted.append(fit(self, df)) or fitted[-1])
+    monkeypatch.setattr(ml, "FIRST_ROUNDS", 8)
+    model = ml.train_gbt(train, validation, rounds=20, patience=6)
+    kept = len(model.stages[-1].treeWeights)
+    longest = max(fitted, key=lambda m: len(m.treeWeights))
+    curve = ml.validation_losses(ml.PipelineModel([*model.stages[:-1], longest]), train, validation)
+    assert kept == curve.index(min(curve)) + 1 and (len(curve) - kept >= 6 or len(curve) == 20)
+    assert ml.validation_losses(model, train, validation) == curve[:kept]
+    assert any(b > a for a, b in zip(curve, curve[1:kept])), curve
