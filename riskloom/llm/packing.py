@@ -46,13 +46,18 @@ class WordIds:
     MARKS = ".,!?;:"
     # Letters below this one stay one letter each when normalised and lower-cased.
     BEYOND = "\u0100"
+    # The one letter that ends in a mark when lower-cased.
+    DOTTED = "\u0130"
 
     def __init__(self, path: str):
         # Spark runs one task a core; the library's own threads would only wait for each other.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same vocabulary for words of a to z alone, which need no normalising and no rules of where a word ends.
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer, self.letters.pre_tokenizer = None, pre_tokenizers.CharDelimiterSplit(" ")
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         # Ids of full stops, question and exclamation marks: a sentence ends behind them.
@@ -68,11 +73,13 @@ class WordIds:
         known = words & old.keys()
         young.update(zip(known, map(old.__getitem__, known)))
         marks, beyond = self.MARKS, self.BEYOND
+        fresh = words - known
+        letters = {word for word in fresh if word.isascii() and word.isalpha() and word.islower()}
         split, plain, odd = [], set(), set()
-        for word in words - known:
+        for word in fresh - letters:
             core = word.rstrip(marks)
             if core != word:
-                if core and core[-1].isalnum():
+                if core and core[-1].isalnum() and core[-1] != self.DOTTED:
                     tail = word[len(core):]
                     if tail not in young:
                         odd.add(tail)
@@ -86,11 +93,16 @@ class WordIds:
             if core != word:
                 split.append((word, core, tail))
             if core not in young:
-                (plain if core.isalpha() and (ascii_ or max(core) < beyond) else odd).add(core)
-        if plain:
+                if not core.isalpha():
+                    odd.add(core)
+                else:
+                    (letters if ascii_ else plain if max(core) < beyond else odd).add(core)
+        for tokenizer, some in ((self.letters, letters), (self.tokenizer, plain)):
+            if not some:
+                continue
             # One run of letters is one word, whose last token alone is marked as a word's end.
-            given = list(plain)
-            ids = np.array(self.tokenizer.encode(" ".join(given), add_special_tokens=False).ids, "<u4")
+            given = list(some)
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(given)], add_special_tokens=False)[0].ids, "<u4")
             ends = (4 * (np.flatnonzero(self.word_end[ids]) + 1)).tolist()
             raw, begun = ids.tobytes(), 0
             for word, end in zip(given, ends, strict=True):
@@ -102,9 +114,22 @@ class WordIds:
         for word, core, tail in split:
             young[word] = young[core] + young[tail] if tail else young[core]
 
+    @staticmethod
+    def lowered(text: str) -> str:
+        """The text with A-Z in lower case, so that fewer words differ; one that the vocabulary might then read otherwise
+        stays as it is: signs beyond Latin-1 may combine with a letter, and a control string is matched as it is written."""
+        if "<|" in text:
+            return text
+        if text.isascii():
+            return text.lower()
+        try:
+            return text.encode("latin-1").lower().decode("latin-1")
+        except UnicodeEncodeError:
+            return text
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; the texts' words are looked up together."""
-        lists = [text.replace("\n", " ").split(" ") for text in texts]
+        lists = [self.lowered(text).replace("\n", " ").split(" ") for text in texts]
         unknown = set().union(*lists).difference(self.young)
         if unknown:
             self.learn(unknown)

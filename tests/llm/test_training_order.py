@@ -267,3 +267,18 @@ def test_sequences_follow_the_mix_over_several_files(spark, monkeypatch):
     read = [sources[x.doc_id] for x in sorted(first, key=lambda x: (x.sequence_id, x.offset))]
     share = 300 ** 0.5 / (300 ** 0.5 + 2700 ** 0.5)
     assert all(abs(read[:n].count("cold") - n * share) < M.BLOCK + 1 for n in range(100, 1100, 50))
+
+
+def test_word_ids_are_the_tokenizers_own_and_case_makes_no_new_words():
+    r = random.Random(23)
+    signs = list("aAhHtTwWyYjJiIsSzZ.,!?;:'<|> \n\t019-") + [
+        "\u0331", "\u0308", "\u030a", "\u030c", "\u0307", "\u00e9", "\u00c9", "\u00df", "\u0130", "\u0131", "\u212a", "\u03a3",
+        "\ufb01", "\u00b5", "\u00ba", "\u00a0", "\u0085", "<|endoftext|>", "<|ENDOFTEXT|>", "'S", "'LL"]
+    latin = [x for x in signs if max(x) < "\u0100" and "<|" not in x]
+    texts = ["".join(r.choices(signs if k % 2 else latin, k=r.choice([3, 8, 20]))) for k in range(3000)] + ["\u0130. \u0130", "h\u0331 H\u0331"]
+    encode = P.WordIds(P.tokenizer_path())
+    want = [x.ids for x in encode.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == want
+    encode = P.WordIds(P.tokenizer_path())
+    encode(["River Stone MARKET, \u00c9tat", "river STONE market, \u00c9TAT"])
+    assert len(encode.young) == 7  # the empty word, three words, one of them with its mark, the mark, and "\u00c9tat"
