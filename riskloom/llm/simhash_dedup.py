@@ -183,13 +183,27 @@ def sketches(text: str, shingle: int) -> Column:
     return F.pandas_udf(run, "fp long, h1 long, h2 long, n int, least array<long>")(text)
 
 
+def indexed_pairs(spark: SparkSession, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes (node, fp) by the byte-position index: those of linked fingerprints, each fingerprint standing
+    for its first node, and that node with every other of the same fingerprint."""
+    prints = stage_table(spark, nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")), "copy-prints")
+    first = prints.select("fp", "first")
+    linked = links(spark, first.select("fp")).join(first.select(F.col("fp").alias("a"), F.col("first").alias("na")), "a").join(
+        first.select(F.col("fp").alias("b"), F.col("first").alias("nb")), "b")
+    linked = linked.select(F.least("na", "nb").alias("a"), F.greatest("na", "nb").alias("b"))
+    same = nodes.select("fp", "node").join(prints.filter(F.col("n") > 1).select("fp", "first"), "fp").filter(
+        F.col("node") != F.col("first")).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    return linked.unionByName(same)
+
+
 def near_copies(df: DataFrame, key: str, text: str = "text", shingle: int = COPY_SHINGLE,
                 similarity: float = COPY_SIMILARITY, bits: int = COPY_BITS) -> DataFrame:
     """One row per row of ``df``: the key and ``node`` of its words, and ``component``, the least node it is linked to.
 
-    Texts are linked if the sets of their shingles have the similarity, counted exactly. Within the bits that this needs,
-    fingerprints share too few bytes for an index of them to be selective, so candidates come from minima of the same
-    hashes, as in line dedup; those over ``bits`` apart are dropped before the sets are compared. Equal words, whatever
+    Texts are linked if the sets of their shingles have the similarity, counted exactly. Candidates within ``MAX_BITS`` come
+    from the byte-position index of the fingerprints. Texts of the similarity may be further apart, where fingerprints share
+    too few bytes for an index of them to be selective: those pairs come from minima of the same hashes, as in line dedup,
+    and are dropped before the sets are compared if over ``bits`` apart. Equal words, whatever
     their case and white space, are one node from the start; so are all texts without words. Repeated rows appear each.
     """
     spark = df.sparkSession
@@ -222,7 +236,9 @@ def near_copies(df: DataFrame, key: str, text: str = "text", shingle: int = COPY
         near = near.filter(F.bit_count(F.col("fa").bitwiseXOR(F.col("fb"))) <= bits).select("a", "b")
         return line_dedup.verified(near, bodies, shingles, similarity)
 
-    found = line_dedup.alike(spark, distinct.select("node", "n", "keys"), bodies, lambda body: body, similarity, check)
+    indexed = stage_table(spark, indexed_pairs(spark, distinct.select("node", "fp")), "indexed-pairs")
+    found = line_dedup.alike(
+        spark, distinct.select("node", "n", "keys"), bodies, lambda body: body, similarity, check, indexed=indexed)
     roots = names.select(F.col("node").alias("component"), F.col("name").alias("root"))
     found = found.join(names, "node").join(roots, "component").select("name", "root")
     return rows.select(key, name.alias("name")).join(found, "name", "left").select(

@@ -214,6 +214,30 @@ def test_stage_drops_near_copies_at_similarity_eight_tenths(spark):
     assert sum(like) > 120 and sum(gone) >= 0.95 * sum(like)
 
 
+def test_stage_finds_near_copies_through_the_index_of_bytes(spark, monkeypatch):
+    """Without the bands' pairs, those within two bits are found, and only such as have the similarity."""
+    import corpus_pipeline
+
+    none = lambda *_, **__: spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(L, "star_pairs", none)
+    monkeypatch.setattr(L, "cross_pairs", none)
+    r = random.Random(29)
+    texts = []
+    for _ in range(40):
+        words = [f"w{r.randrange(50_000)}" for _ in range(1000)]
+        texts += [" ".join(words), " ".join(changed(r, words, 1))]
+    texts += ["one two", "one three", "x y"]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    prints = [D.fingerprint(t, D.COPY_SHINGLE) for t in texts]
+    near = [((prints[i] ^ prints[i + 1]) % (1 << 64)).bit_count() <= D.MAX_BITS for i in range(0, 80, 2)]
+    kept = {x.doc_id for x in corpus_pipeline.dedup_documents(spark, docs, "").collect()}
+    assert [i + 1 not in kept for i in range(0, 80, 2)] == near and sum(near) > 10
+    assert kept >= {80, 81, 82, *range(0, 80, 2)}
+    pairs = D.indexed_pairs(spark, spark.createDataFrame([(0, 5), (1, 5), (2, 4), (3, -9), (4, 5)], "node long, fp long"))
+    assert sorted(tuple(x) for x in pairs.collect()) == [(0, 1), (0, 2), (0, 4)]
+
+
 def test_stage_keeps_unlike_documents_of_null_and_repeated_ids(spark):
     import corpus_pipeline
 
