@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import codecs
 import os
+import string
 import zlib
 from array import array
 from collections import defaultdict
@@ -43,7 +45,8 @@ class WordIds:
     are told apart at spaces and line ends alone; all other white space is left to the tokenizer.
     """
 
-    MARKS = ".,!?;:"
+    # The signs that close a word: ASCII punctuation, but for the one that ends a control string.
+    MARKS = string.punctuation.replace(">", "")
     # Letters below this one stay one letter each when normalised and lower-cased.
     BEYOND = "\u0100"
     # The one letter that ends in a mark when lower-cased.
@@ -55,9 +58,11 @@ class WordIds:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        # The same vocabulary for words of a to z alone, which need no normalising and no rules of where a word ends.
+        # The same vocabulary for words of letters alone, spelt in its signs for UTF-8 bytes: they need no normalising
+        # and no rules of where a word ends.
         self.letters = Tokenizer.from_file(path)
         self.letters.normalizer, self.letters.pre_tokenizer = None, pre_tokenizers.CharDelimiterSplit(" ")
+        self.signs = byte_signs()
         self.young: dict[str, bytes] = {"": b""}
         self.old: dict[str, bytes] = {}
         # Ids of full stops, question and exclamation marks: a sentence ends behind them.
@@ -75,37 +80,41 @@ class WordIds:
         marks, beyond = self.MARKS, self.BEYOND
         fresh = words - known
         letters = {word for word in fresh if word.isascii() and word.isalpha() and word.islower()}
-        split, plain, odd = [], set(), set()
+        spelt = list(letters)
+        split, odd = [], set()
         for word in fresh - letters:
-            core = word.rstrip(marks)
+            if "<|" in word:
+                odd.add(word)
+                continue
+            core, tail = word.rstrip(marks), ""
             if core != word:
                 if core and core[-1].isalnum() and core[-1] != self.DOTTED:
                     tail = word[len(core):]
                     if tail not in young:
                         odd.add(tail)
                 else:
-                    core, tail = word, ""
-            else:
-                tail = ""
+                    core = word
             ascii_ = core.isascii()
-            if ascii_ and "<|" not in core:
+            if ascii_:
                 core = core.lower()
             if core != word:
                 split.append((word, core, tail))
             if core not in young:
-                if not core.isalpha():
+                if not core.isalpha() or not ascii_ and max(core) >= beyond:
                     odd.add(core)
-                else:
-                    (letters if ascii_ else plain if max(core) < beyond else odd).add(core)
-        for tokenizer, some in ((self.letters, letters), (self.tokenizer, plain)):
-            if not some:
-                continue
-            # One run of letters is one word, whose last token alone is marked as a word's end.
-            given = list(some)
-            ids = np.array(tokenizer.encode_batch_fast([" ".join(given)], add_special_tokens=False)[0].ids, "<u4")
+                elif core not in letters:
+                    letters.add(core)
+                    spelt.append(core)
+        if spelt:
+            # A run of letters is one word, whose last token alone is marked as a word's end.
+            row = " ".join(spelt)
+            if not row.isascii():
+                row = row.lower()
+                row = codecs.charmap_decode(row.encode(), "strict", self.signs)[0]
+            ids = np.array(self.letters.encode_batch_fast([row], add_special_tokens=False)[0].ids, "<u4")
             ends = (4 * (np.flatnonzero(self.word_end[ids]) + 1)).tolist()
             raw, begun = ids.tobytes(), 0
-            for word, end in zip(given, ends, strict=True):
+            for word, end in zip(spelt, ends, strict=True):
                 young[word] = raw[begun:end]
                 begun = end
         given = list(odd)
@@ -138,7 +147,10 @@ class WordIds:
         for word in unknown:
             if len(word) > CACHE_CHARS:
                 self.young.pop(word, None)
-                self.young.pop(word.rstrip(self.MARKS).lower(), None)
+                core = word.rstrip(self.MARKS)
+                self.young.pop(core.lower() if core.isascii() else core, None)
+                if len(word) - len(core) > CACHE_CHARS:
+                    self.young.pop(word[len(core):], None)
         if len(self.young) > CACHE_WORDS:
             self.old, self.young = self.young, {"": b""}
         return out
@@ -148,6 +160,18 @@ class WordIds:
         return np.flatnonzero(self.stops[np.frombuffer(ids, "<u4")]) + 1
 
 
+def byte_signs() -> str:
+    """The vocabulary's sign for each byte of UTF-8, a space staying one: two signs a letter from U+0080 to U+00FF."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    signs, spell = [chr(i) for i in range(256)], ByteLevel(add_prefix_space=False, use_regex=False)
+    for i in range(0x80, 0x100):
+        pieces = spell.pre_tokenize_str(chr(i))
+        for byte, sign in zip(chr(i).encode(), pieces[0][0], strict=True):
+            signs[byte] = sign
+    return "".join(signs)
+
+
 #: One per Python worker and vocabulary: the words stay known from task to task.
 _ENCODERS: dict[str, WordIds] = {}
 

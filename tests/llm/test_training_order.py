@@ -282,3 +282,20 @@ def test_word_ids_are_the_tokenizers_own_and_case_makes_no_new_words():
     encode = P.WordIds(P.tokenizer_path())
     encode(["River Stone MARKET, \u00c9tat", "river STONE market, \u00c9TAT"])
     assert len(encode.young) == 7  # the empty word, three words, one of them with its mark, the mark, and "\u00c9tat"
+
+
+def test_latin_words_and_closing_signs_need_no_normalising():
+    """Words of letters up to U+00FF go to the vocabulary spelt, whatever signs close them; the whole tokenizer gets the signs alone."""
+    encode, asked = P.WordIds(P.tokenizer_path()), []
+    whole = encode.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, given, **how):
+            asked.extend(given)
+            return whole.encode_batch_fast(given, **how)
+
+    encode.tokenizer = Counted()
+    texts = ["état*** vièle.%%% Été stone&&& naïve, ªºµÿß", "<|endoftext|> a<|endoftext|>. (x) y̱."]
+    want = [x.ids for x in whole.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == want
+    assert set(asked) == {"", "***", ".%%%", "&&&", ",", "<|endoftext|>", "a<|endoftext|>.", "(x", ")", "y̱."} - {""}
