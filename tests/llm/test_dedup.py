@@ -277,3 +277,30 @@ def test_marks_and_shown_shingles_take_out_unlike_pairs_alone(spark):
     stars = {tuple(sorted(x)) for x in L.star_pairs(parts, 0.8).collect()}
     crosses = {tuple(x) for x in L.cross_pairs(parts, none, "gram", 0.8, L.SHOWN).collect()}
     assert near <= stars | crosses
+
+
+def test_lines_of_large_buckets_are_compared_by_their_marks_without_rare_shingles(spark, monkeypatch):
+    """120 lines with one passage, of which few are alike: all pairs in place, those alike alone become rows."""
+    r = random.Random(31)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randrange(3, 9)))
+    passage = " ".join(word() for _ in range(40))
+    lines = [f"{passage} {' '.join(word() for _ in range(30))}" for _ in range(100)]
+    lines += [f"{x[:-9]} {word()}" for x in lines[:20]]
+    sets = [L.grams(x) for x in lines]
+    near = {(i, j) for j in range(len(lines)) for i in range(j) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    bodies = spark.createDataFrame([(i, len(L.grams(x)), x) for i, x in enumerate(lines)], "node long, n int, body string")
+    bodies = bodies.withColumn("marks", L.marks("body"))
+    buckets = L.with_leader(bodies.select(
+        F.lit(1).alias("key"), "node", "n", F.col("n").alias("s"), F.lit(1).alias("place")), "key", F.col("node"))
+    none = spark.createDataFrame([], "node long, component long")
+    made = {tuple(x) for x in L.cross_pairs(buckets, none, "key", 0.8, marked=bodies).collect()}
+    stars = {tuple(sorted(x)) for x in L.star_pairs(buckets, 0.8).collect()}
+    assert len(near) >= 20 and near <= made | stars and len(made) < 500
+
+    def unwanted(*_):
+        raise AssertionError("split by rare shingles")
+
+    monkeypatch.setattr(L, "rare_buckets", unwanted)
+    rows = list(enumerate(lines))
+    got = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(x.doc_id, g.line_no) for x in got for g in x.removed or []} == slow_lines(rows)
