@@ -46,6 +46,33 @@ def test_repeated_query_rows_each_get_a_list(spark):
     assert found(spark.createDataFrame(rows, VECTORS)) == sorted([(20, 1, 1, 8192), (20, 2, 2, 8192)] * 2)
 
 
+def test_search_never_broadcasts_tiles(spark):
+    # Tiles are small as files and large as rows: a join by the files' size sent them through the driver, once a salt.
+    rows = [(i, [float(i % 7), 1.0], "") for i in range(60)]
+    plan = S.top_k(spark.createDataFrame(rows, VECTORS), F.col("vec_id") % 20 == 0, 5)._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
+
+
+def test_search_over_many_blocks_and_salts_with_numbers_of_every_width(spark, monkeypatch):
+    for name, value in (("TILE_BYTES", 400), ("BLOCK_BYTES", 200), ("WORTH", 50.0), ("READ_BYTES", 300), ("FAN_IN", 3),
+                        ("CHUNK", 3)):
+        monkeypatch.setattr(S, name, value)
+    r = random.Random(2)
+    scales = [1.0, 1.0, 100.0, 30000.0, 2.0 ** 40, 1e300]  # one, two, four and eight bytes, and beyond the long range
+    rows = [(i % 180, [r.choice([-1.0, 0.3, 0.5]) * r.choice(scales) for _ in range(r.choice([2, 2, 3]))], "") for i in range(200)]
+    rows += [(200 + i, [0.5, 0.5], "") for i in range(100)]
+    got, want = found(spark.createDataFrame(rows, VECTORS).repartition(6), 4), brute(rows, 4)
+    assert got == want
+
+
+def test_search_layout_keeps_bytes_moved_near_the_input():
+    # 740,000 queries against 14.8 million rows of 64 components, kept in a byte each.
+    blocks, salts = S._layout(740_000, 64 * 740_000, 3_900, 14_800_000, 72 * 14_800_000, 600, 20)
+    assert blocks * salts < 20_000 and 740_000 / blocks * (64 * 8 + 32) <= S.BLOCK_BYTES
+    assert S._layout(1, 64, 1, 100, 7_200, 8, 20) == (1, 1)
+    assert S._layout(1, 64, 40_000, 150_000_000, 72 * 150_000_000, 8, 20)[1] > 300  # one query, yet many tasks read
+
+
 def test_empty_tables(spark):
     assert found(spark.createDataFrame([], VECTORS)) == []
     assert U.judge_urls(spark.createDataFrame([], "page_id long, url string"), U.all_rules()).count() == 0
