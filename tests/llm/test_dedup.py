@@ -304,3 +304,36 @@ def test_lines_of_large_buckets_are_compared_by_their_marks_without_rare_shingle
     rows = list(enumerate(lines))
     got = L.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(x.doc_id, g.line_no) for x in got for g in x.removed or []} == slow_lines(rows)
+
+
+def test_rows_among_wanted_hashes_keep_all_of_them_and_few_others(spark, monkeypatch):
+    """By remainders alone, of which 2,000 hashes take all 64, every row would pass."""
+    monkeypatch.setattr(L, "REMAINDERS", 64)
+    rows = spark.range(40_000).select("id", F.xxhash64("id").alias("h"))
+    wanted = rows.filter("id % 20 = 7").select("h")
+    passed = {x.id for x in L.among(rows, F.col("h"), wanted, F.col("h")).select("id").collect()}
+    assert {i for i in range(40_000) if i % 20 == 7} <= passed and 2_000 < len(passed) < 10_000
+    assert L.among(rows, F.col("h"), wanted, F.col("h")).columns == ["id", "h"]
+    assert L.among(rows, F.col("h"), wanted.limit(0), F.col("h")).count() == 0
+
+
+def test_packed_shingles_are_the_shingles(spark):
+    r = random.Random(37)
+    lines = ["a", "ab", "abcd", "\x00ab", "abcde", "x" * 50, "é" * 9, "࿾" * 5, "࿿" * 5, "日本語テキスト", "ab\U0001f600cdef"]
+    lines += ["".join(r.choice("ab é࿾") for _ in range(r.randrange(1, 60))) for _ in range(60)]
+    lines += [x[:-1] + "日" for x in lines[-10:]] + [x + "q" for x in lines[:20]]
+    for x in lines:
+        p = L.packed(x)
+        assert (p is None) == (max(x) >= "࿿") and (p is None or len(p) == len(L.grams(x)))
+    pairs = [(i, j) for j in range(len(lines)) for i in range(j)]
+    bodies = spark.createDataFrame([(i, len(L.grams(x)), x) for i, x in enumerate(lines)], "node long, n int, body string")
+    got = {tuple(x) for x in L.verified_lines(
+        spark.createDataFrame(pairs, "a long, b long"), bodies, L.shingle_set, 0.8).collect()}
+    sets = [L.grams(x) for x in lines]
+    assert got == {(i, j) for i, j in pairs if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])} and got
+
+
+def test_lines_are_trimmed_of_every_kind_of_space_and_no_more(spark):
+    lines = ["a", " a", "a ", "\ta\x0b", "\x0c\r a b \r", " a ", "", " \t", "a\x1f"]
+    df = spark.createDataFrame([(x,) for x in lines], "x string")
+    assert [y[0] for y in df.select(L.trimmed(F.col("x"))).collect()] == [x.strip(" \t\x0b\x0c\r") for x in lines]
